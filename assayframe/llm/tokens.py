@@ -85,10 +85,10 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = 5) -> list[np.n
         if z - a >= k:
             out.append(np.unique(rolled[a : z - k + 1]))
         elif z > a:
-            h = np.uint64((z - a) * BASE & (2**64 - 1))
+            h = np.array([(z - a) * BASE & (2**64 - 1)], np.uint64)
             for j in range(a, z):
-                h = mix(np.array([h ^ words[j]], np.uint64))[0] + _ODD[2]
-            out.append(np.array([h], np.uint64) & free)
+                h = mix(h ^ words[j]) + _ODD[2:3]
+            out.append(h & free)
         else:
             out.append(np.zeros(0, np.uint64))
     return out
