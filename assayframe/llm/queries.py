@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, langid, media, pii, sharding
+from . import decontam, jaccard, langid, media, pii, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(_table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(_table(spark, sf_dir, "documents"))
 
@@ -33,5 +37,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_language_id, op5_ngram_jaccard, op8_pii, op9_media, op10_sharding)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_language_id, op5_ngram_jaccard, op6_decontamination, op8_pii, op9_media, op10_sharding)}
 ORACLES: dict[str, str] = {}
