@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, jaccard, langid, media, pii, sharding
+from . import decontam, jaccard, langid, licenses, media, pii, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digest(_table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(_table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(_table(spark, sf_dir, "documents"))
 
@@ -37,5 +41,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_language_id, op5_ngram_jaccard, op6_decontamination, op8_pii, op9_media, op10_sharding)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_language_id, op4_license_scan, op5_ngram_jaccard, op6_decontamination, op8_pii, op9_media, op10_sharding)}
+ORACLES: dict[str, str] = {"op4_license_scan": licenses.oracle()}
