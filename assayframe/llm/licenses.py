@@ -138,7 +138,8 @@ hits AS (SELECT r, p - 1 AS pos, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS g
 votes AS (SELECT r, template, label, base, size, pos - spot AS diagonal, list(DISTINCT spot) AS ats FROM hits JOIN grams USING (gram) GROUP BY ALL),
 parted AS (SELECT *, sum(fresh) OVER (PARTITION BY r, template ORDER BY diagonal) AS span FROM (
   SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) <= {GAP} THEN 0 ELSE 1 END AS fresh FROM votes)),
-spans AS (SELECT r, template, label, base, size, span, len(list_distinct(flatten(list_transform(flatten(list(ats)), t -> range(t, t + {K}))))) / size AS cover FROM parted GROUP BY ALL),
+lists AS (SELECT r, template, label, size, span, flatten(list(ats)) AS ats FROM parted GROUP BY r, template, label, size, span),
+spans AS (SELECT r, label, len(list_distinct(flatten(list_transform(ats, lambda t: range(t, t + {K}))))) / size AS cover FROM lists),
 best AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE round(cover, 6) >= {COVER}) AS labels, max(round(cover, 6)) AS score FROM spans GROUP BY r),
 exact AS (SELECT r, count(*) AS n, min(diagonal) AS f, max(diagonal) AS l, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM votes WHERE base AND len(ats) = size - {K} + 1 GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, f::BIGINT AS first_word, l::BIGINT AS last_word,

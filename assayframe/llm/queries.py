@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, jaccard, langid, licenses, media, pii, sharding
+from . import decontam, jaccard, langid, licenses, media, mixing, pii, secretscan, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(_table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digest(_table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(_table(spark, sf_dir, "documents"))
 
@@ -41,5 +49,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_language_id, op4_license_scan, op5_ngram_jaccard, op6_decontamination, op8_pii, op9_media, op10_sharding)}
-ORACLES: dict[str, str] = {"op4_license_scan": licenses.oracle()}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op3_language_id, op4_license_scan, op5_ngram_jaccard, op6_decontamination, op7_secret_scan, op8_pii, op9_media, op10_sharding)}
+ORACLES: dict[str, str] = {"op1_mixing": mixing.oracle(), "op4_license_scan": licenses.oracle()}
