@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, jaccard, langid, licenses, media, mixing, pii, secretscan, sharding
+from . import decontam, jaccard, langid, licenses, media, mixing, pii, quality, secretscan, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(_table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(_table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digest(_table(spark, sf_dir, "documents"))
 
@@ -49,5 +53,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op3_language_id, op4_license_scan, op5_ngram_jaccard, op6_decontamination, op7_secret_scan, op8_pii, op9_media, op10_sharding)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_quality, op3_language_id, op4_license_scan, op5_ngram_jaccard, op6_decontamination, op7_secret_scan, op8_pii, op9_media, op10_sharding)}
 ORACLES: dict[str, str] = {"op1_mixing": mixing.oracle(), "op4_license_scan": licenses.oracle()}
