@@ -103,9 +103,11 @@ def digest(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFrame:
 
 
 def assign_shards(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFrame:
-    """docs with shard and slot; the text itself is not shuffled, only read.
+    """docs with shard and slot.
 
-    Order within equal (doc_id, text) rows is arbitrary, as they are equal.
+    Numbers are made from narrow rows; whole rows are shuffled once, to meet
+    theirs.  Which of several equal (doc_id, text) rows gets which of their
+    slots is arbitrary.
     """
     base = docs.drop("shard", "slot").withColumns({"_crc": F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")), "_size": F.coalesce(F.octet_length("text"), F.lit(0))})
     placed = base.select(F.col("doc_id"), F.col("_crc"), F.col("_size"))
