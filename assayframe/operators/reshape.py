@@ -21,7 +21,7 @@ def pivot_first(df: DataFrame, index: Sequence[str], column: str, value: str, or
 
 def count_matrix(df: DataFrame, row: Column, column: str, values: Sequence, weight: Column | None = None) -> DataFrame:
     """Counts (or sums) by row and column, 0 where there are none."""
-    amount = F.count("*") if weight is None else F.sum(weight)
+    amount = F.count(F.lit(1)) if weight is None else F.sum(weight)
     return df.groupBy(row).pivot(column, list(values)).agg(amount).fillna(0)
 
 
