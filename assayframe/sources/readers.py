@@ -38,7 +38,7 @@ def read_tree(spark: SparkSession, root: str, schema: T.StructType | str, patter
     reader = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).options(**options)
     df = reader.csv(root)
     if skip:
-        df = df.where(~F.contains(F.lower(F.col("_metadata.file_name")), F.lit(skip.lower())))
+        df = df.where(~F.contains(F.lower(F.replace(F.col("_metadata.file_name"), F.lit("%20"), F.lit(" "))), F.lit(skip.lower())))
     return df
 
 
