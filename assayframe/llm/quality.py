@@ -34,7 +34,7 @@ TRAIN_DOCS = 6000
 LABELLERS = ("capitals", "separators", "shouting", "symbols", "noise", "short_words", "repeated_words", "stutter", "length")
 BAD, NONE, GOOD = 0, 1, 2
 #: Largest chance of a bad vote on a good document.
-WRONG = 0.01
+WRONG = 0.003
 
 _LETTER_UP, _LETTER_LOW, _DIGIT, _STOP, _BAR, _BANG, _MARK = range(7)
 
@@ -94,8 +94,8 @@ def votes(c: dict[str, np.ndarray]) -> np.ndarray:
         choose(bangs > 0.15, bangs < 0.05),
         choose(marks > 0.3, marks < 0.1),
         choose(noise > 0.2, noise < 0.08),
-        choose(short < 0.2, (short > 0.3) & (short < 0.75)),
-        choose(fresh < 0.3, fresh > 0.5),
+        choose(short < 0.1, (short > 0.25) & (short < 0.75)),
+        choose(fresh < 0.15, fresh > 0.4),
         choose(c["again"] / words > 0.2, c["again"] / words < 0.05),
         choose(c["words"] < 3, c["words"] > 30),
     ], axis=1)
@@ -117,7 +117,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tup
     """
     vote = patterns[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
     cast = (vote[:, :, None] == np.arange(3)).astype(float)
-    chances = np.tile(np.array([[0.4, 0.3, 0.3], [0.02, 0.28, 0.7]])[:, None, :], (1, len(LABELLERS), 1))
+    chances = np.tile(np.array([[0.4, 0.1, 0.5], [0.01, 0.14, 0.85]])[:, None, :], (1, len(LABELLERS), 1))
     share, good = 0.8, np.zeros(len(patterns))
     for _ in range(rounds):
         log = np.einsum("plv,clv->pc", cast, np.log(chances))
