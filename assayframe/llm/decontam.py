@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import text_slices
+from .shared import map_batches, text_slices
 
 Q = 8
 WINDOW = 96
@@ -223,7 +223,7 @@ def _scan(docs: DataFrame, sets: list[Patterns], each, schema) -> DataFrame:
                     found.append(merged(passages(low[a:z], known)) if hope[i] and z > a else [])
             yield each(batch, found)
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -22,8 +22,8 @@ are found, but large groups are never spelled out as pairs of rows.
    over slices of the vocabulary, and returns a spanning forest of the links.
 5. Join.  Labels spread over the forests until nothing changes.
 
-Frequent tokens are pre-aggregated: a token that many owners of one Arrow
-batch have is sent to its counting task once for the batch, and its owners go
+Frequent tokens are pre-aggregated: a token that many owners sent together
+have is sent to its counting task once for all of them, and its owners go
 around that task.  Hashes have 63 bits (tokens) and 64 bits (sets).
 
 Defined cases: null text and text without words have an empty set, n_shingles
@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import record_batch, text_slices, written
+from .shared import map_batches, record_batch, text_slices, written
 from .tokens import mix, set_hash, shingle_sets
 
 WORDS = 5
@@ -55,6 +55,8 @@ BROADCAST_ROWS = 2_000_000
 #: Owners and tokens that a verification block holds on average at most.
 BLOCK_OWNERS, BLOCK_TOKENS = 300, 400_000
 _VOCABULARY = 4096
+#: Tokens that a task gathers before it sorts and sends them (8 bytes each, some ten times that while sorting).
+HELD_TOKENS = 1 << 20
 
 _SENT = pa.schema([("token", pa.int64()), ("owner", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64())])
 _SENT_DDL = "token long, owner long, n long, doc_id long"
@@ -78,12 +80,29 @@ def _send(full: bool):
 
     A document's row has a null token.  n is 0 for a token sent to be
     counted, -1 for one that is known to be frequent and need not be, and the
-    number of owners in the batch where one row counts for all of those.
+    number of owners sent together where one row counts for all of those.
     """
 
+    def flush(tokens: list[np.ndarray], holders: list[int]) -> Iterator[pa.RecordBatch]:
+        if not tokens:
+            return
+        token = np.concatenate(tokens).view(np.int64)
+        owner = np.repeat(np.array(holders, np.int64), [len(x) for x in tokens])
+        order = np.argsort(token, kind="stable")
+        token, owner = token[order], owner[order]
+        heads = np.flatnonzero(np.r_[True, token[1:] != token[:-1]]) if len(token) else np.zeros(0, np.int64)
+        count = np.diff(np.r_[heads, len(token)])
+        kind = np.where(np.repeat(count >= FREQUENT, count), -1, 0)
+        pings = heads[count >= FREQUENT]
+        token, owner, kind = np.r_[token, token[pings]], np.r_[owner, owner[pings]], np.r_[kind, count[count >= FREQUENT]]
+        for at in range(0, len(token), 1 << 17):
+            part = slice(at, at + (1 << 17))
+            yield record_batch(_SENT, token[part], owner[part], kind[part], pa.nulls(len(token[part]), pa.int64()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, holders, seen, held = [], [], set(), 0
         for batch in batches:
-            ids, tokens, owners, sizes, seen = batch.column(0), [], [], [], set()
+            owners, sizes = [], []
             for _, offsets, data in text_slices(batch.column(1)):
                 for found in shingle_sets(data, offsets, WORDS):
                     n = len(found)
@@ -92,26 +111,15 @@ def _send(full: bool):
                     owners.append(owner)
                     if n >= SMALLEST and owner not in seen:
                         seen.add(owner)
-                        tokens.append(found if full else found[: n - need(n) + spare(n)])
-                    else:
-                        tokens.append(found[:0])
-            rows = len(owners)
-            yield record_batch(_SENT, pa.nulls(rows, pa.int64()), pa.array(owners, pa.int64()), np.array(sizes, np.int64), ids)
-            if not tokens:
-                continue
-            token = np.concatenate(tokens).view(np.int64)
-            owner = np.repeat(np.array([x or 0 for x in owners], np.int64), [len(x) for x in tokens])
-            order = np.argsort(token, kind="stable")
-            token, owner = token[order], owner[order]
-            heads = np.flatnonzero(np.r_[True, token[1:] != token[:-1]]) if len(token) else np.zeros(0, np.int64)
-            count = np.diff(np.r_[heads, len(token)])
-            hot = np.repeat(count >= FREQUENT, count)
-            kind = np.where(hot, -1, 0)
-            pings = heads[count >= FREQUENT]
-            token, owner, kind = np.r_[token, token[pings]], np.r_[owner, owner[pings]], np.r_[kind, count[count >= FREQUENT]]
-            for at in range(0, len(token), 1 << 18):
-                part = slice(at, at + (1 << 18))
-                yield record_batch(_SENT, token[part], owner[part], kind[part], pa.nulls(len(token[part]), pa.int64()))
+                        # a copy: a view would keep the whole set
+                        tokens.append(found if full else found[: n - need(n) + spare(n)].copy())
+                        holders.append(owner)
+                        held += len(tokens[-1])
+                if held >= HELD_TOKENS:
+                    yield from flush(tokens, holders)
+                    tokens, holders, seen, held = [], [], set(), 0
+            yield record_batch(_SENT, pa.nulls(len(owners), pa.int64()), pa.array(owners, pa.int64()), np.array(sizes, np.int64), batch.column(0))
+        yield from flush(tokens, holders)
 
     return run
 
@@ -154,9 +162,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def shared_tokens(docs: DataFrame, full: bool, name: str) -> tuple[DataFrame, DataFrame]:
     """(owner, token) for tokens that two owners have, and (doc_id, owner, n) for each document."""
-    sent = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_send(full), _SENT_DDL)
+    sent = map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _send(full), _SENT_DDL)
     route = F.when(F.col("token").isNull(), F.xxhash64("doc_id", "owner")).when(F.col("n") < 0, F.xxhash64("owner", "token")).otherwise(F.col("token"))
-    got = written(sent.repartition(route).mapInArrow(_count, _SENT_DDL), name)
+    got = written(map_batches(sent.repartition(route), _count, _SENT_DDL), name)
     entries = got.where(F.col("token").isNotNull()).select("owner", "token").distinct()
     return entries, got.where(F.col("token").isNull()).select("doc_id", "owner", "n")
 
@@ -294,7 +302,7 @@ def _blocks(core: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def links(core: DataFrame) -> DataFrame:
     """Spanning forests (a, b) of the links between owners; core: owner, n, tokens."""
-    signed = written(core.mapInArrow(_sign, "key long, owner long, rank long"), "keys")
+    signed = written(map_batches(core, _sign, "key long, owner long, rank long"), "keys")
     placed, pairs = _blocks(core, signed)
     pairs = written(pairs, "block-pairs")
     held = core.join(placed, "owner").select("block", "owner", "n", "tokens")

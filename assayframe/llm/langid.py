@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import map_batches
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -86,7 +87,7 @@ def fit(labelled: DataFrame, train_docs: int = TRAIN_DOCS, smoothing: float = 0.
 
     counts = np.full((BUCKETS, len(languages)), smoothing)
     column = {k: i for i, k in enumerate(languages)}
-    got = sample.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    got = map_batches(sample, count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     counts[got["bucket"].to_numpy(np.intp), got["lang"].map(column).to_numpy(np.intp)] += got["n"].to_numpy()
     return languages, np.log(counts / counts.sum(axis=0)).astype(np.float32)
 
@@ -122,7 +123,7 @@ def classify(docs: DataFrame, languages: list[str], matrix: np.ndarray, column:
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "lang_pred", "lang_score"])
 
     schema = T.StructType([*base.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())])
-    return base.mapInArrow(run, schema)
+    return map_batches(base, run, schema)
 
 
 def digest(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:

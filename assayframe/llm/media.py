@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import map_batches
+
 UNIT = 64
 RATE = 8000
 #: RIFF format tags (fixed values): PCM, A-law, mu-law, IMA ADPCM.
@@ -149,7 +151,7 @@ def store_payload(docs: DataFrame, kind: str = "mulaw", out: str = "media") -> D
             texts = [(x or "").encode("utf-8", "replace") for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in texts], pa.int64()), pa.array([wav(kind, pad(x)) for x in texts], pa.binary())], ["doc_id", "n_bytes", out])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, f"doc_id long, n_bytes long, {out} binary")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text")), run, f"doc_id long, n_bytes long, {out} binary")
 
 
 def store_pcm(media: DataFrame, column: str = "media", out: str = "pcm") -> DataFrame:
@@ -176,7 +178,7 @@ def digest(docs: DataFrame, kind: str = "mulaw") -> DataFrame:
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], NAMES)
 
-    return store_payload(docs, kind).mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return map_batches(store_payload(docs, kind), run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
 NAMES = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]

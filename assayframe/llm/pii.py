@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import map_batches
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "url", "account")
 CUES = ("iban", "passport", "account", "acct", "ssn", "kontonummer", "cuenta", "compte")
@@ -143,7 +145,7 @@ def digest(docs: DataFrame) -> DataFrame:
             by_kind = list(zip(*counts, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in by_kind), pa.array(hashes, pa.string()), pa.array(said, pa.string())], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text")), run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def find_spans(docs: DataFrame, column: str = "text", out: str = "pii") -> DataFrame:

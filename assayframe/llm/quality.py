@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import text_slices
+from .shared import map_batches, text_slices
 from .tokens import SPACE, mix, span_hashes, word_bounds
 
 BUCKETS = 1 << 15
@@ -170,7 +170,7 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[dict[int, float]
             codes = [pattern_codes(data, offsets) for _, offsets, data in text_slices(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(codes) if codes else [], pa.int32())], ["doc_id", "pattern"])
 
-    coded = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(code, "doc_id long, pattern int")
+    coded = map_batches(docs.select(F.col("doc_id").cast("long"), "text"), code, "doc_id long, pattern int")
     table = coded.groupBy("pattern").agg(F.count("*").alias("n")).toPandas().sort_values("pattern")  # 3 ** labellers rows at most
     patterns, counts = table["pattern"].to_numpy(np.int64), table["n"].to_numpy(np.float64)
     if not len(patterns):
@@ -192,7 +192,7 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[dict[int, float]
             yield pa.RecordBatch.from_arrays([pa.array([weight.tolist()], pa.list_(pa.float64()))], ["weight"])
 
     # about train_docs documents, whatever the size of the corpus: one task
-    got = sample.repartition(1).mapInArrow(learn, "weight array<double>").first()
+    got = map_batches(sample.repartition(1), learn, "weight array<double>").first()
     return posterior, np.array(got["weight"]) if got else np.zeros(BUCKETS + 1), accuracy
 
 
@@ -217,7 +217,7 @@ def score(docs: DataFrame, posterior: dict[int, float], weight: np.ndarray) -> D
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.float64()), pa.array(done)], [*batch.schema.names, "quality_label", "quality_score"])
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
-    return base.mapInArrow(run, f"{ddl}, quality_label double, quality_score double")
+    return map_batches(base, run, f"{ddl}, quality_label double, quality_score double")
 
 
 def digest(docs: DataFrame, train_docs: int = TRAIN_DOCS, least: float = 0.5) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Arrow text is worked on in slices of about this many bytes, so that a batch
 #: of long documents needs no more memory than one of short documents.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
+#: Bytes of an Arrow batch that goes to a Python worker: ten thousand rows, Spark's own limit, may be a gigabyte of long texts.
+BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,6 +33,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow over batches of bounded bytes; the session keeps the bound."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Yield (first row, offsets, bytes) of a string column without copying; null is empty.
 
