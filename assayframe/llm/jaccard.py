@@ -360,6 +360,20 @@ def groups(docs: DataFrame) -> DataFrame:
     return named.join(names, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def oracle() -> str:
+    """DuckDB SQL for the rows of ``groups``: all pairs that share a shingle, then reachability.  For small tables."""
+    return """
+WITH RECURSIVE
+docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (SELECT r, doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM docs),
+sized AS MATERIALIZED (SELECT r, doc_id, len(s)::BIGINT AS n FROM sets),
+tokens AS MATERIALIZED (SELECT r, unnest(s) AS t FROM sets),
+pairs AS (SELECT a.r AS a, b.r AS b, count(*) AS k FROM tokens a JOIN tokens b ON a.t = b.t AND a.r <> b.r GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT a, b FROM pairs JOIN sized x ON x.r = a JOIN sized y ON y.r = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+reach AS (SELECT r AS r, r AS root FROM sized UNION SELECT l.b, reach.root FROM reach JOIN links l ON l.a = reach.r)
+SELECT doc_id, n AS n_shingles, component_id FROM sized JOIN (SELECT reach.r, min(o.doc_id) AS component_id FROM reach JOIN sized o ON o.r = reach.root GROUP BY 1) USING (r)"""
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs without the documents that are in a group with a smaller doc_id; repeated rows of a doc_id are one."""
     found = written(groups(docs), "groups")

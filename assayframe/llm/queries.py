@@ -54,4 +54,4 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_quality, op3_language_id, op4_license_scan, op5_ngram_jaccard, op6_decontamination, op7_secret_scan, op8_pii, op9_media, op10_sharding)}
-ORACLES: dict[str, str] = {"op1_mixing": mixing.oracle(), "op4_license_scan": licenses.oracle()}
+ORACLES: dict[str, str] = {"op1_mixing": mixing.oracle(), "op4_license_scan": licenses.oracle(), "op5_ngram_jaccard": jaccard.oracle()}
