@@ -2,7 +2,9 @@
 
 Benchmark items are cut into overlapping windows of ``WINDOW`` bytes of
 normalized text (A-Z and Latin-1 letters lower-cased, each white space one space).  A window of
-length L may be found with e = floor(RATE * L) edits.  By the q-gram lemma, a
+length L may be found with e = floor(RATE * L) edits.  For partial passages, items longer than ``SHORT`` bytes
+are also cut into windows of ``SHORT`` bytes every ``STEP`` bytes: each passage of ``SURE`` bytes or more of an
+item holds one of them as a whole, wherever it starts, and is found if that has no more edits than allowed.  By the q-gram lemma, a
 place with at most e edits shares L - q + 1 - q * e q-grams with the window,
 all on diagonals that are at most e apart from its own.
 
@@ -14,8 +16,8 @@ all on diagonals that are at most e apart from its own.
 4. Bands that meet the bound are verified: edit distance of the window
    against the band's stretch of text, its start and end free.
 
-The benchmark is a query set: it is broadcast in blocks of at most
-``BLOCK_BYTES`` of text, one pass over the documents for each.
+The benchmark is a query set: it is broadcast in blocks whose windows have at most
+``BLOCK_BYTES`` of text in all, one pass over the documents for each.
 
 Defined cases: null texts and texts shorter than a q-gram hold no passage;
 null or shorter items have no window; items repeated under several ids are
@@ -37,6 +39,10 @@ from .shared import map_batches, text_slices
 Q = 8
 WINDOW = 96
 STRIDE = 48
+SHORT = 48
+STEP = 8
+#: The shortest part of an item that is found from every start.
+SURE = SHORT + STEP - 1
 RATE = 0.08
 #: Windows of shorter items; below this length an item must be found without edits.
 EXACT_BELOW = 32
@@ -99,7 +105,11 @@ def windows_of(item: int, text: str) -> list[tuple[int, int, bytes]]:
     starts = [*range(0, max(1, len(data) - WINDOW + 1), STRIDE)]
     if starts[-1] + WINDOW < len(data):
         starts.append(len(data) - WINDOW)
-    return [(item, s, data[s : s + WINDOW]) for s in starts]
+    # the windows for partial passages; one that is the whole item is there already
+    parts = [*range(0, len(data) - SHORT + 1, STEP)] if len(data) > SHORT else []
+    if parts and parts[-1] + SHORT < len(data):
+        parts.append(len(data) - SHORT)
+    return [(item, s, data[s : s + WINDOW]) for s in starts] + [(item, s, data[s : s + SHORT]) for s in parts]
 
 
 def patterns(items: list[tuple[int, str]]) -> list[Patterns]:
@@ -188,7 +198,7 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """The benchmark's items in blocks of bounded bytes."""
     items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
     size = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    count = max(1, -(-size * 2 // BLOCK_BYTES))
+    count = max(1, -(-size * (WINDOW // STRIDE + SHORT // STEP) // BLOCK_BYTES))
     for k in range(count):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k).collect()
         if rows:

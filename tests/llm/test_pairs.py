@@ -171,3 +171,20 @@ def test_blocks_of_a_large_benchmark(spark, docs, benchmark, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_BYTES", 500)
     assert {(r.doc_id, r.item_id) for r in decontam.find(planted, table).collect()} == {(1, 1), (2, 2)}
     assert decontam.clean(planted, table).count() == 0
+
+
+def test_decontamination_finds_partial_passages_from_every_start(spark, benchmark):
+    table, items = benchmark
+    item, text = max(items.items(), key=lambda x: len(x[1]))
+    assert len(text) > 200
+    rng, rows = random.Random(6), []
+    for size in (decontam.SURE, 80, 96, 120):
+        for at in range(len(text) - size + 1):
+            part = text[at : at + size]
+            rows.append((len(rows), f"words before it {part} and after"))
+            if at % 5 == 0:  # one byte of it is changed
+                cut = rng.randrange(size)
+                rows.append((len(rows), f"words before it {part[:cut]}Z{part[cut + 1 :]} and after"))
+    planted = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter((r.doc_id, r.item_id) for r in decontam.find(planted, table).collect()) == Counter((d, item) for d, _ in rows)
+    assert decontam.clean(planted, table).count() == 0
