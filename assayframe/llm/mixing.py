@@ -5,9 +5,11 @@ weights are raked: scaled by each dimension's targets in turn until every
 marginal of the weights meets its target.  A document of a cell is kept with
 the probability rate * weight / tokens of its cell, so expected tokens have
 the target marginals; by default the rate is the largest at which no
-probability passes 1.  With ``keep_share`` a share of all tokens is asked for; where that
+probability passes 1.  With ``at_most`` the rate is lowered where more than that
+share of all tokens would be kept; the marginals are still met.  With
+``keep_share`` a share of all tokens is asked for; where that
 takes probabilities above 1 they are cut, and the rate of the other cells is
-raised so that the expected sum is still met.
+raised so that the expected sum is still met, but the marginals are not.
 
 Targets are shares of tokens, as a table or by flattening: a value's share of
 all tokens to a power below 1.  Cells are as many as there are combinations;
@@ -124,7 +126,7 @@ def rake(cells: DataFrame, targets: Mapping[str, Target] = TARGETS, sweeps: int
     return raked
 
 
-def probabilities(cells: DataFrame, keep_share: float | None = None) -> DataFrame:
+def probabilities(cells: DataFrame, keep_share: float | None = None, at_most: float | None = None) -> DataFrame:
     """Raked cells with ``probability``, so that expected tokens are in proportion to the weights."""
     ratio = F.col("weight") / F.col("tokens")
     live = cells.where("tokens > 0 and weight > 0")
@@ -132,6 +134,9 @@ def probabilities(cells: DataFrame, keep_share: float | None = None) -> DataFram
     if top is None:
         return cells.withColumn("probability", F.lit(0.0))
     rate = 1.0 / top
+    if at_most is not None:
+        whole = cells.agg(F.sum("tokens").alias("t")).first()["t"]
+        rate = min(rate, at_most * whole / live.agg(F.sum("weight").alias("w")).first()["w"])
     if keep_share is not None:
         target_tokens = keep_share * cells.agg(F.sum("tokens").alias("t")).first()["t"]
         rate = target_tokens / (live.agg(F.sum("weight").alias("w")).first()["w"])
@@ -147,11 +152,11 @@ def probabilities(cells: DataFrame, keep_share: float | None = None) -> DataFram
     return cells.withColumn("probability", F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.lit(rate) * ratio)).otherwise(0.0))
 
 
-def _decided(base: DataFrame, targets: Mapping[str, Target], keep_share: float | None, seed: int) -> DataFrame:
+def _decided(base: DataFrame, targets: Mapping[str, Target], keep_share: float | None, seed: int, at_most: float | None = None) -> DataFrame:
     """base (doc_id, _source, _lang, _topic, _tokens and more) with probability and sampled."""
     keys = ["_source", "_lang", "_topic"]
     cells = base.groupBy(*keys).agg(F.sum("_tokens").alias("tokens"))
-    rates = written(probabilities(rake(cells, targets), keep_share).select(*keys, F.round("probability", 5).alias("probability")), "rates")
+    rates = written(probabilities(rake(cells, targets), keep_share, at_most).select(*keys, F.round("probability", 5).alias("probability")), "rates")
     if rates.count() <= BROADCAST_CELLS:
         rates = F.broadcast(rates)
     joined = base.join(rates, keys, "left").withColumn("probability", F.coalesce("probability", F.lit(0.0)))
@@ -160,9 +165,9 @@ def _decided(base: DataFrame, targets: Mapping[str, Target], keep_share: float |
     return joined.withColumn("sampled", chance < F.col("probability"))
 
 
-def calibrated(docs: DataFrame, targets: Mapping[str, Target] = TARGETS, keep_share: float | None = None, seed: int = 0) -> DataFrame:
+def calibrated(docs: DataFrame, targets: Mapping[str, Target] = TARGETS, keep_share: float | None = None, seed: int = 0, at_most: float | None = None) -> DataFrame:
     """docs with _source, _lang, _topic, _tokens, probability and sampled; all rows stay."""
-    return _decided(featured(docs.drop("probability", "sampled")), targets, keep_share, seed)
+    return _decided(featured(docs.drop("probability", "sampled")), targets, keep_share, seed, at_most)
 
 
 def digest(docs: DataFrame, targets: Mapping[str, Target] = TARGETS, seed: int = 0) -> DataFrame:
@@ -175,9 +180,9 @@ def digest(docs: DataFrame, targets: Mapping[str, Target] = TARGETS, seed: int =
     return out.select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"), "probability", "sampled")
 
 
-def sample(docs: DataFrame, targets: Mapping[str, Target] = TARGETS, keep_share: float | None = None, seed: int = 0) -> DataFrame:
+def sample(docs: DataFrame, targets: Mapping[str, Target] = TARGETS, keep_share: float | None = None, seed: int = 0, at_most: float | None = None) -> DataFrame:
     """The documents that are sampled, with their own columns."""
-    return calibrated(docs, targets, keep_share, seed).where("sampled").select(*docs.columns)
+    return calibrated(docs, targets, keep_share, seed, at_most).where("sampled").select(*docs.columns)
 
 
 def oracle(targets: Mapping[str, Target] = TARGETS, topics: Sequence[tuple[str, Sequence[str]]] = TOPICS, sweeps: int = 40, seed: int = 0) -> str:

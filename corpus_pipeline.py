@@ -22,7 +22,7 @@ from assayframe.llm.shared import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Share of the tokens that mixing keeps.
+#: Share of the tokens that mixing keeps at most: fewer where the targets can't be met otherwise.
 KEEP_SHARE = 0.9
 SHARDS = 40
 
@@ -40,7 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.sample(docs, keep_share=KEEP_SHARE)
+    return mixing.sample(docs, at_most=KEEP_SHARE)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

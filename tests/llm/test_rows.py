@@ -58,6 +58,23 @@ def test_mixing_to_a_share(docs):
     assert len(mixing.sample(docs, keep_share=0.9).columns) == 5
 
 
+def test_mixing_stage_meets_its_targets_with_a_hot_source(spark):
+    import corpus_pipeline
+
+    text = "a few words of plain prose that are all alike"
+    rows = [(i, text, "en", "hot" if i % 3 == 0 else f"s{i % 19}", len(text)) for i in range(11_400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    before = Counter(r[3] for r in rows)
+    goal = {k: n**0.7 for k, n in before.items()}
+    goal = {k: x / sum(goal.values()) for k, x in goal.items()}
+    kept = Counter(r.source for r in corpus_pipeline.mix(spark, docs, "").collect())
+    assert abs(kept["hot"] / kept.total() - goal["hot"]) < 0.02
+    out = mixing.calibrated(docs, at_most=corpus_pipeline.KEEP_SHARE).groupBy("source").agg(F.sum(F.col("_tokens") * F.col("probability")).alias("n"), F.max("probability").alias("p")).collect()
+    assert all(r.n / sum(x.n for x in out) == pytest.approx(goal[r.source], abs=1e-4) and r.p <= 1 for r in out)
+    some = mixing.calibrated(docs, at_most=0.3).agg(F.sum(F.col("_tokens") * F.col("probability")) / F.sum("_tokens")).first()[0]
+    assert some == pytest.approx(0.3, abs=1e-4)
+
+
 def test_mixing_odd_tables(spark, empty):
     assert mixing.digest(empty).count() == 0 and mixing.sample(empty).count() == 0
     df = spark.createDataFrame([(1, None, None, None, 1.0), (1, "", "x", "y", 2.0)], "doc_id long, text string, lang string, source string, probability double")
