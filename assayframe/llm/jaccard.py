@@ -17,19 +17,28 @@ are found, but large groups are never spelled out as pairs of rows.
    away any t tokens leaves a rare one or two of one class, and the pairs of
    each class are indexed.  Linked owners share an indexed key.
 4. Verify.  Owners gather round the owner with the most shared tokens that
-   they share a key with, in blocks of bounded size.  Blocks with a common
-   key meet in one task, which counts all intersections by matrix products
-   over slices of the vocabulary, and returns a spanning forest of the links.
+   they share a key with, and by size, in blocks of bounded size.  Two blocks
+   meet in one task, which counts all intersections by matrix products over
+   slices of the vocabulary, and returns a spanning forest of the links.
+   First each block meets itself and, for each of its keys, the block that
+   holds most of the key's owners.  Labels spread over these links.  Then the
+   other blocks with a common key meet, but for those of too different sizes
+   and those whose owners are all in one group already: a large dense group
+   takes as many meetings as it has blocks, not as many as pairs of them.
 5. Join.  Labels spread over the forests until nothing changes.
 
 Frequent tokens are pre-aggregated: a token that many owners sent together
 have is sent to its counting task once for all of them, and its owners go
-around that task.  Hashes have 63 bits (tokens) and 64 bits (sets).
+around that task.  Hashes have 63 bits (tokens) and 64 bits (sets).  Joins to
+keys that may be hot are those of ``shared.looked_up``; a block in many
+meetings is sent in as many copies as its meetings need.
 
 Defined cases: null text and text without words have an empty set, n_shingles
 0, and link with nothing; repeated rows of one doc_id are in one group if
-their texts are; rows with null doc_id never name a group unless all its rows
-are such; other columns are ignored by ``groups`` and kept by ``keep_one``.
+their texts are, and each row is in the group of its own text if they are not;
+rows with null doc_id link like others, but never name a group unless all its
+rows are such; other columns are ignored by ``groups`` and kept by
+``keep_one``.
 """
 
 from __future__ import annotations
@@ -42,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import map_batches, record_batch, text_slices, written
+from .shared import BROADCAST_ROWS, looked_up, map_batches, private, record_batch, text_slices, unwritten, written
 from .tokens import mix, set_hash, shingle_sets
 
 WORDS = 5
@@ -50,16 +59,17 @@ WORDS = 5
 FREQUENT = 8
 #: Sets below this size link only with equal sets.
 SMALLEST = 3
-#: Rows up to which a list of ids is broadcast (8 bytes each); longer ones are joined by a shuffle.
-BROADCAST_ROWS = 2_000_000
 #: Owners and tokens that a verification block holds on average at most.
 BLOCK_OWNERS, BLOCK_TOKENS = 300, 400_000
+#: Meetings that one copy of a block's rows serves.
+MEETINGS = 64
 _VOCABULARY = 4096
 #: Tokens that a task gathers before it sorts and sends them (8 bytes each, some ten times that while sorting).
 HELD_TOKENS = 1 << 20
 
-_SENT = pa.schema([("token", pa.int64()), ("owner", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64())])
-_SENT_DDL = "token long, owner long, n long, doc_id long"
+_DOC = pa.struct([("doc_id", pa.int64()), ("text_key", pa.int64())])
+_SENT = pa.schema([("token", pa.int64()), ("owner", pa.int64()), ("n", pa.int64()), ("doc", _DOC)])
+_SENT_DDL = "token long, owner long, n long, doc struct<doc_id: long, text_key: long>"
 
 
 def need(n):
@@ -76,7 +86,7 @@ def spare(n):
 
 
 def _send(full: bool):
-    """Arrow batches of (doc_id, text) to rows: tokens of owners, and one row for each document.
+    """Arrow batches of (doc, text) to rows: tokens of owners, and one row for each document.
 
     A document's row has a null token.  n is 0 for a token sent to be
     counted, -1 for one that is known to be frequent and need not be, and the
@@ -97,7 +107,7 @@ def _send(full: bool):
         token, owner, kind = np.r_[token, token[pings]], np.r_[owner, owner[pings]], np.r_[kind, count[count >= FREQUENT]]
         for at in range(0, len(token), 1 << 17):
             part = slice(at, at + (1 << 17))
-            yield record_batch(_SENT, token[part], owner[part], kind[part], pa.nulls(len(token[part]), pa.int64()))
+            yield record_batch(_SENT, token[part], owner[part], kind[part], pa.nulls(len(token[part]), _DOC))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, holders, seen, held = [], [], set(), 0
@@ -136,7 +146,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = n < 0
         if known.any():
             at = int(known.sum())
-            yield record_batch(_SENT, token[known] | 1, owner[known], pa.nulls(at, pa.int64()), pa.nulls(at, pa.int64()))
+            yield record_batch(_SENT, token[known] | 1, owner[known], pa.nulls(at, pa.int64()), pa.nulls(at, _DOC))
         parts.append((token[~known], owner[~known], n[~known]))
     if not parts:
         return
@@ -157,16 +167,17 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for at in range(0, len(marked), 1 << 18):
         part = slice(at, at + (1 << 18))
         rows = len(marked[part])
-        yield record_batch(_SENT, marked[part], owner[keep][part], pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()))
+        yield record_batch(_SENT, marked[part], owner[keep][part], pa.nulls(rows, pa.int64()), pa.nulls(rows, _DOC))
 
 
 def shared_tokens(docs: DataFrame, full: bool, name: str) -> tuple[DataFrame, DataFrame]:
-    """(owner, token) for tokens that two owners have, and (doc_id, owner, n) for each document."""
-    sent = map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _send(full), _SENT_DDL)
-    route = F.when(F.col("token").isNull(), F.xxhash64("doc_id", "owner")).when(F.col("n") < 0, F.xxhash64("owner", "token")).otherwise(F.col("token"))
+    """(owner, token) for tokens that two owners have, and (doc_id, text_key, owner, n) for each document (doc_id, text)."""
+    doc = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"))
+    sent = map_batches(docs.select(doc.alias("doc"), "text"), _send(full), _SENT_DDL)
+    route = F.when(F.col("token").isNull(), F.xxhash64("doc.doc_id", "owner", "doc.text_key")).when(F.col("n") < 0, F.xxhash64("owner", "token")).otherwise(F.col("token"))
     got = written(map_batches(sent.repartition(route), _count, _SENT_DDL), name)
     entries = got.where(F.col("token").isNotNull()).select("owner", "token").distinct()
-    return entries, got.where(F.col("token").isNull()).select("doc_id", "owner", "n")
+    return entries, got.where(F.col("token").isNull()).select("doc.doc_id", "doc.text_key", "owner", "n")
 
 
 # -- keys of owners -------------------------------------------------------------------------------------------------
@@ -282,33 +293,81 @@ def _verify(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": child, "b": root})
 
 
-def _blocks(core: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(owner, block) for owners that share a key, and the (left, right) blocks that do, left <= right."""
+def _places(core: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(owner, block, band) for owners that share a key, and (key, block, band, owners); linked sets' bands are 2 apart at most."""
     hubs = signed.groupBy("key").agg(F.max(F.struct("rank", "owner")).alias("hub"), F.min("owner").alias("low"), F.max("owner").alias("high"))
-    met = signed.select("key", "owner").join(hubs.where("low <> high").select("key", "hub"), "key")
+    hubs = written(hubs.where("low <> high").select("key", "hub"), "hubs")
+    met = written(looked_up(signed.select("key", "owner"), "key", hubs).where("hub is not null"), "met")
     family = met.groupBy("owner").agg(F.max("hub").alias("hub")).select("owner", F.col("hub.owner").alias("family"))
-    sized = family.join(core.select("owner", F.size("tokens").alias("m")), "owner")
-    parts = sized.groupBy("family").agg(F.count("*").alias("owners"), F.sum("m").alias("tokens"))
-    parts = parts.select("family", F.greatest(F.ceil(F.col("owners") / BLOCK_OWNERS), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("long").alias("parts"))
-    block = F.xxhash64(F.col("family"), F.pmod(F.xxhash64(F.lit("part"), F.col("owner")), F.col("parts")))
-    placed = written(sized.join(parts, "family").select("owner", block.alias("block")), "blocks")
-    spots = written(met.select("key", "owner").join(placed, "owner").groupBy("key", "block").agg(F.count("*").alias("owners")), "spots")
-    inside = spots.where("owners > 1").select(F.col("block").alias("left"), F.col("block").alias("right")).distinct()
-    wide = spots.groupBy("key").agg(F.min("block").alias("low"), F.max("block").alias("high")).where("low <> high").select("key")
-    across = spots.join(wide, "key", "left_semi").select("key", "block")
-    pairs = across.withColumnRenamed("block", "left").join(across.withColumnRenamed("block", "right"), "key").where("left < right").select("left", "right").distinct()
-    return placed, inside.unionByName(pairs)
-
-
-def links(core: DataFrame) -> DataFrame:
-    """Spanning forests (a, b) of the links between owners; core: owner, n, tokens."""
+    # a band ends at 1.19 times its start; linked sets differ by 1.34 times at most
+    band = F.floor(F.lit(4.0) * F.log2("n")).cast("int")
+    sized = family.join(core.select("owner", "n", F.size("tokens").alias("m")), "owner").select("owner", "m", band.alias("band"), F.xxhash64("family", band).alias("crowd"))
+    sized = written(sized, "sized")
+    parts = sized.groupBy("crowd").agg(F.count("*").alias("owners"), F.sum("m").alias("tokens"))
+    parts = written(parts.select("crowd", F.greatest(F.ceil(F.col("owners") / BLOCK_OWNERS), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("long").alias("parts")), "parts")
+    block = F.xxhash64(F.col("crowd"), F.pmod(F.xxhash64(F.lit("part"), F.col("owner")), F.col("parts")))
+    placed = written(looked_up(sized, "crowd", parts).select("owner", block.alias("block"), "band"), "blocks")
+    spots = written(met.select("key", "owner").join(placed, "owner").groupBy("key", "block", "band").agg(F.count("*").alias("owners")), "spots")
+    for table in (hubs, met, sized, parts):
+        unwritten(table)
+    return placed, spots
+
+
+def _near(a: str, b: str) -> Column:
+    return F.abs(F.col(a) - F.col(b)) <= 2
+
+
+def _first_meetings(spots: DataFrame) -> DataFrame:
+    """(left, right): each block with itself, and with the block that has most owners of one of its keys."""
+    inside = spots.where("owners > 1").select(F.col("block").alias("left"), F.col("block").alias("right"))
+    most = spots.groupBy("key").agg(F.max(F.struct("owners", "block", "band")).alias("most"), F.count("*").alias("n")).where("n > 1")
+    most = written(most.select("key", F.col("most.block").alias("centre"), F.col("most.band").alias("centre_band")), "centres")
+    star = looked_up(spots, "key", most).where((F.col("block") != F.col("centre")) & _near("band", "centre_band"))
+    return inside.unionByName(star.select(F.least("block", "centre").alias("left"), F.greatest("block", "centre").alias("right"))).distinct()
+
+
+def _other_meetings(spots: DataFrame, placed: DataFrame, labels: DataFrame, done: DataFrame) -> DataFrame:
+    """(left, right) of blocks with a common key that have not met and are not of one and the same group as a whole."""
+    named = looked_up(placed, "owner", labels).withColumn("root", F.coalesce("root", "owner"))
+    one = F.when(F.min("root") == F.max("root"), F.min("root"))
+    whole = written(named.groupBy("block").agg(one.alias("label")), "whole-blocks")
+    rows = looked_up(spots.select("key", "block", "band"), "block", whole)
+    open_ = (F.count("*") > 1) & ((F.count("label") < F.count("*")) | (F.min("label") != F.max("label")))
+    keys = written(rows.groupBy("key").agg(open_.alias("open")).where("open"), "open-keys")
+    rows = written(looked_up(rows, "key", keys).where("open").drop("open"), "open-spots")
+    a, b = (rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("block", "band", "label")]) for side in "ab")
+    apart = F.coalesce(F.col("label_a") != F.col("label_b"), F.lit(True))
+    pairs = a.join(b, "key").where((F.col("block_a") < F.col("block_b")) & _near("band_a", "band_b") & apart)
+    return pairs.select(F.col("block_a").alias("left"), F.col("block_b").alias("right")).distinct().join(done, ["left", "right"], "left_anti")
+
+
+def _met(pairs: DataFrame, core: DataFrame, placed: DataFrame) -> DataFrame:
+    """Spanning forests (a, b) of the links between the owners of pairs of blocks."""
+    first = pairs.select("left", "right", F.lit(0).alias("side"), F.col("left").alias("block"), F.col("right").alias("other"))
+    second = pairs.where("left <> right").select("left", "right", F.lit(1).alias("side"), F.col("right").alias("block"), F.col("left").alias("other"))
+    sides = written(first.unionByName(second), "sides")
+    copies = written(sides.groupBy("block").agg(F.ceil(F.count("*") / MEETINGS).cast("int").alias("copies")).where("copies > 1"), "copies")
+    many = F.coalesce("copies", F.lit(1))
+    asked = looked_up(sides, "block", copies).withColumn("copy", F.pmod(F.xxhash64("other"), many).cast("int")).drop("copies", "other")
+    held = looked_up(core.join(placed, "owner").select("block", "owner", "n", "tokens"), "block", copies)
+    held = held.withColumn("copy", F.explode(F.sequence(F.lit(0), many - 1))).drop("copies")
+    return asked.join(held, ["block", "copy"]).select("left", "right", "side", "owner", "n", "tokens").groupBy("left", "right").applyInPandas(_verify, "a long, b long")
+
+
+def grouped(core: DataFrame) -> DataFrame:
+    """(owner, root) of linked owners; core: owner, n, tokens."""
+    if core.isEmpty():
+        return core.select("owner", F.col("owner").alias("root"))
     signed = written(map_batches(core, _sign, "key long, owner long, rank long"), "keys")
-    placed, pairs = _blocks(core, signed)
-    pairs = written(pairs, "block-pairs")
-    held = core.join(placed, "owner").select("block", "owner", "n", "tokens")
-    first = pairs.join(held, pairs["left"] == held["block"]).select("left", "right", F.lit(0).alias("side"), "owner", "n", "tokens")
-    second = pairs.where(F.col("left") != F.col("right")).join(held, F.col("right") == held["block"]).select("left", "right", F.lit(1).alias("side"), "owner", "n", "tokens")
-    return first.unionByName(second).groupBy("left", "right").applyInPandas(_verify, "a long, b long")
+    placed, spots = _places(core, signed)
+    unwritten(signed)
+    first = written(_first_meetings(spots), "first-pairs")
+    links = written(_met(first, core, placed), "first-links")
+    labels = connected(links)
+    rest = written(_other_meetings(spots, placed, labels, first), "other-pairs")
+    if rest.isEmpty():
+        return labels
+    return connected(links.unionByName(_met(rest, core, placed)))
 
 
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -319,13 +378,20 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """
     both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = written(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("owner"), F.least("a", "b").alias("root")), "labels")
+    kept = labels
+    if both.isEmpty():
+        return labels
     for _ in range(rounds):
-        near = both.join(labels.select(F.col("owner").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"))
-        step = labels.join(near.withColumnRenamed("a", "owner"), "owner", "left").select("owner", "root", F.least("root", "near").alias("next"))
-        jump = labels.select(F.col("owner").alias("next"), F.col("root").alias("far"))
-        after = written(step.join(jump, "next", "left").select("owner", F.col("root").alias("old"), F.least("next", "far").alias("root")), "labels")
-        labels = after.select("owner", "root")
+        heard = looked_up(both, "b", labels.select(F.col("owner").alias("b"), "root")).select(F.col("a").alias("owner"), "root", F.lit(None).cast("long").alias("own"))
+        heard = heard.unionByName(labels.withColumn("own", F.col("root")))
+        step = written(heard.groupBy("owner").agg(F.min("root").alias("next"), F.max("own").alias("old")), "steps")
+        jumped = looked_up(step, "next", labels.select(F.col("owner").alias("next"), F.col("root").alias("far")))
+        after = written(jumped.select("owner", "old", F.least("next", "far").alias("root")), "labels")
+        unwritten(step)
+        unwritten(kept)
+        kept, labels = after, after.select("owner", "root")
         if after.where("old <> root").isEmpty():
+            unwritten(both)
             return labels
     raise RuntimeError("labels still change after all rounds")
 
@@ -344,20 +410,32 @@ def _size_bound(n: Column) -> Column:
     return F.when(least >= 24, F.floor(least / 12)).otherwise(1)
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document."""
+def components(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, n, root) of every row of docs (doc_id, text), a written table: root is null for empty sets.
+
+    text_key is xxhash64 of the text: with doc_id it tells which row this is.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     entries, documents = shared_tokens(docs, False, "prefix-tokens")
     owners = documents.where(F.col("owner").isNotNull()).groupBy("owner").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
     counts = entries.groupBy("owner").agg(F.count("*").alias("m"))
     alive = written(counts.join(owners, "owner").where(F.col("m") >= _size_bound(F.col("n"))).select("owner", "n", "doc_id"), "sifted")
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(_few(alive.select("doc_id").distinct()), "doc_id", "left_semi")
+    # whole texts are read again by the smallest id that they stand under; sets that only rows without an id hold, from all such rows
+    some = docs.join(_few(alive.where("doc_id is not null").select("doc_id").distinct()), "doc_id", "left_semi")
+    if not alive.where("doc_id is null").isEmpty():
+        some = some.unionByName(docs.where("doc_id is null"))
     entries, _ = shared_tokens(some, True, "full-tokens")
     sets = entries.groupBy("owner").agg(F.collect_list("token").alias("tokens"))
     core = written(sets.join(alive.select("owner", "n"), "owner").where(F.size("tokens") >= F.floor((75 * F.col("n") + 99) / 100)).select("owner", "n", "tokens"), "core")
-    roots = connected(links(core))
-    named = documents.join(roots, "owner", "left").withColumn("root", F.coalesce("root", "owner"))
+    roots = grouped(core)
+    return written(looked_up(documents, "owner", roots).select("doc_id", "text_key", "n", F.coalesce("root", "owner").alias("root")), "components")
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document."""
+    named = components(docs)
     names = named.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("members")).where("members > 1").drop("members")
-    return named.join(names, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return looked_up(named, "root", written(names, "names")).select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def oracle() -> str:
@@ -375,12 +453,28 @@ SELECT doc_id, n AS n_shingles, component_id FROM sized JOIN (SELECT reach.r, mi
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs without the documents that are in a group with a smaller doc_id; repeated rows of a doc_id are one."""
-    found = written(groups(docs), "groups")
-    surplus = found.where("component_id < doc_id").select("doc_id").distinct()
-    twice = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    kept = docs.join(_few(surplus), "doc_id", "left_anti").select(*docs.columns)
-    if twice.isEmpty():
-        return kept
-    single = kept.join(_few(twice), "doc_id", "left_anti").select(*docs.columns)
-    return single.unionByName(kept.join(_few(twice), "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    """One row of each group of docs, with its own columns; rows with an empty set all stay.
+
+    The row with the smallest doc_id stays, one without an id only where none
+    of the group has one; of several texts under that doc_id the one with the
+    smallest hash; of rows equal in doc_id and text one, no matter which.
+    Rows of another group stay, even if they have a doc_id that goes here.
+    """
+    found = components(docs).where(F.col("root").isNotNull())
+    me = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key")
+    best = written(found.groupBy("root").agg(F.min(me).alias("best"), F.count("*").alias("members")).where("members > 1").select("root", "best"), "best")
+    judged = looked_up(found, "root", best).where("best is not null").withColumn("stays", me == F.col("best"))
+    judged = written(judged.groupBy("doc_id", "text_key").agg(F.max("stays").alias("stays"), F.count("*").alias("times")), "judged")
+    key, doc = private(docs, "text_key", "doc")
+    keyed = docs.withColumns({key: F.xxhash64("text"), doc: F.col("doc_id").cast("long")})
+
+    def among(rows: DataFrame, listed: DataFrame, how: str) -> DataFrame:
+        return rows.join(_few(listed), rows[doc].eqNullSafe(listed["doc_id"]) & (rows[key] == listed["text_key"]), how)
+
+    kept = among(keyed, judged.where("not stays"), "left_anti")
+    repeated = judged.where("stays and times > 1")
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    whole = F.first(F.struct(*docs.columns)).alias(key)
+    once = among(kept, repeated, "left_semi").groupBy(F.col(doc).alias("doc"), F.col(key).alias("text")).agg(whole).select(f"{key}.*")
+    return among(kept, repeated, "left_anti").select(*docs.columns).unionByName(once)
