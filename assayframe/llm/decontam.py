@@ -1,28 +1,36 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
-Benchmark items are cut into overlapping windows of ``WINDOW`` bytes of
-normalized text (A-Z and Latin-1 letters lower-cased, each white space one space).  A window of
-length L may be found with e = floor(RATE * L) edits.  For partial passages, items longer than ``SHORT`` bytes
-are also cut into windows of ``SHORT`` bytes every ``STEP`` bytes: each passage of ``SURE`` bytes or more of an
-item holds one of them as a whole, wherever it starts, and is found if that has no more edits than allowed.  By the q-gram lemma, a
-place with at most e edits shares L - q + 1 - q * e q-grams with the window,
-all on diagonals that are at most e apart from its own.
-
-1. Every q-gram of every text is looked up among the benchmark's (numpy over
-   the bytes; with q = 8 a q-gram is one 64-bit number).
+Texts and benchmark items are normalized character by character: lower case,
+each white space a space.  A document holds a passage of an item if one of the
+item's windows of ``WINDOW`` characters, wherever it starts, stands in it with
+at most e = floor(RATE * WINDOW) edits; so each verbatim part of ``WINDOW``
+characters or more is found.  Items shorter than a window are one window:
+from ``EXACT_BELOW`` characters on with as many edits for their length, below
+without any.  Items shorter than a q-gram are found where they are a document's
+whole text (but for white space around it).
+
+By the q-gram lemma, a place with at most e edits shares L - q + 1 - q * e
+q-grams with a window of L characters, all on diagonals (place in the text
+less place in the item) that are at most e apart.
+
+1. The q-grams of every text are looked up among the benchmark's.
 2. Stretches of text with fewer hits than any window's bound are dropped.
-3. In what is left, hits are counted by window and diagonal band; bands are
-   2e wide and overlap by half, so that each place lies in one as a whole.
-4. Bands that meet the bound are verified: edit distance of the window
-   against the band's stretch of text, its start and end free.
-
-The benchmark is a query set: it is broadcast in blocks whose windows have at most
-``BLOCK_BYTES`` of text in all, one pass over the documents for each.
-
-Defined cases: null texts and texts shorter than a q-gram hold no passage;
-null or shorter items have no window; items repeated under several ids are
-all reported; positions are bytes of the normalized UTF-8 text, which has the
-original's length; repeated document rows are reported each.
+3. In what is left, hits are sorted by item, diagonal band and place in the
+   item; bands are 2e wide and overlap by half, so that each place lies in one
+   as a whole.  For every window, the hits of a band are counted.
+4. Windows that meet their bound are verified: edit distance to the text,
+   its start and end free, over the band's diagonals and e more on either side.
+   The alignment remembers where it starts.
+
+The benchmark is a query set: it is broadcast in blocks of at most
+``BLOCK_GRAMS`` characters, some 16 bytes for each, one pass over the documents
+for each block.
+
+Defined cases: null texts hold no passage; null items have no window; items
+repeated under several ids are all reported; positions are characters (code
+points) of the text; repeated document rows are reported each; long texts are
+looked at in overlapping pieces; other columns are ignored by ``find`` and kept
+by ``clean``.
 """
 
 from __future__ import annotations
@@ -34,230 +42,301 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import map_batches, text_slices
+from .shared import SLICE_BYTES, map_batches, text_slices
 
 Q = 8
-WINDOW = 96
-STRIDE = 48
-SHORT = 48
-STEP = 8
-#: The shortest part of an item that is found from every start.
-SURE = SHORT + STEP - 1
+WINDOW = 48
 RATE = 0.08
-#: Windows of shorter items; below this length an item must be found without edits.
+#: Items shorter than this must be found without edits.
 EXACT_BELOW = 32
-BLOCK_BYTES = 16 << 20
+BLOCK_GRAMS = 1 << 19
+#: Bytes by which pieces of a long text overlap: more than any window with its edits, in UTF-8.
+OVERLAP = 1024
 _BITS = 22
-_SPREAD = np.uint64(0x9E3779B97F4A7C15)
-
-NORMAL = np.arange(256, dtype=np.uint8)
-NORMAL[65:91] += 32
-NORMAL[0x09:0x0E] = 0x20
-
-
-def fold(data: np.ndarray) -> np.ndarray:
-    """Lower-case A-Z and the Latin-1 letters of UTF-8 bytes, make white space spaces; the length stays."""
-    low = NORMAL[data]
-    after = np.flatnonzero(low[:-1] == 0xC3) + 1
-    second = low[after]
-    low[after] = second + np.where((second >= 0x80) & (second <= 0x9E) & (second != 0x97), 0x20, 0).astype(np.uint8)
-    return low
-
-
-def normalized(text: str) -> np.ndarray:
-    return fold(np.frombuffer(bytearray(text.encode("utf-8", "replace")), np.uint8))
-
-
-def qgrams(data: np.ndarray) -> np.ndarray:
-    """The 64-bit number of the 8 bytes from each position on."""
-    data = np.ascontiguousarray(data)
-    return np.ndarray((max(0, len(data) - Q + 1),), "<u8", data, strides=(1,)) if len(data) >= Q else np.zeros(0, np.uint64)
-
-
-class Patterns:
-    """Windows of items with their q-gram tables; windows of one block are of about one length."""
-
-    def __init__(self, windows: list[tuple[int, int, bytes]]):
-        self.item = [w[0] for w in windows]
-        self.at = [w[1] for w in windows]
-        self.data = [w[2] for w in windows]
-        length = np.array([len(x) for x in self.data], np.int64)
-        self.edits = np.where(length < EXACT_BELOW, 0, np.floor(RATE * length).astype(np.int64))
-        self.bound = np.maximum(1, length - Q + 1 - Q * self.edits)
-        grams = [qgrams(np.frombuffer(x, np.uint8)) for x in self.data]
-        gram = np.concatenate(grams)
-        owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        where = np.concatenate([np.arange(len(g)) for g in grams])
+_BASE, _SPREAD = 0x100000001B3, np.uint64(0x9E3779B97F4A7C15)
+_NOTHING = np.uint32(0xFFFFFFFF)
+#: Windows that are aligned at once.
+_LOT = 4096
+_UNIT = 1 << 16
+
+_tables: dict[str, np.ndarray] = {}
+
+
+def _lower() -> np.ndarray:
+    """The normal form of each character of the basic plane that has one of length 1."""
+    if "lower" not in _tables:
+        table = np.arange(1 << 16, dtype=np.uint32)
+        for c in map(chr, range(1 << 16)):
+            low = " " if c.isspace() else "σ" if c == "ς" else c.lower()
+            if len(low) == 1:
+                table[ord(c)] = ord(low)
+        _tables["lower"] = table
+    return _tables["lower"]
+
+
+def normalized(data: bytes) -> np.ndarray:
+    """Code points of a UTF-8 text in normal form, as many as the text has."""
+    points = np.frombuffer(data.decode("utf-8", "replace").encode("utf-32-le", "replace"), np.uint32)
+    low = _lower()[np.minimum(points, 0xFFFF)]
+    return np.where(points > 0xFFFF, points, low)
+
+
+def qgrams(points: np.ndarray) -> np.ndarray:
+    """A 64-bit number of the Q = 8 characters from each place on: a polynomial, by doubling."""
+    if len(points) < Q:
+        return np.zeros(0, np.uint64)
+    h, power = points.astype(np.uint64), _BASE
+    for step in (1, 2, 4):
+        h = h[:-step] * np.uint64(power) + h[step:]
+        power = power * power % (1 << 64)
+    return h
+
+
+def edits_of(length):
+    """Edits that a window of an item of some length may have."""
+    return np.where(np.asarray(length) < EXACT_BELOW, 0, np.floor(RATE * np.minimum(length, WINDOW))).astype(np.int64)
+
+
+class Index:
+    """The q-grams of items whose windows are of about one length, by their number, with their places."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]]):
+        size = np.array([len(x) for _, x in items], np.int64)
+        self.item = np.array([k for k, _ in items], np.int64)
+        self.text = np.concatenate([x for _, x in items])
+        self.start = np.cumsum(np.r_[0, size[:-1]])
+        self.length = np.minimum(size, WINDOW)
+        self.last = self.start + size - self.length  # where an item's last window starts
+        self.edits = edits_of(size)
+        self.bound = np.maximum(1, self.length - Q + 1 - Q * self.edits)
+        place = np.concatenate([np.arange(a, a + n - Q + 1) for a, n in zip(self.start, size, strict=True)])
+        gram = qgrams(self.text)[place]
         order = np.argsort(gram, kind="stable")
+        self.place = place[order].astype(np.int32)
         self.gram, self.first = np.unique(gram[order], return_index=True)
-        self.last = np.r_[self.first[1:], len(gram)]
-        self.owner, self.where = owner[order], where[order]
-        self.known = np.zeros(1 << _BITS, bool)
-        self.known[((self.gram * _SPREAD) >> np.uint64(64 - _BITS)).astype(np.intp)] = True
-        #: what a stretch of this many q-gram positions must have at least
-        self.least, self.reach = int(self.bound.min()), int((length + self.edits).max())
-
-
-def windows_of(item: int, text: str) -> list[tuple[int, int, bytes]]:
-    data = normalized(text).tobytes()
-    if len(data) < Q:
-        return []
-    starts = [*range(0, max(1, len(data) - WINDOW + 1), STRIDE)]
-    if starts[-1] + WINDOW < len(data):
-        starts.append(len(data) - WINDOW)
-    # the windows for partial passages; one that is the whole item is there already
-    parts = [*range(0, len(data) - SHORT + 1, STEP)] if len(data) > SHORT else []
-    if parts and parts[-1] + SHORT < len(data):
-        parts.append(len(data) - SHORT)
-    return [(item, s, data[s : s + WINDOW]) for s in starts] + [(item, s, data[s : s + SHORT]) for s in parts]
-
-
-def patterns(items: list[tuple[int, str]]) -> list[Patterns]:
-    """Pattern sets by length class: short windows with low bounds don't weaken the filter for the full ones."""
-    all_windows = [w for item, text in items for w in windows_of(item, text)]
-    classes: dict[int, list[tuple[int, int, bytes]]] = {}
-    for w in all_windows:
-        classes.setdefault(len(w[2]) // 16, []).append(w)
-    return [Patterns(x) for x in classes.values()]
-
-
-def distance(pattern: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int]:
-    """(edits, end) of the best place of pattern in text with free start and end; edits is most + 1 if there is none."""
-    row = np.zeros(len(text) + 1, np.int32)
-    steps = np.arange(len(text) + 1, dtype=np.int32)
-    for i, c in enumerate(pattern):
-        best = np.minimum(row[:-1] + (text != c), row[1:] + 1)
-        row = np.concatenate([[i + 1], best]).astype(np.int32)
-        row = np.minimum.accumulate(row - steps) + steps
-        if row.min() > most:
-            return most + 1, 0
-    end = int(row.argmin())
-    return int(row[end]), end
-
-
-def passages(data: np.ndarray, sets: list[Patterns]) -> list[tuple[int, int, int, int]]:
-    """(item, start, end, edits) of all windows found in one normalized text."""
-    found = []
-    gram = qgrams(data)
-    for p in sets:
-        hits = p.known[((gram * _SPREAD) >> np.uint64(64 - _BITS)).astype(np.intp)]
-        total = np.zeros(len(hits) + 1, np.int64)
-        np.cumsum(hits, out=total[1:])
-        if total[-1] < p.least:
-            continue
-        ahead = np.minimum(np.arange(len(hits)) + p.reach, len(hits))
-        dense = np.flatnonzero(total[ahead] - total[:-1] >= p.least)
-        if not len(dense):
-            continue
-        mark = np.zeros(len(hits) + 1, np.int32)
-        np.add.at(mark, dense, 1)
-        np.add.at(mark, np.minimum(dense + p.reach, len(hits)), -1)
-        spots = np.flatnonzero(hits & (np.cumsum(mark[:-1]) > 0))
-        index = np.minimum(np.searchsorted(p.gram, gram[spots]), len(p.gram) - 1)
-        true = p.gram[index] == gram[spots]
-        spots, index = spots[true], index[true]
-        many = p.last[index] - p.first[index]
-        if not many.sum():
-            continue
-        flat = np.repeat(p.first[index] - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(int(many.sum()))
-        window, diagonal = p.owner[flat], np.repeat(spots, many) - p.where[flat]
-        wide = np.maximum(1, p.edits[window])
-        shifted = diagonal + WINDOW  # positive
-        keys = np.concatenate([np.c_[window, shifted // wide], np.c_[window, shifted // wide - 1]])
-        bands, counts = np.unique(keys[:, 0] * (1 << 40) + keys[:, 1] + 1, return_counts=True)
-        window, band = bands >> 40, (bands & ((1 << 40) - 1)) - 1
-        enough = counts >= p.bound[window]
-        seen: set[tuple[int, int]] = set()
-        for w, b in zip(window[enough].tolist(), band[enough].tolist(), strict=True):
-            e, size = int(p.edits[w]), len(p.data[w])
-            low = b * max(1, e) - WINDOW
-            start = max(0, low)
-            stretch = data[start : low + 2 * max(1, e) + size + e]
-            at = stretch.tobytes().find(p.data[w])
-            edits, end = (0, at + size) if at >= 0 else distance(np.frombuffer(p.data[w], np.uint8), stretch, e)
-            if edits <= e and (w, start + end) not in seen:
-                seen.add((w, start + end))
-                found.append((p.item[w], start + end - size, start + end, edits))
-    return found
-
-
-def merged(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
-    """(item, start, end, edits, windows): overlapping windows of one item in one text become one passage."""
-    out: list[list[int]] = []
-    for item, start, end, edits in sorted(found):
+        #: what a stretch of ``reach`` places must have at least
+        self.least, self.reach = int(self.bound.min()), int((self.length + self.edits).max())
+
+    def known(self, gram: np.ndarray) -> np.ndarray:
+        """Whether q-grams may be among those of the items (a filter of one hash)."""
+        if not hasattr(self, "filter"):
+            self.filter = np.zeros(1 << _BITS, bool)
+            self.filter[((self.gram * _SPREAD) >> np.uint64(64 - _BITS)).astype(np.intp)] = True
+        return self.filter[((gram * _SPREAD) >> np.uint64(64 - _BITS)).astype(np.intp)]
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "filter"}
+
+
+def indexes(items: list[tuple[int, str]]) -> tuple[list[Index], dict[str, list[int]]]:
+    """Indexes by length class (short windows with low bounds don't weaken the filter for full ones), and the shortest items by text."""
+    classes: dict[int, list[tuple[int, np.ndarray]]] = {}
+    tiny: dict[str, list[int]] = {}
+    for item, text in items:
+        points = normalized(text.encode("utf-8", "replace"))
+        if len(points) >= Q:
+            classes.setdefault(min(len(points), WINDOW) // 16, []).append((item, points))
+        elif bare := _said(points):
+            tiny.setdefault(bare, []).append(item)
+    return [Index(x) for x in classes.values()], tiny
+
+
+def _said(points: np.ndarray) -> str:
+    return points.tobytes().decode("utf-32-le", "replace").strip(" ")
+
+
+def hits(gram: np.ndarray, p: Index) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the text, place in the index) of shared q-grams in stretches that have enough of them."""
+    maybe = p.known(gram)
+    total = np.zeros(len(maybe) + 1, np.int64)
+    np.cumsum(maybe, out=total[1:])
+    none = np.zeros(0, np.int64)
+    if total[-1] < p.least:
+        return none, none
+    ahead = np.minimum(np.arange(len(maybe)) + p.reach, len(maybe))
+    dense = np.flatnonzero(total[ahead] - total[:-1] >= p.least)
+    if not len(dense):
+        return none, none
+    mark = np.bincount(dense, minlength=len(maybe) + 1) - np.bincount(np.minimum(dense + p.reach, len(maybe)), minlength=len(maybe) + 1)
+    spots = np.flatnonzero(maybe & (np.cumsum(mark[:-1]) > 0))
+    at = np.minimum(np.searchsorted(p.gram, gram[spots]), len(p.gram) - 1)
+    true = p.gram[at] == gram[spots]
+    spots, at = spots[true], at[true]
+    many = np.r_[p.first[1:], len(p.place)][at] - p.first[at]
+    flat = np.repeat(p.first[at] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+    return np.repeat(spots, many), p.place[flat].astype(np.int64)
+
+
+def aligned(text: np.ndarray, pattern: np.ndarray, e: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(edits, start, end) of each pattern's best place in its stretch of text, within the band of diagonals.
+
+    text has a row of len(pattern) + width - 1 characters for each pattern; a
+    place on diagonal d starts at text[d].  Of equal places the one that starts
+    last and then ends first is taken.
+    """
+    n, length = pattern.shape
+    width = text.shape[1] - length + 1
+    steps = np.arange(width, dtype=np.int64)
+    # the cost, and below it how far the start is from the last diagonal
+    row = np.tile(width - 1 - steps, (n, 1))
+    for i in range(length):
+        moved = row + (text[:, i : i + width] != pattern[:, i, None]) * _UNIT
+        moved[:, :-1] = np.minimum(moved[:, :-1], row[:, 1:] + _UNIT)
+        row = np.minimum.accumulate(moved - steps * _UNIT, axis=1) + steps * _UNIT
+    end = row.argmin(axis=1)
+    best = row[np.arange(n), end]
+    return best // _UNIT, width - 1 - best % _UNIT, end + length
+
+
+def windows(points: np.ndarray, offsets: np.ndarray, p: Index) -> np.ndarray:
+    """Rows (document, item's number, window's start in the index, start, end, edits) of all windows found in several texts."""
+    empty = np.zeros((0, 6), np.int64)
+    at, place = hits(qgrams(points), p)
+    doc = np.searchsorted(offsets, at, side="right") - 1
+    whole = at + Q <= offsets[doc + 1] if len(at) else np.zeros(0, bool)  # no q-gram of two documents
+    at, place, doc = at[whole], place[whole], doc[whole]
+    if len(at) < p.least:
+        return empty
+    item = np.searchsorted(p.start, place, side="right") - 1
+    wide = np.maximum(1, p.edits[item])
+    band = (at - place + len(p.text)) // wide
+    bands = len(points) + len(p.text) + 2
+    group = np.concatenate([(doc * len(p.item) + item) * bands + band + 1, (doc * len(p.item) + item) * bands + band])
+    group, rank = np.unique(group, return_inverse=True)
+    span = len(p.text) + 1
+    found = np.sort(rank * span + np.tile(place, 2))
+    found = found[np.r_[True, found[1:] != found[:-1]]]  # a place of the item counts once in a band
+    rank, place = found // span, found % span
+    item = group[rank] // bands % len(p.item)
+    # a window meets its bound if it holds so many hits in a row: it starts at the first of them at the latest
+    end = np.arange(len(found)) + p.bound[item] - 1
+    ok = end < len(found)
+    ok[ok] = rank[end[ok]] == rank[ok]
+    rank, place, item, end = rank[ok], place[ok], item[ok], found[end[ok]] % span
+    low, high = np.maximum(end - (p.length[item] - Q), p.start[item]), np.minimum(place, p.last[item])
+    # both grow within a band: each start is taken from the first hits that allow it
+    before = np.r_[-1, np.where(rank[1:] == rank[:-1], np.maximum.accumulate(rank * span + high)[:-1] - rank[1:] * span, -1)][: len(rank)]
+    low = np.maximum(low, before + 1)
+    many = np.maximum(0, high - low + 1)
+    asked = np.repeat(rank * span + low - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+    if not len(asked):
+        return empty
+    rank, start = asked // span, asked % span
+    doc, item, band = group[rank] // bands // len(p.item), group[rank] // bands % len(p.item), group[rank] % bands - 1
+    out = []
+    for length, e in {*zip(p.length[item].tolist(), p.edits[item].tolist(), strict=True)}:
+        own = np.flatnonzero((p.length[item] == length) & (p.edits[item] == e))
+        wide = max(1, e)
+        width = 2 * wide + 2 * e
+        for lot in np.split(own, range(_LOT, len(own), _LOT)):
+            base = start[lot] + band[lot] * wide - len(p.text) - e  # where the band's first diagonal meets the text
+            spot = base[:, None] + np.arange(length + width - 1)
+            inside = (spot >= offsets[doc[lot]][:, None]) & (spot < offsets[doc[lot] + 1][:, None])
+            text = np.where(inside, points[np.clip(spot, 0, len(points) - 1)], _NOTHING)
+            edits, a, z = aligned(text, p.text[start[lot][:, None] + np.arange(length)], e)
+            ok = edits <= e
+            a, z = (np.clip(base + x, offsets[doc[lot]], offsets[doc[lot] + 1]) - offsets[doc[lot]] for x in (a, z))
+            out.append(np.stack([doc[lot], item[lot], start[lot], a, z, edits], axis=1)[ok])
+    return np.concatenate(out)
+
+
+def merged(found: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """(item, start, end, fewest edits, windows): overlapping places of one item's windows in one text become one passage."""
+    out: list[list] = []
+    for item, start, end, edits, window in sorted(found):
         if out and out[-1][0] == item and start <= out[-1][2]:
             out[-1][2] = max(out[-1][2], end)
-            out[-1][3] = max(out[-1][3], edits)
-            out[-1][4] += 1
+            out[-1][3] = min(out[-1][3], edits)
+            out[-1][4].add(window)
         else:
-            out.append([item, max(0, start), end, edits, 1])
-    return [tuple(x) for x in out]
+            out.append([item, start, end, edits, {window}])
+    return [(*x[:4], len(x[4])) for x in out]
+
+
+def _pieces(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+    """(first row, offsets, code points, code points of the row before these): texts of a slice, or an overlapping piece of a long one."""
+    for first, offsets, data in text_slices(column):
+        if len(offsets) > 2 or len(data) <= 2 * SLICE_BYTES:
+            heads = np.zeros(len(data) + 1, np.int64)
+            np.cumsum((data & 0xC0) != 0x80, out=heads[1:])
+            yield first, heads[offsets], normalized(data.tobytes()), 0
+            continue
+        at = before = 0
+        edge = lambda x, data=data: next(y for y in range(x, len(data) + 1) if y == len(data) or data[y] & 0xC0 != 0x80)
+        while True:
+            points = normalized(data[at : edge(min(len(data), at + SLICE_BYTES + OVERLAP))].tobytes())
+            yield first, np.array([0, len(points)]), points, before
+            after = edge(min(len(data), at + SLICE_BYTES))
+            if after + OVERLAP >= len(data):
+                break
+            before += int(((data[at:after] & 0xC0) != 0x80).sum())
+            at = after
+
+
+def passages(column: pa.Array, known: list[Index], tiny: dict[str, list[int]]) -> list[list[tuple[int, int, int, int, int]]]:
+    """The merged passages of each text of a column."""
+    found: list[list] = [[] for _ in range(len(column))]
+    for first, offsets, points, before in _pieces(column):
+        for p in known:
+            for doc, item, window, a, z, edits in windows(points, offsets, p).tolist():
+                found[first + doc].append((int(p.item[item]), before + a, before + z, edits, window))
+        if tiny:
+            said = np.zeros(len(points) + 1, np.int64)
+            np.cumsum(points != 32, out=said[1:])
+            letters = said[offsets[1:]] - said[offsets[:-1]]
+            for i in np.flatnonzero((letters > 0) & (letters < Q)).tolist():
+                text = points[offsets[i] : offsets[i + 1]]
+                lead = int(np.flatnonzero(text != 32)[0])
+                found[first + i] += [(item, lead, lead + len(_said(text)), 0, 0) for item in tiny.get(_said(text), ())]
+    return [merged(x) for x in found]
 
 
 def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark's items in blocks of bounded bytes."""
+    """The benchmark's items in blocks of bounded size."""
     items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
-    size = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    count = max(1, -(-size * (WINDOW // STRIDE + SHORT // STEP) // BLOCK_BYTES))
+    size = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
+    count = max(1, -(-size // BLOCK_GRAMS))
     for k in range(count):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k).collect()
         if rows:
             yield sorted((r["item_id"], r["text"]) for r in rows)
 
 
-def _scan(docs: DataFrame, sets: list[Patterns], each, schema) -> DataFrame:
+def _scan(docs: DataFrame, items: list[tuple[int, str]], each, schema) -> DataFrame:
     """mapInArrow over docs; each(batch, found) makes the output from the passages of every row of the batch."""
-    shared = docs.sparkSession.sparkContext.broadcast(sets)
+    shared = docs.sparkSession.sparkContext.broadcast(indexes(items))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
         for batch in batches:
-            found = []
-            for _, offsets, data in text_slices(batch.column(at)):
-                low = fold(data)
-                # a first look at the whole slice: most documents have few hits, or none
-                gram = qgrams(low)
-                hope = np.zeros(len(offsets) - 1, bool)
-                for p in known:
-                    total = np.zeros(len(gram) + 1, np.int64)
-                    np.cumsum(p.known[((gram * _SPREAD) >> np.uint64(64 - _BITS)).astype(np.intp)], out=total[1:])
-                    ahead = np.minimum(np.arange(len(gram)) + p.reach, len(gram))
-                    dense = np.flatnonzero(total[ahead] - total[:-1] >= p.least)
-                    # a stretch may begin in one document and have its hits in others after it
-                    edge = np.zeros(len(offsets) + 1, np.int64)
-                    np.add.at(edge, np.searchsorted(offsets, dense, side="right") - 1, 1)
-                    np.add.at(edge, np.searchsorted(offsets, np.minimum(dense + p.reach, len(low) - 1), side="right"), -1)
-                    hope |= np.cumsum(edge)[: len(hope)] > 0
-                for i, (a, z) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
-                    found.append(merged(passages(low[a:z], known)) if hope[i] and z > a else [])
-            yield each(batch, found)
+            yield each(batch, passages(batch.column(at), *shared.value))
 
     return map_batches(docs, run, schema)
 
 
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, start, end, edits, windows) of every benchmark passage in every document."""
+    """(doc_id, item_id, start, end, edits, windows) of every benchmark passage in every document.
+
+    edits are the fewest of any of the passage's windows; windows is how many of the item's windows it has.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32()), ("windows", pa.int32())])
 
     def each(batch: pa.RecordBatch, found: list) -> pa.RecordBatch:
-        rows = [(i, *x) for i, passages_ in zip(batch.column(0).to_pylist(), found, strict=True) for x in passages_]
+        rows = [(i, *x) for i, own in zip(batch.column(0).to_pylist(), found, strict=True) for x in own]
         columns = list(zip(*rows, strict=True)) or [()] * 6
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ddl = "doc_id long, item_id long, start long, end long, edits int, windows int"
-    parts = [_scan(narrow, patterns(items), each, ddl) for items in blocks(benchmark)]
-    if not parts:
-        return docs.sparkSession.createDataFrame([], ddl)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    out = None
+    for items in blocks(benchmark):
+        part = _scan(narrow, items, each, ddl)
+        out = part if out is None else out.unionByName(part)
+    return docs.sparkSession.createDataFrame([], ddl) if out is None else out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the documents that hold a benchmark passage."""
     for items in blocks(benchmark):
-        docs = _scan(docs, patterns(items), lambda batch, found: batch.filter(pa.array([not x for x in found], pa.bool_())), docs.schema)
+        docs = _scan(docs, items, lambda batch, found: batch.filter(pa.array([not x for x in found], pa.bool_())), docs.schema)
     return docs
