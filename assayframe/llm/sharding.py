@@ -7,17 +7,21 @@ one row at most (the ``rows`` law), and slots have no gaps.
 
 The order is by a hash bucket of the row's key columns, then by those
 columns.  It depends on the rows alone, not on partitions: a lost executor's
-work gives the same numbers again.  Buckets are counted first (map-side
-sums), and only their few counts are put in order; rows are numbered within
-their bucket.
+work gives the same numbers again.  Narrow rows of the keys are written once
+and numbered within their bucket.  Buckets are counted first (map-side sums),
+and their counts are put in order in two steps, so that the single task of the
+last one has a line for each ``BUCKET_ROWS * BUCKETS`` rows.
+
+Rows that are equal in all key columns would share a bucket.  Where one key
+has more than ``BUCKET_ROWS`` rows, they are dealt into several buckets.
 
 The permutation works on pairs (left, right) of Z_a x Z_b with a*b >= N and
 a*b - N < a, alternating sides.  Results beyond N-1 walk on along their
 cycle; there are fewer than a of them.
 
 Defined cases: null text has size 16 and CRC 0; null ids sort first; repeated
-rows get different slots; an empty table gives an empty result; columns of
-the input that clash with a new column are replaced in ``assign_shards``.
+rows get different slots; an empty table gives an empty result; other columns
+are kept by ``assign_shards``, but ``shard`` and ``slot`` are replaced.
 """
 
 from __future__ import annotations
@@ -29,10 +33,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .shared import BROADCAST_ROWS, private, written
+
 ROUNDS = 6
 ROW_BYTES = 16
 #: Rows that one numbering bucket holds on average.
 BUCKET_ROWS = 20_000
+#: Buckets whose counts are summed up before they are put in order.
+BUCKETS = 1000
 #: Steps of a cycle walk.  A walk has fewer steps than a, so domains of up to
 #: WALK**2 rows always end in time; above, a step stays outside with a chance
 #: under 1/sqrt(N), and a walk that doesn't end raises an error.
@@ -70,34 +78,52 @@ def permute(x: Column, n: int, seed: int) -> Column:
 
 
 def global_numbers(rows: DataFrame, keys: list[str], number: str) -> tuple[DataFrame, int]:
-    """Number rows 0..N-1 by (hash bucket of keys, keys); returns the numbered rows and N."""
+    """Number written rows 0..N-1 by (hash bucket of keys, keys); returns the numbered rows and N."""
     n = rows.count()
+    salt, bucket, inside, before, group = private(rows, "salt", "bucket", "inside", "before", "group")
     buckets = max(1, -(-n // BUCKET_ROWS))
-    placed = rows.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
-    counts = placed.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    # As many rows as buckets: N / BUCKET_ROWS, two narrow columns each.
-    offsets = counts.select(F.col("_bucket"), (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(*keys))
-    numbered = placed.withColumn("_inside", inside).join(offsets, "_bucket")
-    return numbered.withColumn(number, F.col("_before") + F.col("_inside") - 1).drop("_bucket", "_inside", "_before"), n
+    placed = rows.withColumn(bucket, F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    full = placed.groupBy(bucket).agg(F.count("*").alias("n")).where(F.col("n") > 2 * BUCKET_ROWS).select(bucket)
+    if not full.isEmpty():
+        # keys with so many rows are BROADCAST_ROWS at most, and looked for in full buckets only
+        least = max(BUCKET_ROWS, n // BROADCAST_ROWS)
+        named = [F.col(k).alias(f"_{i}") for i, k in enumerate(keys)]
+        many = placed.join(F.broadcast(full), bucket, "left_semi").groupBy(*named).agg(F.ceil(F.count("*") / F.lit(BUCKET_ROWS)).alias(salt)).where(F.col(salt) > least // BUCKET_ROWS)
+        same = [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)]
+        dealt = placed.join(F.broadcast(many), same, "left").drop(*[f"_{i}" for i in range(len(keys))])
+        dealt = dealt.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.coalesce(F.col(salt), F.lit(1))))
+        moved = F.when(F.col(salt) == 0, F.col(bucket)).otherwise(F.pmod(F.xxhash64(*keys, F.col(salt)), F.lit(buckets)))
+        placed = written(dealt.withColumn(bucket, moved).drop(salt), "sharding-buckets")
+    counts = placed.groupBy(bucket).agg(F.count("*").alias("n")).withColumn(group, F.floor(F.col(bucket) / BUCKETS))
+    sums = counts.groupBy(group).agg(F.sum("n").alias("s"))
+    sums = sums.select(group, (F.sum("s").over(Window.orderBy(group)) - F.col("s")).alias("s"))
+    own = F.sum("n").over(Window.partitionBy(group).orderBy(bucket)) - F.col("n")
+    offsets = counts.withColumn(before, own).join(sums, group).select(bucket, (F.col(before) + F.col("s")).alias(before))
+    numbered = placed.withColumn(inside, F.row_number().over(Window.partitionBy(bucket).orderBy(*keys)))
+    offsets = F.broadcast(offsets) if buckets <= BROADCAST_ROWS else offsets
+    return numbered.join(offsets, bucket).withColumn(number, F.col(before) + F.col(inside) - 1).drop(bucket, inside, before), n
 
 
 def assign(rows: DataFrame, keys: list[str], shards: int, seed: int = 0) -> DataFrame:
-    """Add shard (int) and slot (long) to narrow rows by the Feistel shuffle of their global numbers."""
-    numbered, n = global_numbers(rows, keys, "_number")
-    shuffled = permute(F.col("_number"), max(1, n), seed)
-    out = numbered.withColumn("_shuffled", shuffled)
-    shard = F.pmod(F.col("_shuffled"), F.lit(shards))
-    return out.withColumns({"shard": shard.cast("int"), "slot": F.floor((F.col("_shuffled") - shard) / F.lit(shards)).cast("long")}).drop("_number", "_shuffled")
+    """Add shard (int) and slot (long) to narrow written rows by the Feistel shuffle of their global numbers."""
+    number, mixed = private(rows, "number", "mixed")
+    numbered, n = global_numbers(rows, keys, number)
+    out = numbered.withColumn(mixed, permute(F.col(number), max(1, n), seed))
+    shard = F.pmod(F.col(mixed), F.lit(shards))
+    return out.withColumns({"shard": shard.cast("int"), "slot": F.floor((F.col(mixed) - shard) / F.lit(shards)).cast("long")}).drop(number, mixed)
+
+
+def _size() -> Column:
+    return (F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(ROW_BYTES)).cast("long")
+
+
+def _crc() -> Column:
+    return F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).cast("long")
 
 
 def digest(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every document, by the ``rows`` law."""
-    narrow = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(ROW_BYTES)).cast("long").alias("size"),
-        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).cast("long").alias("text_crc32"),
-    )
+    narrow = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _size().alias("size"), _crc().alias("text_crc32")), "sharding-keys")
     out = assign(narrow, ["doc_id", "text_crc32", "size"], shards, seed)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast(T.IntegerType()).alias("grown_shard"))
 
@@ -105,19 +131,14 @@ def digest(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFrame:
 def assign_shards(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFrame:
     """docs with shard and slot.
 
-    Numbers are made from narrow rows; whole rows are shuffled once, to meet
-    theirs.  Which of several equal (doc_id, text) rows gets which of their
-    slots is arbitrary.
+    docs is written with a row id first, so that its rows can't change theirs;
+    numbers are made from narrow rows, and whole rows are shuffled once, by
+    their id, to meet theirs.  Which of several rows equal in doc_id and text
+    gets which of their slots is arbitrary.
     """
-    base = docs.drop("shard", "slot").withColumns({"_crc": F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")), "_size": F.coalesce(F.octet_length("text"), F.lit(0))})
-    placed = base.select(F.col("doc_id"), F.col("_crc"), F.col("_size"))
-    numbered, n = global_numbers(placed, ["doc_id", "_crc", "_size"], "_number")
-    # One line for each distinct key with its first number; repeated rows of a key take the numbers that follow.
-    first = numbered.groupBy("doc_id", "_crc", "_size").agg(F.min("_number").alias("_first"), F.count("*").alias("_copies"))
-    keyed = first.select(F.col("doc_id").alias("_id"), F.col("_crc").alias("_c"), F.col("_size").alias("_s"), "_first", "_copies")
-    joined = base.join(keyed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_crc") == F.col("_c")) & (F.col("_size") == F.col("_s")))
-    repeat = Window.partitionBy("_id", "_c", "_s").orderBy(F.lit(0))
-    number = F.col("_first") + F.when(F.col("_copies") > 1, F.row_number().over(repeat) - 1).otherwise(0)
-    shuffled = joined.withColumn("_number", number).withColumn("_shuffled", permute(F.col("_number"), max(1, n), seed))
-    shard = F.pmod(F.col("_shuffled"), F.lit(shards))
-    return shuffled.withColumns({"shard": shard.cast("int"), "slot": F.floor((F.col("_shuffled") - shard) / F.lit(shards)).cast("long")}).select(*docs.drop("shard", "slot").columns, "shard", "slot")
+    own = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
+    (row,) = private(docs, "row")
+    base = written(docs.select(*own, F.monotonically_increasing_id().alias(row)), "sharding-rows")
+    narrow = written(base.select(row, F.col("doc_id").alias("doc_id"), _size().alias("size"), _crc().alias("text_crc32")), "sharding-keys")
+    placed = assign(narrow, ["doc_id", "text_crc32", "size"], shards, seed).select(row, "shard", "slot")
+    return base.join(placed, row).select(*own, "shard", "slot")
