@@ -14,21 +14,29 @@ raised so that the expected sum is still met, but the marginals are not.
 Targets are shares of tokens, as a table or by flattening: a value's share of
 all tokens to a power below 1.  Cells are as many as there are combinations;
 they are a table throughout, broadcast to the documents only after their
-number has been checked.
+number has been checked.  Targets of several dimensions may contradict each
+other (a language of one source only): ``marginals`` tells what each value's
+goal was and what it got, and ``rake`` warns, or raises an error if asked to,
+where a marginal is off by more than ``TOLERANCE``.
 
-Sampling compares a hash of doc_id with the probability, so it is the same
-for every run and partitioning.
+A document's topic is the one whose marks it holds most often, the first of
+equal ones, if there is a mark for every ``TOPIC_TOKENS`` tokens; else prose.
+
+Sampling compares a hash of doc_id with the unrounded probability, so it is
+the same for every run and partitioning.
 
 Defined cases: null source, language or topic counts as the empty string;
 null or empty text has 0 tokens, and documents of cells without tokens get
 the probability 0; rows that repeat a doc_id share their fate within a cell;
 targets of values that don't occur are left out and the rest scaled up;
-values without a target have weight 0; an empty table stays empty; columns of
-the input with the names of added ones are replaced.
+values without a target have weight 0; an empty table stays empty; ``sample``
+keeps all columns of the input as they are, ``calibrated`` replaces those with
+the names of the ones it adds.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -36,16 +44,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import written
+from .shared import private, written
 
 DIMENSIONS = ("source", "lang", "topic")
-#: Topics by the first list of which a text holds a mark; else ``prose``.
+#: Marks of each topic, as they stand in the text.
 TOPICS: Sequence[tuple[str, Sequence[str]]] = (
-    ("legal", ("icense", "opyright", "ICENSE")),
-    ("contact", ("@", "+1 (")),
-    ("menu", (" | ",)),
-    ("secret", (' = "',)),
+    ("legal", ("icense", "ICENSE", "opyright", "OPYRIGHT", "arranty", "WARRANTY", "iability", "ermission")),
+    ("contact", ("@", "://", "+1 (", "+49", "+33", "+34")),
+    ("table", (" | ", "|\n", "\t")),
+    ("code", (' = "', "def ", "return ", "import ", "{", "};", "();")),
 )
+#: Tokens for each of which a topic needs one mark.
+TOPIC_TOKENS = 200
+#: Largest gap of a marginal that counts as met.
+TOLERANCE = 1e-6
 OTHER_TOPIC = "prose"
 #: Cells up to which they are broadcast: five short columns each, some 10 MB.
 BROADCAST_CELLS = 100_000
@@ -66,14 +78,28 @@ TARGETS: Mapping[str, Target] = {
 }
 
 
-def topic(text: Column, topics: Sequence[tuple[str, Sequence[str]]] = TOPICS) -> Column:
-    out = F.lit(OTHER_TOPIC)
-    for name, marks in reversed(topics):
-        held = F.lit(False)
-        for mark in marks:
-            held = held | text.contains(mark)
-        out = F.when(held, name).otherwise(out)
-    return out
+def _pattern(topics: Sequence[tuple[str, Sequence[str]]]) -> str:
+    """All marks as alternatives, each in brackets of its own character where it is a sign."""
+    said = lambda mark: "".join(c if c.isalnum() or c in " \n\t@:/=\"" else f"[{c}]" for c in mark)
+    return "|".join(said(m) for _, marks in topics for m in marks)
+
+
+def topic(text: Column, n: Column, topics: Sequence[tuple[str, Sequence[str]]] = TOPICS) -> Column:
+    """Topic of a text of n tokens; its marks are found in one pass, from left to right, without overlap."""
+
+    def among(marks: Sequence[str]):
+        return lambda x: x.isin(*marks)
+
+    def judged(found: Column) -> Column:
+        counts = [F.size(F.filter(found, among(marks))) for _, marks in topics]
+        most = F.greatest(*counts) if len(counts) > 1 else counts[0]
+        out = F.lit(OTHER_TOPIC)
+        for (name, _), count in reversed(list(zip(topics, counts, strict=True))):
+            out = F.when(count == most, name).otherwise(out)
+        return F.when(most * TOPIC_TOKENS >= F.greatest(n, F.lit(1)), out).otherwise(OTHER_TOPIC)
+
+    # the marks are bound to a name, so that they are looked for once
+    return F.transform(F.array(F.regexp_extract_all(text, F.lit(_pattern(topics)), F.lit(0))), judged)[0]
 
 
 def tokens(text: Column) -> Column:
@@ -81,48 +107,65 @@ def tokens(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
-def featured(docs: DataFrame) -> DataFrame:
-    """docs with _source, _lang, _topic and _tokens."""
+def featured(docs: DataFrame, out: str, topics: Sequence[tuple[str, Sequence[str]]] = TOPICS) -> DataFrame:
+    """docs with a struct column of source, lang, topic and tokens."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumns({"_source": F.coalesce("source", F.lit("")), "_lang": F.coalesce("lang", F.lit("")), "_topic": topic(text), "_tokens": tokens(text)})
+    plain = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    made = F.transform(F.array(tokens(text)), lambda n: F.struct(plain("source").alias("source"), plain("lang").alias("lang"), topic(text, n, topics).alias("topic"), n.alias("tokens")))[0]
+    return docs.withColumn(out, made)
 
 
 def _goals(cells: DataFrame, targets: Mapping[str, Target]) -> DataFrame:
     """cells with one column of target shares for each dimension, of the values that occur."""
     for name in DIMENSIONS:
-        goal, column = targets[name], f"_{name}"
-        values = cells.groupBy(column).agg(F.sum("tokens").alias("_t")).where("_t > 0")
+        goal = targets[name]
+        values = cells.groupBy(name).agg(F.sum("tokens").alias("_t")).where("_t > 0")
         if goal.shares is not None:
-            given = cells.sparkSession.createDataFrame([(k, float(v)) for k, v in goal.shares.items()], f"{column} string, _goal double")
-            values = values.join(given, column).drop("_t")
+            given = cells.sparkSession.createDataFrame([(k, float(v)) for k, v in goal.shares.items()], f"{name} string, _goal double")
+            values = values.join(given, name).drop("_t")
         else:
-            values = values.select(column, F.pow(F.col("_t").cast("double"), F.lit(goal.flatten)).alias("_goal"))
+            values = values.select(name, F.pow(F.col("_t").cast("double"), F.lit(goal.flatten)).alias("_goal"))
         whole = values.agg(F.sum("_goal").alias("all")).first()["all"] or 1.0
-        values = values.select(column, (F.col("_goal") / F.lit(whole)).alias(f"goal_{name}"))
-        cells = cells.join(values, column, "left")
+        values = values.select(name, (F.col("_goal") / F.lit(whole)).alias(f"goal_{name}"))
+        cells = cells.join(values, name, "left")
     return cells.fillna(0.0, [f"goal_{name}" for name in DIMENSIONS])
 
 
-def rake(cells: DataFrame, targets: Mapping[str, Target] = TARGETS, sweeps: int = 4, most: int = 10, close: float = 1e-13) -> DataFrame:
-    """Cells (_source, _lang, _topic, tokens) with ``weight``: raked shares of tokens.
+def marginals(raked: DataFrame) -> DataFrame:
+    """(dimension, value, goal, got, gap) of every value that occurs; got is its share of the raked weights."""
+    parts = [raked.groupBy(F.lit(n).alias("dimension"), F.col(n).alias("value")).agg(F.max(f"goal_{n}").alias("goal"), F.sum("weight").alias("got"), F.sum("tokens").alias("_t")).where("_t > 0").drop("_t") for n in DIMENSIONS]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.withColumn("gap", F.col("got") - F.col("goal"))
+
+
+def rake(cells: DataFrame, targets: Mapping[str, Target] = TARGETS, sweeps: int = 4, most: int = 10, close: float = 1e-13, strict: bool = False) -> DataFrame:
+    """Cells (source, lang, topic, tokens) with ``weight``: raked shares of tokens, and the goals.
 
-    ``sweeps`` rounds over the dimensions are one job; jobs are repeated, at
-    most ``most`` times, until no marginal is off by more than ``close``.
+    ``sweeps`` rounds over the dimensions are one job; jobs are repeated until
+    no marginal is off by more than ``close``, at most ``most`` times.  If one
+    is off by more than ``TOLERANCE`` then, there is a warning that names it,
+    or an error (``strict``).
     """
     raked = written(_goals(cells, targets).withColumn("weight", F.when(F.greatest(F.col("tokens"), F.lit(0)) > 0, F.col("tokens").cast("double")).otherwise(0.0)), "cells")
+    worst, few = None, raked.count() <= BROADCAST_CELLS
     for _ in range(most):
-        out = raked
+        # what one task holds easily needs no shuffle for each dimension
+        out = raked.coalesce(1) if few else raked
         for _ in range(sweeps):
             for name in DIMENSIONS:
-                whole = F.sum("weight").over(Window.partitionBy(f"_{name}"))
+                whole = F.sum("weight").over(Window.partitionBy(name))
                 out = out.withColumn("_whole", whole).withColumn("weight", F.when(F.col("_whole") > 0, F.col("weight") * F.col(f"goal_{name}") / F.col("_whole")).otherwise(0.0)).drop("_whole")
         raked = written(out, "cells")
-        worst = 0.0
-        for name in DIMENSIONS:
-            off = raked.groupBy(f"_{name}").agg(F.abs(F.sum("weight") - F.max(f"goal_{name}")).alias("d"), F.sum("weight").alias("w")).where("w > 0").agg(F.max("d").alias("d"))
-            worst = max(worst, off.first()["d"] or 0.0)
-        if worst <= close:
+        worst = marginals(raked).agg(F.max_by(F.struct("dimension", "value", "goal", "got", "gap"), F.abs("gap")).alias("w")).first()["w"]
+        if worst is None or abs(worst["gap"]) <= close:
             break
+    if worst is not None and abs(worst["gap"]) > TOLERANCE:
+        said = f"mixing targets are not met: {worst['dimension']} {worst['value']!r} gets {worst['got']:.6f} for {worst['goal']:.6f}"
+        if strict:
+            raise ValueError(said)
+        warnings.warn(said, stacklevel=2)
     return raked
 
 
@@ -152,22 +195,30 @@ def probabilities(cells: DataFrame, keep_share: float | None = None, at_most: fl
     return cells.withColumn("probability", F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.lit(rate) * ratio)).otherwise(0.0))
 
 
-def _decided(base: DataFrame, targets: Mapping[str, Target], keep_share: float | None, seed: int, at_most: float | None = None) -> DataFrame:
-    """base (doc_id, _source, _lang, _topic, _tokens and more) with probability and sampled."""
-    keys = ["_source", "_lang", "_topic"]
-    cells = base.groupBy(*keys).agg(F.sum("_tokens").alias("tokens"))
-    rates = written(probabilities(rake(cells, targets), keep_share, at_most).select(*keys, F.round("probability", 5).alias("probability")), "rates")
+def _decided(base: DataFrame, at: str, targets: Mapping[str, Target], keep_share: float | None, seed: int, at_most: float | None, strict: bool, probability: str, sampled: str) -> DataFrame:
+    """base, a written table with the features in the struct ``at``, with the columns probability and sampled."""
+    keys = ("source", "lang", "topic")
+    cells = base.groupBy(*[F.col(f"{at}.{k}").alias(k) for k in keys]).agg(F.sum(f"{at}.tokens").alias("tokens"))
+    rates = written(probabilities(rake(cells, targets, strict=strict), keep_share, at_most).select(*keys, F.col("probability").alias(probability)), "rates")
+    (cell,) = private(base, "cell")
+    rates = rates.select(F.struct(*keys).alias(cell), probability)
     if rates.count() <= BROADCAST_CELLS:
         rates = F.broadcast(rates)
-    joined = base.join(rates, keys, "left").withColumn("probability", F.coalesce("probability", F.lit(0.0)))
+    joined = base.withColumn(cell, F.struct(*[F.col(f"{at}.{k}").alias(k) for k in keys])).join(rates, cell, "left").drop(cell).withColumn(probability, F.coalesce(probability, F.lit(0.0)))
     text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     chance = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    return joined.withColumn("sampled", chance < F.col("probability"))
+    return joined.withColumn(sampled, chance < F.col(probability))
+
+
+ADDED = ("_source", "_lang", "_topic", "_tokens", "probability", "sampled")
 
 
-def calibrated(docs: DataFrame, targets: Mapping[str, Target] = TARGETS, keep_share: float | None = None, seed: int = 0, at_most: float | None = None) -> DataFrame:
+def calibrated(docs: DataFrame, targets: Mapping[str, Target] = TARGETS, keep_share: float | None = None, seed: int = 0, at_most: float | None = None, strict: bool = False) -> DataFrame:
     """docs with _source, _lang, _topic, _tokens, probability and sampled; all rows stay."""
-    return _decided(featured(docs.drop("probability", "sampled")), targets, keep_share, seed, at_most)
+    own = [c for c in docs.columns if c.lower() not in ADDED]
+    at, probability, sampled = private(docs, "mix", "probability", "sampled")
+    out = _decided(written(featured(docs.select(*own), at), "features"), at, targets, keep_share, seed, at_most, strict, probability, sampled)
+    return out.select(*own, *[F.col(f"{at}.{k}").alias(f"_{k}") for k in ("source", "lang", "topic", "tokens")], F.col(probability).alias("probability"), F.col(sampled).alias("sampled"))
 
 
 def digest(docs: DataFrame, targets: Mapping[str, Target] = TARGETS, seed: int = 0) -> DataFrame:
@@ -175,23 +226,28 @@ def digest(docs: DataFrame, targets: Mapping[str, Target] = TARGETS, seed: int =
 
     The text is read once: what is counted of it is kept, and joined to the raked cells.
     """
-    kept = written(featured(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", "text")).select("doc_id", "_source", "_lang", "_topic", "_tokens"), "features")
-    out = _decided(kept, targets, None, seed)
-    return out.select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"), "probability", "sampled")
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", "text")
+    out = _decided(written(featured(narrow, "mix").select("doc_id", "mix"), "features"), "mix", targets, None, seed, None, False, "probability", "sampled")
+    return out.select("doc_id", "mix.source", "mix.lang", "mix.topic", "mix.tokens", F.round("probability", 5).alias("probability"), "sampled")
 
 
-def sample(docs: DataFrame, targets: Mapping[str, Target] = TARGETS, keep_share: float | None = None, seed: int = 0, at_most: float | None = None) -> DataFrame:
+def sample(docs: DataFrame, targets: Mapping[str, Target] = TARGETS, keep_share: float | None = None, seed: int = 0, at_most: float | None = None, strict: bool = False) -> DataFrame:
     """The documents that are sampled, with their own columns."""
-    return calibrated(docs, targets, keep_share, seed, at_most).where("sampled").select(*docs.columns)
+    at, probability, sampled = private(docs, "mix", "probability", "sampled")
+    out = _decided(written(featured(docs, at), "features"), at, targets, keep_share, seed, at_most, strict, probability, sampled)
+    return out.where(F.col(sampled)).select(*docs.columns)
 
 
 def oracle(targets: Mapping[str, Target] = TARGETS, topics: Sequence[tuple[str, Sequence[str]]] = TOPICS, sweeps: int = 40, seed: int = 0) -> str:
     """DuckDB SQL for the rows of ``digest``: the sweeps written out one after another."""
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    kinds = " ".join(f"WHEN {' OR '.join(f'contains(t, {quoted(m)})' for m in marks)} THEN {quoted(name)}" for name, marks in topics)
+    counts = ", ".join(f"len(list_filter(m, lambda x: x IN ({', '.join(map(quoted, marks))}))) AS n_{name}" for name, marks in topics)
+    most = f"greatest({', '.join(f'n_{name}' for name, _ in topics)})"
+    kinds = " ".join(f"WHEN {most} = n_{name} THEN {quoted(name)}" for name, _ in topics)
     parts = [
-        f"""docs AS (SELECT doc_id, source, lang, CASE {kinds} ELSE '{OTHER_TOPIC}' END AS topic, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))::BIGINT AS tokens
-  FROM (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, coalesce(text, '') AS t FROM documents))""",
+        f"""raw AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, coalesce(text, '') AS t FROM documents)""",
+        f"""counted AS (SELECT doc_id, source, lang, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))::BIGINT AS tokens, {counts} FROM (SELECT *, regexp_extract_all(t, {quoted(_pattern(topics))}) AS m FROM raw))""",
+        f"""docs AS (SELECT doc_id, source, lang, CASE WHEN {most} * {TOPIC_TOKENS} < greatest(tokens, 1) THEN '{OTHER_TOPIC}' {kinds} END AS topic, tokens FROM counted)""",
         "cells AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM docs GROUP BY ALL)",
     ]
     for name in DIMENSIONS:
@@ -205,7 +261,7 @@ def oracle(targets: Mapping[str, Target] = TARGETS, topics: Sequence[tuple[str,
         for n in DIMENSIONS:
             parts.append(f"w{step + 1} AS MATERIALIZED (SELECT * EXCLUDE (w), CASE WHEN sum(w) OVER (PARTITION BY {n}) > 0 THEN w * g_{n} / sum(w) OVER (PARTITION BY {n}) ELSE 0 END AS w FROM w{step})")
             step += 1
-    parts.append(f"rates AS (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN round((w / tokens) / (SELECT max(w / tokens) FROM w{step} WHERE tokens > 0), 5) ELSE 0 END AS probability FROM w{step})")
+    parts.append(f"rates AS (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN (w / tokens) / (SELECT max(w / tokens) FROM w{step} WHERE tokens > 0) ELSE 0 END AS p FROM w{step})")
     return "WITH " + ",\n".join(parts) + f"""
-SELECT doc_id, source, lang, topic, tokens, probability, ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::UBIGINT / 4294967296.0 < probability AS sampled
+SELECT doc_id, source, lang, topic, tokens, round(p, 5) AS probability, ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::UBIGINT / 4294967296.0 < p AS sampled
 FROM docs JOIN rates USING (source, lang, topic)"""
