@@ -7,14 +7,22 @@
    labeller's accuracy and the share of good documents; a pattern's posterior
    is its documents' weak label.
 3. A linear scorer over hashed tokens and token shapes is fitted to the
-   posteriors of about ``train_docs`` documents, chosen by a hash of doc_id,
+   posteriors of about ``train_docs`` documents, or fewer where these would
+   have more than ``train_bytes`` of text, chosen by a hash of doc_id and text,
    in one task of bounded size; it scores every document.
 
+What tells good from bad is the start of the maximisation, labellers that are
+right more often than not, and a weak prior of the same kind: ``PRIOR`` times
+as many votes as there are documents.
+
 Features are relative frequencies, so scores don't depend on the length.
 
-Defined cases: null, empty or white-space text gets only bad or empty votes,
-the score 0, and isn't kept; equal texts get equal scores; an empty table
-stays empty; other columns are ignored by ``digest`` and kept by ``keep_good``.
+Defined cases: null, empty or white-space text gets one bad vote (for its
+length) and no other, the score 0, and isn't kept; equal texts get equal
+labels and scores; repeated rows count as often as they stand there; an empty
+table stays empty; other columns, whatever their names, are ignored by
+``digest`` and kept by ``keep_good``; ``score`` replaces those with the names
+it adds.
 """
 
 from __future__ import annotations
@@ -25,16 +33,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .shared import map_batches, text_slices
+from .shared import map_batches, private, text_slices
 from .tokens import SPACE, mix, span_hashes, word_bounds
 
 BUCKETS = 1 << 15
 TRAIN_DOCS = 6000
+TRAIN_BYTES = 24 << 20
 LABELLERS = ("capitals", "separators", "shouting", "symbols", "noise", "short_words", "repeated_words", "stutter", "length")
 BAD, NONE, GOOD = 0, 1, 2
-#: Largest chance of a bad vote on a good document.
-WRONG = 0.003
+#: Start and prior of the chances of bad, no and good votes on bad and on good documents; the prior's share of all votes.
+START = ((0.4, 0.1, 0.5), (0.001, 0.14, 0.859))
+PRIOR = 0.01
 
 _LETTER_UP, _LETTER_LOW, _DIGIT, _STOP, _BAR, _BANG, _MARK = range(7)
 
@@ -88,7 +99,7 @@ def votes(c: dict[str, np.ndarray]) -> np.ndarray:
     noise = (c["bar"] + c["bang"] + c["mark"]) / words
     short, marks, fresh = c["short"] / np.maximum(1, c["spelled"]), c["mark"] / words, c["distinct"] / np.maximum(1, c["looked"])
     choose = lambda bad, good: np.where(bad, BAD, np.where(good, GOOD, NONE))
-    return np.stack([
+    out = np.stack([
         choose(capitals > 0.3, capitals < 0.1),
         choose(bars > 0.1, bars < 0.02),
         choose(bangs > 0.15, bangs < 0.05),
@@ -99,6 +110,8 @@ def votes(c: dict[str, np.ndarray]) -> np.ndarray:
         choose(c["again"] / words > 0.2, c["again"] / words < 0.05),
         choose(c["words"] < 3, c["words"] > 30),
     ], axis=1)
+    out[c["words"] == 0, :-1] = NONE
+    return out
 
 
 def pattern_codes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -110,24 +123,18 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tup
 
     chances[class, labeller, vote] is how often a labeller casts a vote on
     documents of a class (0 bad, 1 good): its accuracies on either class.
-    The start trusts all labellers a little; small counts are added so that
-    no chance is 0.  A labeller's bad vote on a good document is held to the
-    chance ``WRONG`` at most: else a kind of junk that few labellers see would
-    pass for a habit of good documents.
     """
     vote = patterns[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
     cast = (vote[:, :, None] == np.arange(3)).astype(float)
-    chances = np.tile(np.array([[0.4, 0.1, 0.5], [0.01, 0.14, 0.85]])[:, None, :], (1, len(LABELLERS), 1))
+    prior = np.array(START)
+    chances = np.tile(prior[:, None, :], (1, len(LABELLERS), 1))
     share, good = 0.8, np.zeros(len(patterns))
     for _ in range(rounds):
         log = np.einsum("plv,clv->pc", cast, np.log(chances))
         good = 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1] - np.log(share / (1 - share)), -500, 500)))
         for c, belongs in ((0, 1 - good), (1, good)):
-            seen = np.einsum("plv,p->lv", cast, belongs * counts) + np.array([0.1, 0.1, 0.1])
+            seen = np.einsum("plv,p->lv", cast, belongs * counts) + PRIOR * counts.sum() * prior[c]
             chances[c] = seen / seen.sum(axis=1, keepdims=True)
-        wrong = chances[1, :, BAD] > WRONG
-        chances[1, wrong, BAD] = WRONG
-        chances[1] /= chances[1].sum(axis=1, keepdims=True)
         share = float(np.clip((good * counts).sum() / max(1, counts.sum()), 0.01, 0.99))
     return good, chances, share
 
@@ -139,9 +146,10 @@ def hashed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     words = np.diff(np.searchsorted(starts, offsets))
     row = np.repeat(np.arange(rows), words)
     kind = CLASS[data].astype(np.int64)
-    size = np.minimum(ends - starts, 9)
-    shape = ((kind[starts] * 8 + kind[np.maximum(starts, ends - 1)]) * 8 + kind[np.minimum(starts + 1, ends - 1)]) * 10 + size
-    pair = np.where(np.r_[False, row[1:] == row[:-1]][: len(row)], np.r_[0, shape[:-1]][: len(row)], -1) * 10_007 + shape
+    size = ends - starts
+    size = np.where(size < 8, size, 5 + np.log2(np.maximum(1, size)).astype(np.int64))
+    shape = ((kind[starts] * 8 + kind[np.maximum(starts, ends - 1)]) * 8 + kind[np.minimum(starts + 1, ends - 1)]) * 64 + size
+    pair = np.where(np.r_[False, row[1:] == row[:-1]][: len(row)], np.r_[0, shape[:-1]][: len(row)], -1) * 100_003 + shape
     whole = span_hashes(data, starts, ends)
     again = np.r_[False, (whole[1:] == whole[:-1]) & (row[1:] == row[:-1])] if len(row) else np.zeros(0, bool)
     bucket = np.concatenate([whole, mix(again.astype(np.uint64) + np.uint64(1 << 42)), mix(shape.astype(np.uint64) + np.uint64(1 << 40)), mix(pair.astype(np.uint64) + np.uint64(1 << 41))]) % np.uint64(BUCKETS)
@@ -162,23 +170,26 @@ def train(row: np.ndarray, bucket: np.ndarray, value: np.ndarray, label: np.ndar
     return weight
 
 
-def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[dict[int, float], np.ndarray, np.ndarray]:
+def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_bytes: int = TRAIN_BYTES) -> tuple[dict[int, float], np.ndarray, np.ndarray]:
     """(posterior by pattern, scorer's weights, chances of votes) from the columns doc_id and text."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = [pattern_codes(data, offsets) for _, offsets, data in text_slices(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(codes) if codes else [], pa.int32())], ["doc_id", "pattern"])
+            codes, sizes = [], []
+            for _, offsets, data in text_slices(batch.column(0)):
+                codes.append(pattern_codes(data, offsets))
+                sizes.append(np.diff(offsets))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (codes, sizes)], ["pattern", "size"])
 
-    coded = map_batches(docs.select(F.col("doc_id").cast("long"), "text"), code, "doc_id long, pattern int")
-    table = coded.groupBy("pattern").agg(F.count("*").alias("n")).toPandas().sort_values("pattern")  # 3 ** labellers rows at most
+    coded = map_batches(docs.select("text"), code, "pattern long, size long")
+    table = coded.groupBy("pattern").agg(F.count("*").alias("n"), F.sum("size").alias("size")).toPandas().sort_values("pattern")  # 3 ** labellers rows at most
     patterns, counts = table["pattern"].to_numpy(np.int64), table["n"].to_numpy(np.float64)
     if not len(patterns):
         return {}, np.zeros(BUCKETS + 1), np.zeros((2, len(LABELLERS), 3))
     good, accuracy, _ = estimate(patterns, counts)
     posterior = dict(zip(patterns.tolist(), good.tolist(), strict=True))
-    chance = F.pmod(F.xxhash64(F.lit("quality"), F.col("doc_id")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = docs.where(chance < train_docs / max(1.0, counts.sum())).select("text")
+    chance = F.pmod(F.xxhash64(F.lit("quality"), F.col("doc_id"), F.col("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = docs.where(chance < min(train_docs / max(1.0, counts.sum()), train_bytes / max(1, int(table["size"].sum())))).select("text")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, labels = [], []
@@ -191,15 +202,15 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[dict[int, float]
             weight = train(*(np.concatenate(x) for x in zip(*parts, strict=True)), np.concatenate(labels))
             yield pa.RecordBatch.from_arrays([pa.array([weight.tolist()], pa.list_(pa.float64()))], ["weight"])
 
-    # about train_docs documents, whatever the size of the corpus: one task
+    # about train_docs documents and train_bytes bytes at most, whatever the size of the corpus: one task
     got = map_batches(sample.repartition(1), learn, "weight array<double>").first()
     return posterior, np.array(got["weight"]) if got else np.zeros(BUCKETS + 1), accuracy
 
 
-def score(docs: DataFrame, posterior: dict[int, float], weight: np.ndarray) -> DataFrame:
-    """docs with quality_label (posterior of the votes) and quality_score (linear scorer, 0 to 1)."""
+def score(docs: DataFrame, posterior: dict[int, float], weight: np.ndarray, added: tuple[str, str] = ("quality_label", "quality_score")) -> DataFrame:
+    """docs with the posterior of the votes and the linear scorer's score, 0 to 1."""
     model = docs.sparkSession.sparkContext.broadcast((posterior, weight))
-    base = docs.drop("quality_label", "quality_score")
+    base = docs.drop(*added)
     at = base.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,10 +225,9 @@ def score(docs: DataFrame, posterior: dict[int, float], weight: np.ndarray) -> D
                 words = np.bincount(row, minlength=rows) > 0
                 scores.append(np.where(words, 1 / (1 + np.exp(-raw)), 0.0))
             done = np.concatenate(scores) if scores else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.float64()), pa.array(done)], [*batch.schema.names, "quality_label", "quality_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.float64()), pa.array(done)], [*batch.schema.names, *added])
 
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
-    return map_batches(base, run, f"{ddl}, quality_label double, quality_score double")
+    return map_batches(base, run, T.StructType([*base.schema.fields, *[T.StructField(x, T.DoubleType()) for x in added]]))
 
 
 def digest(docs: DataFrame, train_docs: int = TRAIN_DOCS, least: float = 0.5) -> DataFrame:
@@ -231,4 +241,5 @@ def digest(docs: DataFrame, train_docs: int = TRAIN_DOCS, least: float = 0.5) ->
 def keep_good(docs: DataFrame, train_docs: int = TRAIN_DOCS, least: float = 0.5) -> DataFrame:
     """docs that the scorer takes for good, with their own columns."""
     posterior, weight, _ = fit(docs.select("doc_id", "text"), train_docs)
-    return score(docs, posterior, weight).where(F.col("quality_score") >= least).select(*docs.columns)
+    label, points = private(docs, "quality_label", "quality_score")
+    return score(docs, posterior, weight, (label, points)).where(F.col(points) >= least).select(*docs.columns)
