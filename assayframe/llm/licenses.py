@@ -11,8 +11,10 @@ words that its hits cover, each hit checked word by word.
 
 A template that stands word for word has one diagonal with all its votes.
 
-The templates are a parameter of bounded size: their hashes are a literal set
-in the scan, their positions a broadcast table.
+The templates are a parameter.  Up to ``LITERALS`` distinct hashes are a literal
+set in the scan, so that other runs of words never leave it; up to
+``POSITIONS`` positions are a broadcast table.  Beyond these, counted, all runs
+are joined, by a shuffle: the rows are the same.
 
 Defined cases: null text is empty (0 words, no label); repeated rows give
 repeated results; each row is treated alone, so copies and hot sources are
@@ -31,6 +33,7 @@ from pyspark.sql.window import Window
 K = 3
 GAP = 2
 COVER = 0.8
+LITERALS, POSITIONS = 5_000, 200_000
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -88,16 +91,21 @@ def scan(docs: DataFrame, key: Sequence[str] = ("doc_id",), templates: Sequence[
     positions at which the template stands word for word).
     """
     grams = template_positions(docs, templates)
-    known = [r["gram"] for r in grams.select("gram").distinct().collect()]  # as many as the templates have words
+    positions = sum(max(0, len(t.text.split()) - K + 1) for t in templates)
+    known = [r["gram"] for r in grams.select("gram").distinct().limit(LITERALS + 1).collect()]
 
     def found(w: Column) -> Column:
-        spots = F.when(F.size(w) >= K, F.filter(F.sequence(F.lit(0), F.size(w) - K), lambda i: _gram(w, i).isin(known))).otherwise(F.array().cast("array<int>"))
+        spots = F.sequence(F.lit(0), F.size(w) - K)
+        if len(known) <= LITERALS:
+            spots = F.filter(spots, lambda i: _gram(w, i).isin(known))
+        spots = F.when(F.size(w) >= K, spots).otherwise(F.array().cast("array<int>"))
         return F.struct(F.size(w).cast("long").alias("n"), F.transform(spots, lambda i: F.struct(i.alias("pos"), _gram(w, i).alias("gram"), F.slice(w, i + 1, K).alias("said"))).alias("hits"))
 
     # the words are bound to one name, so that they are made once for a text
     read = docs.select(F.monotonically_increasing_id().alias("_row"), *key, F.transform(F.array(words(F.col("text"))), found)[0].alias("_f"))
     hits = read.select("_row", *key, F.col("_f.n").alias("n_words"), F.explode_outer("_f.hits").alias("_hit"))
-    near = F.broadcast(grams.withColumnRenamed("said", "_template_said"))
+    near = grams.withColumnRenamed("said", "_template_said")
+    near = F.broadcast(near) if positions <= POSITIONS else near
     votes = hits.join(near, (F.col("_hit.gram") == F.col("gram")) & (F.col("_hit.said") == F.col("_template_said")), "left")
     votes = votes.select("_row", *key, "n_words", "template", "label", "base", "size", "at", (F.col("_hit.pos") - F.col("at")).alias("diagonal"))
     row = ["_row", *key, "n_words"]
