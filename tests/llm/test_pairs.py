@@ -86,6 +86,49 @@ def test_empty_and_extra_columns(spark, empty):
     assert jaccard.keep_one(only).count() == 1
 
 
+def test_sets_without_an_id_link(spark):
+    """A set that only rows without an id hold links with others, and carries chains."""
+    words = [f"w{i}" for i in range(120)]
+    change = lambda *at: " ".join("x" + w if i in at else w for i, w in enumerate(words))
+    rows = [(None, change(3)), (7, change()), (9, change(50, 55, 60)), (None, " ".join(words[::-1])), (None, " ".join(words[::-1])), (4, "other words")]
+    check(spark, rows)
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(r.doc_id for r in kept) == Counter({7: 1, None: 1, 4: 1})
+
+
+def test_one_id_with_several_texts(spark):
+    """keep_one judges rows by their text, not by their id alone."""
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join(["x", *words[1:]])
+    rows = [(1, " ".join(words), 1), (2, near, 2), (2, "nothing like the others at all", 3), (2, "nothing like the others at all", 4), (3, None, 5), (3, None, 6), (3, "", 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, text_key int")
+    check(spark, [r[:2] for r in rows])
+    kept = jaccard.keep_one(df)
+    assert kept.columns == df.columns
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert got == Counter({(1, rows[0][1]): 1, (2, rows[2][1]): 1, (3, None): 2, (3, ""): 1})
+
+
+def test_hot_keys_without_broadcast(spark, monkeypatch):
+    """One group of many near copies with tiny blocks, and joins that may broadcast few rows only."""
+    from assayframe.llm import shared
+
+    monkeypatch.setattr(shared, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(jaccard, "BLOCK_OWNERS", 3)
+    monkeypatch.setattr(jaccard, "MEETINGS", 2)
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        words[rng.randrange(100)] = f"n{i}"
+        rows.append((i, " ".join(words)))
+    rows += [(40 + i, rows[i % 3][1]) for i in range(20)] + [(60 + i, " ".join(f"o{i}w{j}" for j in range(30))) for i in range(10)]
+    check(spark, rows)
+    assert sorted(r.doc_id for r in jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == [0, *range(60, 70)]
+
+
 def test_keys_meet_for_every_linked_pair():
     """The prefix guarantee itself: any two linked sets share a key, whatever tokens are frequent."""
     rng = np.random.default_rng(5)
@@ -124,6 +167,10 @@ def edited(rng, text, share):
     return "".join(out)
 
 
+def found_pairs(docs, table):
+    return {(r.doc_id, r.item_id) for r in decontam.find(docs, table).collect()}
+
+
 def test_decontamination_finds_planted_passages(spark, docs, benchmark):
     table, items = benchmark
     rng = random.Random(2)
@@ -133,7 +180,7 @@ def test_decontamination_finds_planted_passages(spark, docs, benchmark):
         truth |= {(1000 + i, i), (2000 + i, i), (3000 + i, i)}
     truth |= {(d, 97) for d, i in truth if i == 0}
     planted = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {(r.doc_id, r.item_id) for r in decontam.find(planted, table).collect()} == truth
+    assert found_pairs(planted, table) == truth
     assert decontam.find(docs, table).count() == 0
     mixed = docs.select("doc_id", "text").union(planted)
     assert Counter(r.doc_id for r in decontam.clean(mixed, table).collect()) == Counter(r.doc_id for r in docs.collect())
@@ -146,30 +193,97 @@ def test_decontamination_of_nothing(spark, docs, empty, benchmark):
     assert decontam.find(docs, none).count() == 0 and decontam.clean(docs, none).count() == docs.count()
 
 
-def test_distance_against_full_matrix():
-    rng = random.Random(4)
+def slow_distance(p, t):
+    row = [0] * (len(t) + 1)
+    for i, c in enumerate(p):
+        new = [i + 1]
+        for j, d in enumerate(t):
+            new.append(min(row[j] + (c != d), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def plain(text):
+    return "".join(" " if c.isspace() else c.lower() if len(c.lower()) == 1 else c for c in text)
+
 
-    def slow(p, t):
-        row = [0] * (len(t) + 1)
-        for i, c in enumerate(p):
-            new = [i + 1]
-            for j, d in enumerate(t):
-                new.append(min(row[j] + (c != d), row[j + 1] + 1, new[j] + 1))
-            row = new
-        return min(row)
+def holds(item, text):
+    """Brute force: any window of the item, anywhere in the text, with the edits it may have."""
+    item, text = plain(item), plain(text)
+    if len(item) < decontam.Q:
+        return bool(item.strip()) and item.strip() == text.strip()
+    size, e = min(len(item), decontam.WINDOW), int(decontam.edits_of(len(item)))
+    if e == 0:
+        return item in text
+    return any(slow_distance(item[s : s + size], text) <= e for s in range(len(item) - size + 1))
 
+
+def test_windows_match_brute_force(spark):
+    """All windows at all places: edits of all kinds and numbers, parts of all lengths, scripts, short items."""
+    rng = random.Random(8)
+    item = lambda n, letters="abcde ": "".join(rng.choices(letters, k=n))
+    items = [(0, item(60)), (1, item(90, "αβγδ ")), (2, item(40)), (3, item(33)), (4, item(20)), (5, item(9)), (6, "Short "), (7, item(49, "жзийк "))]
+    rows = []
+    for k, text in items:
+        for n in range(40):
+            a = rng.randrange(max(1, len(text) - 30))
+            part = text[a : a + rng.choice([30, 44, 48, 52, 200])]
+            for _ in range(rng.choice([0, 1, 2, 3, 4, 5])):
+                at = rng.randrange(max(1, len(part)))
+                part = part[:at] + rng.choice(["", "x", "xy"]) + part[at + rng.choice([0, 1]) :]
+            rows.append((len(rows), item(rng.choice([0, 3, 25])) + (part.upper() if n % 2 else part) + item(rng.choice([0, 2, 30]))))
+        rows.append((len(rows), text))
+    rows += [(len(rows), None), (len(rows) + 1, "\tSHORT\n"), (len(rows) + 2, "short words"), (len(rows) + 3, "")]
+    want = {(d, k) for d, text in rows for k, i in items if text and holds(i, text)}
+    got = found_pairs(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert got == want and 60 < len(want) < len(rows) / 2
+
+
+def test_alignment_against_full_matrix():
+    rng = random.Random(4)
     for _ in range(100):
-        p = bytes(rng.choices(b"ab", k=rng.randint(1, 12)))
-        t = bytes(rng.choices(b"ab", k=rng.randint(0, 20)))
-        got, _ = decontam.distance(np.frombuffer(p, np.uint8), np.frombuffer(bytearray(t), np.uint8), 4)
-        assert got == min(slow(p, t), 5)
+        e = rng.randint(0, 3)
+        width, m = 2 * max(1, e) + 2 * e, rng.randint(1, 12)
+        p, t = rng.choices([1, 2], k=m), rng.choices([1, 2, 3], k=m + width - 1)
+        (edits,), (a,), (z,) = decontam.aligned(np.array([t], np.uint32), np.array([p], np.uint32), e)
+        # paths that stay on the band's diagonals are as good as any where few edits are needed
+        assert edits >= slow_distance(p, t) and slow_distance(p, t[a:z]) <= edits
+        row = {(0, d): 0 for d in range(width)}
+        for i in range(m):
+            for d in range(width):
+                row[i + 1, d] = min([row[i, d] + (p[i] != t[i + d])] + ([row[i, d + 1] + 1] if d + 1 < width else []) + ([row[i + 1, d - 1] + 1] if d else []))
+        assert edits == min(row[m, d] for d in range(width))
+
+
+def test_where_passages_start(spark, benchmark):
+    table, items = benchmark
+    item, text = max(items.items(), key=lambda x: len(x[1]))
+    rows = [(1, f"zzzzzzz {text} zzz"), (2, "zzzzzzz " + text[:100] + "qqq" + text[100:]), (3, "Ünï😀 " + text.upper()), (4, "zz#" + text[10:70] + "#zz")]
+    got = {r.doc_id: r for r in decontam.find(spark.createDataFrame(rows, "doc_id long, text string"), table).where(f"item_id = {item}").collect()}
+    assert [(got[i].start, got[i].end) for i in (1, 2, 3, 4)] == [(8, 8 + len(text)), (8, 11 + len(text)), (5, 5 + len(text)), (3, 63)]
+    assert got[1].edits == 0 and got[1].windows >= len(text) - 47
+
+
+def test_long_texts_are_searched_in_pieces(spark, benchmark, monkeypatch):
+    import pyarrow as pa
+
+    table, items = benchmark
+    text = max(items.values(), key=len)
+    monkeypatch.setattr(decontam, "SLICE_BYTES", 700)
+    monkeypatch.setattr(decontam, "OVERLAP", 256)
+    long = "é fill " * 300 + text + " ünd " * 400 + text[:60] + " end" * 100
+    known = decontam.indexes(list(items.items()))
+    (pieces,) = decontam.passages(pa.array([long]), *known)
+    monkeypatch.undo()
+    (whole,) = decontam.passages(pa.array([long]), *known)
+    assert pieces == whole and len(whole) == 2
 
 
 def test_blocks_of_a_large_benchmark(spark, docs, benchmark, monkeypatch):
     table, items = benchmark
     planted = spark.createDataFrame([(1, items[1]), (2, items[2])], "doc_id long, text string")
-    monkeypatch.setattr(decontam, "BLOCK_BYTES", 500)
-    assert {(r.doc_id, r.item_id) for r in decontam.find(planted, table).collect()} == {(1, 1), (2, 2)}
+    monkeypatch.setattr(decontam, "BLOCK_GRAMS", 500)
+    assert found_pairs(planted, table) == {(1, 1), (2, 2)}
     assert decontam.clean(planted, table).count() == 0
 
 
@@ -178,7 +292,7 @@ def test_decontamination_finds_partial_passages_from_every_start(spark, benchmar
     item, text = max(items.items(), key=lambda x: len(x[1]))
     assert len(text) > 200
     rng, rows = random.Random(6), []
-    for size in (decontam.SURE, 80, 96, 120):
+    for size in (decontam.WINDOW, 80, 120):
         for at in range(len(text) - size + 1):
             part = text[at : at + size]
             rows.append((len(rows), f"words before it {part} and after"))
