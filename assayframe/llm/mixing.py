@@ -78,28 +78,19 @@ TARGETS: Mapping[str, Target] = {
 }
 
 
-def _pattern(topics: Sequence[tuple[str, Sequence[str]]]) -> str:
-    """All marks as alternatives, each in brackets of its own character where it is a sign."""
-    said = lambda mark: "".join(c if c.isalnum() or c in " \n\t@:/=\"" else f"[{c}]" for c in mark)
-    return "|".join(said(m) for _, marks in topics for m in marks)
-
-
 def topic(text: Column, n: Column, topics: Sequence[tuple[str, Sequence[str]]] = TOPICS) -> Column:
-    """Topic of a text of n tokens; its marks are found in one pass, from left to right, without overlap."""
-
-    def among(marks: Sequence[str]):
-        return lambda x: x.isin(*marks)
+    """Topic of a text of n tokens; a mark is counted by what is left without it."""
+    times = lambda mark: F.floor((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(mark), F.lit("")))) / len(mark.encode()))
+    counted = F.array(*[sum((times(m) for m in marks[1:]), times(marks[0])) for _, marks in topics])
 
-    def judged(found: Column) -> Column:
-        counts = [F.size(F.filter(found, among(marks))) for _, marks in topics]
-        most = F.greatest(*counts) if len(counts) > 1 else counts[0]
-        out = F.lit(OTHER_TOPIC)
-        for (name, _), count in reversed(list(zip(topics, counts, strict=True))):
-            out = F.when(count == most, name).otherwise(out)
-        return F.when(most * TOPIC_TOKENS >= F.greatest(n, F.lit(1)), out).otherwise(OTHER_TOPIC)
+    def judged(counts: Column) -> Column:
+        most = F.array_max(counts)
+        first = F.array_position(counts, most).cast("int")
+        name = F.element_at(F.array(*[F.lit(name) for name, _ in topics]), first)
+        return F.when(most * TOPIC_TOKENS >= F.greatest(n, F.lit(1)), name).otherwise(OTHER_TOPIC)
 
-    # the marks are bound to a name, so that they are looked for once
-    return F.transform(F.array(F.regexp_extract_all(text, F.lit(_pattern(topics)), F.lit(0))), judged)[0]
+    # the counts are bound to a name, so that they are made once
+    return F.transform(F.array(counted), judged)[0]
 
 
 def tokens(text: Column) -> Column:
@@ -241,12 +232,13 @@ def sample(docs: DataFrame, targets: Mapping[str, Target] = TARGETS, keep_share:
 def oracle(targets: Mapping[str, Target] = TARGETS, topics: Sequence[tuple[str, Sequence[str]]] = TOPICS, sweeps: int = 40, seed: int = 0) -> str:
     """DuckDB SQL for the rows of ``digest``: the sweeps written out one after another."""
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    counts = ", ".join(f"len(list_filter(m, lambda x: x IN ({', '.join(map(quoted, marks))}))) AS n_{name}" for name, marks in topics)
+    times = lambda mark: f"(strlen(t) - strlen(replace(t, {quoted(mark)}, ''))) // {len(mark.encode())}"
+    counts = ", ".join(f"{' + '.join(map(times, marks))} AS n_{name}" for name, marks in topics)
     most = f"greatest({', '.join(f'n_{name}' for name, _ in topics)})"
     kinds = " ".join(f"WHEN {most} = n_{name} THEN {quoted(name)}" for name, _ in topics)
     parts = [
         f"""raw AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, coalesce(text, '') AS t FROM documents)""",
-        f"""counted AS (SELECT doc_id, source, lang, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))::BIGINT AS tokens, {counts} FROM (SELECT *, regexp_extract_all(t, {quoted(_pattern(topics))}) AS m FROM raw))""",
+        f"""counted AS (SELECT doc_id, source, lang, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))::BIGINT AS tokens, {counts} FROM raw)""",
         f"""docs AS (SELECT doc_id, source, lang, CASE WHEN {most} * {TOPIC_TOKENS} < greatest(tokens, 1) THEN '{OTHER_TOPIC}' {kinds} END AS topic, tokens FROM counted)""",
         "cells AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM docs GROUP BY ALL)",
     ]
