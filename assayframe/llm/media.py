@@ -2,8 +2,8 @@
 
 Payload bytes are kept losslessly in a RIFF container, as 8-bit mu-law or A-law
 codes, or as the 4-bit codes of IMA ADPCM blocks (64 payload bytes and a header
-each).  Which of them is up to the payload: CRC-32 modulo 4 is 0 or 1 for
-mu-law, 2 for A-law, 3 for ADPCM.  Media are written as a table and read back.
+each).  Which of them is up to the payload: CRC-32 modulo 16 is below 8 for
+mu-law, below 15 for A-law, 15 for ADPCM (whose PCM is twice as long).  Media are written as a table and read back.
 Decoding expands the codes by a 256-entry table; the ADPCM blocks of many rows
 are decoded together, one step of numpy per sample position across all blocks.
 Decoded audio is resampled to ``PCM_RATE`` by means of neighbours (down) or by
@@ -42,7 +42,7 @@ PCM_RATE = 4000
 #: Bytes of an ADPCM block: a header of 4 and the codes.
 BLOCK = UNIT + 4
 #: How media and PCM are written.
-STORED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
+STORED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "12"}
 #: RIFF format tags (fixed values): PCM, A-law, mu-law, IMA ADPCM.
 TAGS = {"pcm": 1, "alaw": 6, "mulaw": 7, "ima": 17}
 
@@ -125,7 +125,8 @@ def decode_ima(data: bytes, block: int) -> np.ndarray:
 
 def encode(payload: bytes, kind: str | None = None) -> bytes:
     """The WAV file that keeps a padded payload; the codec is the payload's own unless it is given."""
-    kind = kind or ("mulaw", "mulaw", "alaw", "ima")[zlib.crc32(payload) % 4]
+    crc = zlib.crc32(payload) % 16
+    kind = kind or ("mulaw" if crc < 8 else "alaw" if crc < 15 else "ima")
     if kind == "ima":
         blocks = np.zeros((len(payload) // UNIT, BLOCK), np.uint8)
         blocks[:, 4:] = np.frombuffer(payload, np.uint8).reshape(-1, UNIT)
