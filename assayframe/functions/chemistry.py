@@ -20,32 +20,46 @@ def total_active(neutral: Column, acid: Column, nulls: str = "zero") -> Column:
     return neutral + F.lit(DECARB) * acid
 
 
-def analyte_stats(df: DataFrame, cannabinoids: Sequence[str], terpenes: Sequence[str], nulls: str = "zero", replace: bool = False) -> DataFrame:
-    """Totals and ratios, each only if absent (unless ``replace``); totals are NULL if all parts are missing.
+# fixed values: ratios of a record
+RATIOS = {
+    "thc_cbd_ratio": ("total_thc", "total_cbd"),
+    "beta_pinene_d_limonene_ratio": ("beta_pinene", "d_limonene"),
+    "alpha_humulene_beta_caryophyllene_ratio": ("alpha_humulene", "beta_caryophyllene"),
+    "camphene_d_limonene_ratio": ("camphene", "d_limonene"),
+    "beta_myrcene_beta_pinene_ratio": ("beta_myrcene", "beta_pinene"),
+    "beta_caryophyllene_d_limonene_ratio": ("beta_caryophyllene", "d_limonene"),
+}
 
-    Ratios are NULL where they can't be formed.
+
+def analyte_stats(df: DataFrame, cannabinoids: Sequence[str], terpenes: Sequence[str]) -> DataFrame:
+    """Totals, each only if absent, and ratios; totals are NULL if all parts are missing, missing parts of THC and CBD count as 0.
+
+    Ratios are NULL where they can't be formed, or a column of theirs isn't there.
     """
     have = set(df.columns)
     col = lambda name: F.col(name).cast("double") if name in have else F.lit(None).cast("double")
-    count = 1 if nulls == "zero" else 0
     new = {
-        "total_cannabinoids": row_sum([col(c) for c in cannabinoids], count),
-        "total_terpenes": row_sum([col(c) for c in terpenes], count),
-        "total_thc": total_active(col("delta_9_thc"), col("thca"), nulls),
-        "total_cbd": total_active(col("cbd"), col("cbda"), nulls),
+        "total_cannabinoids": row_sum([col(c) for c in cannabinoids], 1),
+        "total_terpenes": row_sum([col(c) for c in terpenes if c in have], 1),
+        "total_thc": total_active(col("delta_9_thc"), col("thca")),
+        "total_cbd": total_active(col("cbd"), col("cbda")),
     }
-    out = df.withColumns({k: v for k, v in new.items() if replace or k not in have})
+    out = df.withColumns({k: v for k, v in new.items() if k not in have})
     has = set(out.columns)
-    at = lambda name: F.col(name) if name in has else F.lit(None).cast("double")
-    ratios = {
-        "thc_to_cbd_ratio": ("total_thc", "total_cbd"),
-        "cannabinoids_to_terpenes_ratio": ("total_cannabinoids", "total_terpenes"),
-        "terpinene_to_limonene_ratio": ("alpha_terpinene", "d_limonene"),
-        "caryophyllene_to_limonene_ratio": ("beta_caryophyllene", "d_limonene"),
-        "pinene_to_limonene_ratio": ("beta_pinene", "d_limonene"),
-        "thca_to_thc_ratio": ("thca", "delta_9_thc"),
-    }
-    return out.withColumns({k: safe_ratio(at(a), at(b)) for k, (a, b) in ratios.items()})
+    ratio = lambda a, b: safe_ratio(F.col(a), F.col(b)) if {a, b} <= has else F.lit(None).cast("double")
+    return out.withColumns({k: ratio(a, b) for k, (a, b) in RATIOS.items()})
+
+
+def results_stats(df: DataFrame, cannabinoids: Sequence[str] | None = None, terpenes: Sequence[str] | None = None, cbd: str = "cbd", cbda: str = "cbda", thc: str = "delta_9_thc", thca: str = "thca", decarb: float = DECARB) -> DataFrame:
+    """Totals and ratios that replace what is there: sums take missing parts as 0, the rest is NULL if a part is missing."""
+    out = df
+    if cannabinoids is not None:
+        active = lambda a, b: F.col(a) + F.lit(decarb) * F.col(b)
+        out = out.withColumns({"total_cannabinoids": row_sum([F.col(c) for c in cannabinoids]), "total_thc": active(thc, thca), "total_cbd": active(cbd, cbda)})
+        out = out.withColumn("thc_to_cbd_ratio", F.try_divide("total_thc", "total_cbd"))
+    if terpenes is not None:
+        out = out.withColumns({"total_terpenes": row_sum([F.col(c) for c in terpenes]), "beta_pinene_to_d_limonene_ratio": F.try_divide("beta_pinene", "d_limonene")})
+    return out
 
 
 def rounded_totals(df: DataFrame, cannabinoids: Sequence[str] | None, terpenes: Sequence[str] | None) -> DataFrame:
@@ -64,7 +78,7 @@ def rounded_totals(df: DataFrame, cannabinoids: Sequence[str] | None, terpenes:
 def ratio_class(ratio: Column) -> Column:
     """Dominance by the decimal logarithm of the THC to CBD ratio; NULL where it has none."""
     log = F.log10(ratio)
-    return F.when(ratio > 0, F.when(log < -0.5, "CBD Dominant").when(log > 0.5, "THC Dominant").otherwise("Balanced"))
+    return F.when(ratio > 0, F.when(log < -0.5, "CBD Dominant").when(log > 0.5, "THC Dominant").otherwise("Balanced THC:CBD"))
 
 
 def shannon(cols: Sequence[Column]) -> Column:

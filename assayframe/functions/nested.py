@@ -13,11 +13,15 @@ RESULT_DDL = "array<struct<analysis: string, key: string, name: string, value: s
 
 
 def as_json(col: Column) -> Column:
-    """JSON text of a list or dict literal: single quotes and the words None, True and False replaced."""
-    out = F.regexp_replace(col, "'", '"')
-    for word, json in (("None", "null"), ("True", "true"), ("False", "false")):
-        out = F.regexp_replace(out, rf"\b{word}\b", json)
-    return out
+    """JSON text of a list or dict literal: quotes of strings, and the words None, True and False outside of them."""
+    tokens = F.regexp_extract_all(col, F.lit(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"]+|['"]"""), F.lit(0))
+
+    def said(t: Column) -> Column:
+        inner = F.replace(F.regexp_replace(t.substr(F.lit(2), F.length(t) - 2), '(?<!\\\\)"', '\\\\"'), F.lit("\\'"), F.lit("'"))
+        words = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, r"\bNone\b", "null"), r"\bTrue\b", "true"), r"\bFalse\b", "false")
+        return F.when(F.startswith(t, F.lit("'")) & (F.length(t) > 1), F.concat(F.lit('"'), inner, F.lit('"'))).when(F.startswith(t, F.lit('"')), t).otherwise(words)
+
+    return F.array_join(F.transform(tokens, said), "")
 
 
 def results_of(col: Column, ddl: str = RESULT_DDL) -> Column:
@@ -81,13 +85,20 @@ def statuses(df: DataFrame, out: str = "statuses") -> DataFrame:
     return df.withColumn(out, F.array_distinct(F.array_compact(F.array(*parts)))).drop(*own)
 
 
-def traceability_ids(df: DataFrame, prefix: str = "metrc", listed: str | None = None, fields: Sequence[str] = (), keep: Sequence[str] = (), out: str = "traceability_ids") -> DataFrame:
-    """Sorted distinct ids of a list column, of the columns with a prefix and of other fields; NULL if none."""
-    own = [c for c in df.columns if c.startswith(prefix) and c != listed]
-    single = F.array(*[blank_to_null(F.col(c).cast("string")) for c in [*own, *fields]])
-    every = F.concat(F.coalesce(F.col(listed), F.array().cast("array<string>")), single) if listed else single
+def traceability_ids(df: DataFrame, prefix: str = "metrc", fields: Sequence[str] = ("batch_id", "batch_number", "traceability_id", "source_id"), keep: Sequence[str] = ("batch_number",), out: str = "traceability_ids") -> DataFrame:
+    """Sorted distinct ids of the list column ``{prefix}_ids`` (an array, a list as text, or one id), of the columns with the prefix and of other fields; NULL if none.
+
+    Those columns are dropped, but for the fields to keep.
+    """
+    listed = f"{prefix}_ids"
+    own = [c for c in df.columns if c.startswith(prefix) and c != listed] + [c for c in fields if c in df.columns and not c.startswith(prefix)]
+    every = F.array(*[blank_to_null(F.col(c).cast("string")) for c in own]) if own else F.array().cast("array<string>")
+    if listed in df.columns:
+        col = F.col(listed)
+        many = col.cast("array<string>") if dict(df.dtypes)[listed].startswith("array") else F.coalesce(F.from_json(as_json(col), "array<string>"), F.when(blank_to_null(col).isNotNull(), F.array(col)))
+        every = F.concat(F.coalesce(many, F.array().cast("array<string>")), every)
     ids = F.array_sort(F.array_distinct(F.array_compact(every)))
-    dropped = [c for c in [*own, *fields, *([listed] if listed else [])] if c not in keep]
+    dropped = [c for c in df.columns if c.startswith(prefix) or (c in fields and c not in keep)]
     return df.withColumn(out, F.when(F.size(ids) > 0, ids)).drop(*dropped)
 
 
@@ -98,14 +109,27 @@ def nth_url(col: Column, index: int = 0) -> Column:
     return F.coalesce(F.get(listed, index)["url"], F.get(plain, index))
 
 
-def tags(columns: Mapping[str, Column], default: str, base: str = "") -> Column:
-    """A default tag and one for each filled column: id (slug), name, color by hash, link."""
+# fixed values: the tag of every record, and links of the tagged columns
+DEFAULT_TAG = {"tag_id": "coas", "tag_name": "COA", "tag_color": "#3498db", "tag_link": "/coas"}
+TAG_LINKS = {"state": "/coas?state=%s", "standard_product_type": "/coas?product_type=%s", "standard_strain_name": "/strains/%s", "producer": "/licenses/%s", "lab": "/licenses/%s"}
+
+
+def tags(columns: Mapping[str, Column], links: Mapping[str, str] = TAG_LINKS, default: Mapping[str, str] = DEFAULT_TAG, colors: Mapping[str, Column] | None = None) -> Column:
+    """The default tag and one for each filled column: id (slug), name, color, link.
+
+    Colors are given by column (from a table of known ones), else made of the name's hash.
+    """
 
     def tag(name: Column, kind: str) -> Column:
         key = slug(name)
-        return F.struct(key.alias("tag_id"), name.alias("tag_name"), F.concat(F.lit("#"), F.substring(F.md5(key), 1, 6)).alias("tag_color"), F.concat_ws("/", F.lit(base), F.lit(kind), key).alias("tag_link"))
+        color = F.concat(F.lit("#"), F.substring(F.md5(F.lower(F.trim(name))), 1, 6))
+        if colors and kind in colors:
+            color = F.coalesce(colors[kind], color)
+        left, _, right = links[kind].partition("%s")
+        return F.struct(key.alias("tag_id"), name.alias("tag_name"), color.alias("tag_color"), F.concat(F.lit(left), key, F.lit(right)).alias("tag_link"))
 
-    return F.array_compact(F.array(tag(F.lit(default), "tags"), *[F.when(blank_to_null(c).isNotNull(), tag(c, kind)) for kind, c in columns.items()]))
+    first = F.struct(*[F.lit(default[k]).alias(k) for k in ("tag_id", "tag_name", "tag_color", "tag_link")])
+    return F.array_compact(F.array(first, *[F.when(blank_to_null(c).isNotNull(), tag(c, kind)) for kind, c in columns.items()]))
 
 
 def vector(cols: Sequence[Column]) -> Column:
@@ -125,3 +149,25 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), norm(a) * norm(b))
 
 
+def with_results(df: DataFrame, results: str) -> DataFrame:
+    """Rows whose results (a list as text) are not empty."""
+    return df.where(F.size(F.coalesce(F.from_json(as_json(F.col(results)), "array<map<string, string>>"), F.array().cast("array<map<string, string>>"))) > 0)
+
+
+def table_results(cells: Column, analysis: str, skip: Sequence[str] = (), units: str | None = None) -> Column:
+    """Result structs of a table's rows (arrays of cells), without the title, empty rows and those whose first cell holds a word to skip.
+
+    Rows of four cells are two results side by side; others are name, value, limit.
+    """
+    rows = F.filter(F.slice(cells, 2, F.greatest(F.size(cells), F.lit(1))), lambda r: F.size(r) > 1)
+    for word in skip:
+        rows = F.filter(rows, _without(word))
+    key = lambda name: F.regexp_replace(F.lower(F.trim(name)), "[^a-z0-9]+", "_")
+    made = lambda name, value, limit: F.struct(F.lit(analysis).alias("analysis"), key(name).alias("key"), name.alias("name"), value.alias("value"), limit.alias("limit"), F.lit(units).cast("string").alias("units"))
+    none = F.lit(None).cast("string")
+    split = lambda r: F.when(F.size(r) == 4, F.array(made(F.get(r, 0), F.get(r, 1), none), made(F.get(r, 2), F.get(r, 3), none))).otherwise(F.array(made(F.get(r, 0), F.get(r, 1), F.get(r, 2))))
+    return F.flatten(F.transform(rows, split))
+
+
+def _without(word: str):
+    return lambda row: ~F.contains(F.get(row, 0), F.lit(word))

@@ -9,23 +9,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # fixed values: words of test results
-PASS_WORDS = ("pass", "passed", "compliant", "complete", "completed", "ok", "yes", "true")
-FAIL_WORDS = ("fail", "failed", "non-compliant", "noncompliant", "reject", "rejected", "no", "false")
-NOT_TESTED_WORDS = ("nt", "not tested", "not_tested", "n/a", "na", "none", "-", "")
+PASS_WORDS = ("pass", "passed", "passing", "p", "compliant", "yes", "true", "1")
+FAIL_WORDS = ("fail", "failed", "failing", "f", "non-compliant", "no", "false", "0")
+NOT_TESTED_WORDS = ("nt", "not tested", "n/t", "not applicable", "n/a", "na", "-", "")
 # fixed values: spellings of product types
 PRODUCT_TYPES: Mapping[str, Sequence[str]] = {
-    "flower": ("flower", "buds", "bud", "usable marijuana"),
-    "concentrate": ("concentrate", "extract", "wax", "shatter", "rosin", "resin"),
-    "edible": ("edible", "edibles", "infused edible", "gummy"),
-    "topical": ("topical", "lotion", "balm"),
-    "tincture": ("tincture", "drops", "sublingual"),
-    "vape": ("vape", "cartridge", "vape cartridge"),
-    "preroll": ("preroll", "pre-roll", "pre roll", "joint"),
+    "flower": ("flower", "bud", "buds", "cannabis flower", "dried flower", "trim", "shake"),
+    "preroll": ("preroll", "pre-roll", "joint", "blunt", "prerolls", "pre-rolls", "infused preroll"),
+    "concentrate": ("concentrate", "extract", "wax", "shatter", "rosin", "live resin", "budder", "badder", "sauce", "diamonds", "sugar", "crumble"),
+    "vape": ("vape", "cartridge", "cart", "vaporizer", "pod", "disposable", "aio"),
+    "edible": ("edible", "gummy", "chocolate", "beverage", "candy", "baked goods", "capsule", "tablet"),
+    "tincture": ("tincture", "oil", "drops", "sublingual", "rso"),
+    "topical": ("topical", "cream", "lotion", "balm", "salve", "transdermal"),
 }
 # fixed values: other spellings of analyte keys
 ANALYTE_KEYS: Mapping[str, str] = {
-    "thca-a": "thca", "cbd-a": "cbda", "cbg-a": "cbga", "delta-9-thc": "delta_9_thc", "d9-thc": "delta_9_thc", "d9_thc": "delta_9_thc",
-    "delta-8-thc": "delta_8_thc", "b-myrcene": "beta_myrcene", "d-limonene": "d_limonene", "b-caryophyllene": "beta_caryophyllene", "a-pinene": "alpha_pinene", "b-pinene": "beta_pinene",
+    "thc": "delta_9_thc", "d9thc": "delta_9_thc", "delta-9-thc": "delta_9_thc", "delta9thc": "delta_9_thc", "d8thc": "delta_8_thc", "delta-8-thc": "delta_8_thc",
+    "thca-a": "thca", "thc-a": "thca", "cbda": "cbda", "cbd-a": "cbda", "cannabidiol": "cbd", "cannabigerol": "cbg",
+    "myrcene": "beta_myrcene", "b-myrcene": "beta_myrcene", "limonene": "d_limonene", "d-limonene": "d_limonene", "caryophyllene": "beta_caryophyllene", "b-caryophyllene": "beta_caryophyllene",
+    "a-pinene": "alpha_pinene", "b-pinene": "beta_pinene", "a-humulene": "alpha_humulene", "humulene": "alpha_humulene",
 }
 
 
@@ -74,20 +76,41 @@ class Rule:
     allowed: Sequence[str] | None = None
 
 
-def validate(df: DataFrame, rules: Mapping[str, Rule], errors: str = "errors", valid: str = "is_valid") -> DataFrame:
-    """Add the list of broken rules, in the rules' order, and whether it is empty."""
+# fixed values: the rules of a record
+STATUS_VALUES = ("pass", "fail", "nt", "n/a")
+RULES: Mapping[str, Rule] = {
+    "delta_9_thc": Rule(least=0, most=40), "delta_8_thc": Rule(least=0, most=40), "thca": Rule(least=0, most=40), "total_thc": Rule(least=0, most=45),
+    "cbd": Rule(least=0, most=30), "cbda": Rule(least=0, most=30), "total_cbd": Rule(least=0, most=35), "total_cannabinoids": Rule(least=0, most=100),
+    "total_terpenes": Rule(least=0, most=15), "beta_myrcene": Rule(least=0, most=5), "d_limonene": Rule(least=0, most=5), "beta_caryophyllene": Rule(least=0, most=5), "linalool": Rule(least=0, most=3),
+    "moisture_content": Rule(least=0, most=20), "water_activity": Rule(least=0, most=1), "indica_percentage": Rule(least=0, most=1), "sativa_percentage": Rule(least=0, most=1),
+    "pesticides_status": Rule(allowed=STATUS_VALUES), "heavy_metals_status": Rule(allowed=STATUS_VALUES), "microbials_status": Rule(allowed=STATUS_VALUES), "mycotoxins_status": Rule(allowed=STATUS_VALUES),
+    "residual_solvents_status": Rule(allowed=STATUS_VALUES), "overall_status": Rule(allowed=STATUS_VALUES), "state": Rule(required=True),
+}
+
+
+def validate(df: DataFrame, rules: Mapping[str, Rule] = RULES, errors: str = "errors", valid: str = "is_valid") -> DataFrame:
+    """Add the list of broken rules and whether it is empty.
+
+    Missing required fields come first, then bounds and values in the rules'
+    order; fields that df lacks count as missing.  Empty text, 0 and false are
+    missing for a required field.
+    """
+    have = set(df.columns)
     checks = []
     for name, rule in rules.items():
-        col = F.col(name)
         if rule.required:
-            missing = col.isNull() | (col.cast("string") == "") | (col.cast("string").isin("0", "0.0", "false"))
-            checks.append(F.when(missing, F.lit(f"missing required field: {name}")))
+            text = F.col(name).cast("string") if name in have else F.lit(None).cast("string")
+            checks.append(F.when(text.isNull() | text.isin("", "0", "0.0", "false"), F.lit(f"Missing required field: {name}")))
+    for name, rule in rules.items():
+        if name not in have:
+            continue
+        col, said = F.col(name), F.col(name).cast("string")
         if rule.least is not None:
-            checks.append(F.when(col < rule.least, F.lit(f"{name} below minimum {rule.least:g}")))
+            checks.append(F.when(col < rule.least, F.concat(F.lit(f"{name} below minimum: "), said, F.lit(f" < {rule.least}"))))
         if rule.most is not None:
-            checks.append(F.when(col > rule.most, F.lit(f"{name} above maximum {rule.most:g}")))
+            checks.append(F.when(col > rule.most, F.concat(F.lit(f"{name} above maximum: "), said, F.lit(f" > {rule.most}"))))
         if rule.allowed is not None:
-            checks.append(F.when(~col.isin(*rule.allowed), F.lit(f"{name} not an allowed value")))
+            checks.append(F.when(~col.isin(*rule.allowed), F.concat(F.lit(f"{name} invalid value: "), said)))
     found = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
     return df.withColumn(errors, found).withColumn(valid, F.size(errors) == 0)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -53,9 +53,9 @@ def longest_suffix(col: Column, suffixes: Sequence[str]) -> Column:
 
 
 def bracket_type(col: Column, default: str = "R&D Testing") -> Column:
-    """Last part between brackets; the default if there is none, or it is empty; cut off where it leads the part."""
-    parts = F.split(col, r"[()]")
-    last = F.trim(F.regexp_replace(F.element_at(parts, -1), "^" + re.escape(default), ""))
+    """What follows the last bracket, behind the default's name where it holds that; the default if there is one part only, or nothing is left."""
+    parts = F.filter(F.transform(F.split(col, r"[()]"), lambda p: F.trim(p)), lambda p: p != "")
+    last = F.trim(F.substring_index(F.element_at(parts, -1), default, -1))
     return F.when(F.size(parts) <= 1, default).otherwise(F.coalesce(blank_to_null(last), F.lit(default)))
 
 
@@ -73,7 +73,30 @@ def strain_of_product(col: Column) -> Column:
 
 
 def words(col: Column) -> Column:
-    return F.regexp_extract_all(F.lower(col), F.lit(r"[a-z0-9_]+"), F.lit(0))
+    """Lower-case runs of letters and digits of any script, and underscores."""
+    return F.regexp_extract_all(F.lower(col), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+
+
+def ngrams_to(tokens: Column, most: int, stop: Sequence[str] = ()) -> Column:
+    """n-grams of 1 to ``most`` words, without those that hold a stop word."""
+    return F.concat(*[ngrams(tokens, n, stop) for n in range(1, most + 1)])
+
+
+def joined_strains(names: Column) -> Column:
+    """Strain names of a list as one text."""
+    return F.array_join(names, " × ")
+
+
+def identified(text: Column, labs: Mapping[str, Sequence[str]], default: str | None = None) -> Column:
+    """The first lab one of whose marks (name, link) the text holds; else the default."""
+    found = [F.when(F.coalesce(*[F.when(F.contains(text, F.lit(m)), F.lit(True)) for m in marks], F.lit(False)), F.lit(name)) for name, marks in labs.items()]
+    return F.coalesce(*found, F.lit(default).cast("string"))
+
+
+def natural_key(name: Column) -> Column:
+    """A sort key by which ``file2`` comes before ``file10``: runs of digits padded to 20."""
+    parts = F.regexp_extract_all(F.lower(name), F.lit(r"[0-9]+|[^0-9]+"), F.lit(0))
+    return F.array_join(F.transform(parts, lambda p: F.when(p.rlike("^[0-9]"), F.lpad(p, 20, "0")).otherwise(p)), "")
 
 
 def ngrams(tokens: Column, n: int, stop: Sequence[str] = ()) -> Column:

@@ -95,3 +95,16 @@ def published(df: DataFrame, drop: Sequence[str] = ()) -> DataFrame:
     out = df.drop(*drop)
     kinds = dict(out.dtypes)
     return out.select(*[F.when(~F.isnan(c), quoted(c)).alias(c) if kinds[c] in ("double", "float") else F.when(quoted(c) != "", quoted(c)).alias(c) if kinds[c] == "string" else quoted(c) for c in out.columns])
+
+
+def merged(df: DataFrame, constants: Mapping[str, Column], parsed: Mapping[str, Column]) -> DataFrame:
+    """Constants, the row and what was parsed as one row: the right one wins where it has a value."""
+    out = df.withColumns({k: F.coalesce(F.col(k), v) if k in df.columns else v for k, v in constants.items()})
+    return out.withColumns({k: F.coalesce(v, F.col(k)) if k in out.columns else v for k, v in parsed.items()})
+
+
+def with_metadata(df: DataFrame, data_type: str, id_field: str = "sample_id", created_by: str = "pipeline", now: Column | None = None) -> DataFrame:
+    """Add id, data_type, link, created_by, created_at and updated_at (ISO text)."""
+    at = now if now is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
+    link = F.concat(F.lit(f"/{data_type}/"), F.col(id_field).cast("string"))
+    return df.withColumns({"id": F.col(id_field), "data_type": F.lit(data_type), "link": link, "created_by": F.lit(created_by), "created_at": at, "updated_at": at})

@@ -20,9 +20,17 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str] = ()) -> DataFrame:
-    """The row with the latest time of each key, rows without a time last; then the smallest ties."""
-    newest = Window.partitionBy(*keys).orderBy(F.col(time).desc_nulls_last(), *[F.col(t).asc() for t in ties])
-    return df.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
+    """The row with the latest time of each key, rows without a time last; then the smallest ties.
+
+    Times that are numbers, dates or timestamps are turned around, so that
+    partial results are merged before the shuffle; texts are put in order.
+    """
+    kind = dict(df.dtypes)[time]
+    if kind == "string":
+        newest = Window.partitionBy(*keys).orderBy(F.col(time).desc_nulls_last(), *[F.col(t).asc() for t in ties])
+        return df.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
+    back = -F.unix_micros(F.col(time).cast("timestamp")) if kind.startswith(("timestamp", "date")) else -F.col(time)
+    return keep_first(df, keys, [F.col(time).isNull(), back, *[F.col(t) for t in ties]])
 
 
 def latest_values(log: DataFrame, key: str, value: str, order: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,3 +94,16 @@ def previous_listed(df: DataFrame, keys: Sequence[str], period: str, columns: Se
 def shared_ngrams(grams: DataFrame, group: str, gram: str, base: str) -> DataFrame:
     """n-grams that a base group shares with others: (gram, groups), groups sorted."""
     return grams.select(group, gram).distinct().groupBy(gram).agg(F.array_sort(F.collect_set(group)).alias("groups")).where((F.size("groups") > 1) & F.array_contains("groups", base))
+
+
+def known_terms(df: DataFrame, columns: Sequence[str], terms: Sequence[str], spellings: Mapping[str, str], out: str) -> DataFrame:
+    """Rows one of whose columns holds a known term (any case), with the longest one in all columns, by its usual spelling."""
+    pattern = "(?i)" + "|".join(f"\\Q{t}\\E" for t in terms)
+    held = F.lit(False)
+    for c in columns:
+        held = held | F.coalesce(F.col(c).rlike(pattern), F.lit(False))
+    low = [t.lower() for t in terms]
+    found = longest_contained(F.lower(F.concat_ws(" ", *[F.col(c) for c in columns])), low)
+    usual = F.try_element_at(F.create_map(*[F.lit(x) for k, v in spellings.items() for x in (k.lower(), v)]), found) if spellings else F.lit(None).cast("string")
+    same = F.try_element_at(F.create_map(*[F.lit(x) for k, v in zip(low, terms, strict=True) for x in (k, v)]), found)
+    return df.where(held).withColumn(out, F.coalesce(usual, same))

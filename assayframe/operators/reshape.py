@@ -46,3 +46,8 @@ def nest(df: DataFrame, keys: Sequence[str], head: Sequence[str], result: Sequen
     """
     first = F.min_by(F.struct(*head), F.struct(*order)).alias("_head")
     return df.groupBy(*keys).agg(first, F.array_sort(F.collect_list(F.struct(*result))).alias(out)).select(*keys, "_head.*", out)
+
+
+def split_rows(df: DataFrame, column: str, sep: str, out: str) -> DataFrame:
+    """One row for each part of a separated text, none for rows without one."""
+    return df.withColumn(out, F.explode(F.split(column, f"\\Q{sep}\\E"))).drop(column)

@@ -6,7 +6,7 @@ break ties by value, so that results are the same for any partitioning.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,30 +105,41 @@ def totals(df: DataFrame, distinct: Sequence[str]) -> DataFrame:
     return df.agg(F.count("*").alias("n"), *[F.countDistinct(c).alias(f"n_{c}") for c in distinct])
 
 
-def describe_periods(df: DataFrame, date: str, values: Sequence[str], kinds: Sequence[str] = PERIODS, exact: bool = True) -> DataFrame:
-    """Count, mean, deviation, quartiles and maximum of each value column for each day, week, month, quarter and year.
+#: Names of the periods in results.
+PERIOD_NAMES = {"day": "daily", "week": "weekly", "month": "monthly", "quarter": "quarterly", "year": "yearly"}
 
-    Values become rows once, with their periods as an array that is exploded,
-    so that the input is read once.  ``exact`` percentiles keep a count of
-    each value of a group; approximate ones have bounded memory.
+
+def describe_periods(df: DataFrame, date: str, values: Mapping[str, Sequence[str]], kinds: Sequence[str] = PERIODS, exact: bool = True) -> DataFrame:
+    """Count, mean, deviation, quartiles and maximum of compounds for each day, week, month, quarter and year.
+
+    values are the columns of each type of compound.  Equal values of a day
+    are counted first, so that the longer periods work on counts, not on rows.
+    ``exact`` percentiles keep a count of each value of a group; approximate
+    ones have bounded memory and take all rows.
     """
-    long = df.select(date, *values).unpivot([date], list(values), "compound", "value").where("value IS NOT NULL")
-    spans = F.array(*[F.struct(F.lit(k).alias("period"), period_start(k, F.col(date)).alias("start")) for k in kinds])
-    rows = long.select("compound", "value", F.explode(spans).alias("_p")).select("compound", "value", "_p.*")
-    share = F.percentile if exact else F.percentile_approx
-    return rows.groupBy("period", "start", "compound").agg(
-        F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        *[share("value", F.lit(q)).alias(name) for name, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))], F.max("value").alias("max"),
-    )
+    every = [c for columns in values.values() for c in columns]
+    long = df.select(F.col(date).cast("date").alias("_day"), *[F.col(c).cast("double").alias(c) for c in every]).unpivot(["_day"], every, "compound", "value").where("value IS NOT NULL")
+    types = F.create_map(*[F.lit(x) for kind, columns in values.items() for c in columns for x in (c, kind)])
+    spans = F.explode(F.array(*[F.struct(F.lit(PERIOD_NAMES.get(k, k)).alias("period"), period_start(k, F.col("_day")).alias("start")) for k in kinds])).alias("_p")
+    keys = ["period", "start", "type", "compound"]
+    shares = F.array(*[F.lit(q) for q in (0.25, 0.5, 0.75)])
+    counts = long.groupBy("_day", "compound", "value").agg(F.count("*").alias("_n"))
+    rows = counts.select(types[F.col("compound")].alias("type"), "compound", "value", "_n", spans).select("type", "compound", "value", "_n", "_p.*")
+    if not exact:
+        rows = long.select(types[F.col("compound")].alias("type"), "compound", "value", F.lit(1).alias("_n"), spans).select("type", "compound", "value", "_n", "_p.*")
+    n, total, squares = F.sum("_n"), F.sum(F.col("value") * F.col("_n")), F.sum(F.col("value") * F.col("value") * F.col("_n"))
+    quartiles = F.percentile("value", shares, F.col("_n")) if exact else F.percentile_approx("value", [0.25, 0.5, 0.75])
+    out = rows.groupBy(*keys).agg(n.alias("n"), (total / n).alias("mean"), F.sqrt(F.try_divide(F.greatest(squares - total * total / n, F.lit(0.0)), n - 1)).alias("std"), quartiles.alias("_q"), F.max("value").alias("max"))
+    return out.select(*keys, "n", "mean", "std", *[F.col("_q")[i].alias(name) for i, name in enumerate(("q25", "q50", "q75"))], "max")
 
 
 def quantiles(df: DataFrame, groups: Sequence[str], column: str, shares: Sequence[float] = (0.01, 0.25, 0.5, 0.75, 0.99)) -> DataFrame:
-    """Exact quantiles with mean, median, largest, smallest and (smallest) most frequent value."""
-    listed = [F.percentile(column, F.lit(q)).alias(f"q{round(q * 100):02d}") for q in shares]
+    """Exact quantiles with mean, median, largest, smallest and (smallest) most frequent value; all from counts of values."""
     counts = df.where(F.col(column).isNotNull()).groupBy(*groups, column).agg(F.count("*").alias("_n"))
-    mode = counts.groupBy(*groups).agg(F.max_by(column, F.struct("_n", -F.col(column))).alias("mode"))
-    stats = df.groupBy(*groups).agg(*listed, F.avg(column).alias("mean"), F.median(column).alias("median"), F.max(column).alias("max"), F.min(column).alias("min"))
-    return stats.join(mode, list(groups), "left")
+    listed = F.percentile(column, F.array(*[F.lit(q) for q in (*shares, 0.5)]), F.col("_n")).alias("_q")
+    mean = (F.sum(F.col(column) * F.col("_n")) / F.sum("_n")).alias("mean")
+    out = counts.groupBy(*groups).agg(listed, mean, F.max(column).alias("max"), F.min(column).alias("min"), F.max_by(column, F.struct("_n", -F.col(column))).alias("mode"))
+    return out.select(*groups, *[F.col("_q")[i].alias(f"q{round(q * 100):02d}") for i, q in enumerate(shares)], "mean", F.col("_q")[len(shares)].alias("median"), "max", "min", "mode")
 
 
 def rate(df: DataFrame, groups: Sequence[Column | str], flag: Column, tested_only: bool = False) -> DataFrame:
@@ -204,12 +215,8 @@ def before_after(df: DataFrame, date: str, event: str, value: str) -> DataFrame:
     return df.groupBy(early.alias("before")).agg(F.count(value).alias("n"), F.avg(value).alias("mean"))
 
 
-def moving_average(df: DataFrame, value: str, order: Sequence[str], rows: int = 30, groups: Sequence[str] = ()) -> DataFrame:
-    """Mean of a row's value and those before it, by rows.
-
-    Without ``groups`` the whole table is one ordered series; give groups
-    where it is large.
-    """
+def moving_average(df: DataFrame, value: str, order: Sequence[str], rows: int = 30, *, groups: Sequence[str]) -> DataFrame:
+    """Mean of a row's value and those before it in its group, by rows.  Each group is one ordered series."""
     frame = Window.partitionBy(*groups).orderBy(*order).rowsBetween(1 - rows, 0)
     return df.withColumn("moving_average", F.avg(value).over(frame))
 
@@ -218,3 +225,32 @@ def trimmed(df: DataFrame, groups: Sequence[str], order: str, first: int = 2, la
     """Each group's rows in order, without some at either end."""
     up, whole = Window.partitionBy(*groups).orderBy(order), Window.partitionBy(*groups)
     return df.withColumns({"_i": F.row_number().over(up), "_n": F.count("*").over(whole)}).where(f"_i > {first} AND _i <= _n - {last}").drop("_i", "_n")
+
+
+def aggregated(df: DataFrame, groups: Sequence[str], amounts: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Several aggregates of one key in one pass: name to (count, distinct, sum, mean, min, max or std; column)."""
+    kinds = {"count": F.count, "distinct": F.countDistinct, "sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max, "std": F.stddev_samp}
+    return df.groupBy(*groups).agg(*[kinds[kind](column).alias(name) for name, (kind, column) in amounts.items()])
+
+
+def accuracy(df: DataFrame, right: Column, name: str = "right") -> DataFrame:
+    """One row: rows, those for which a condition holds, and their share."""
+    hits = F.count_if(F.coalesce(right, F.lit(False)))
+    return df.agg(F.count("*").alias("n"), hits.alias(name), F.try_divide(hits.cast("double"), F.count("*")).alias("accuracy"))
+
+
+def with_flags(df: DataFrame, keys: Sequence[str], any_of: Mapping[str, Column], all_of: Mapping[str, Column]) -> DataFrame:
+    """Each row with the flags of its whole key: whether any, or all, of its rows have it.
+
+    The flags are summed up before they meet the rows, so that no key's rows
+    have to be in one task.
+    """
+    flags = df.groupBy(*keys).agg(*[F.bool_or(c).alias(n) for n, c in any_of.items()], *[F.bool_and(c).alias(n) for n, c in all_of.items()])
+    return df.join(flags, list(keys), "left")
+
+
+def segments(df: DataFrame, date: str, spans: Sequence[tuple[str, str]], out: str = "segment") -> DataFrame:
+    """Rows within given spans of days (both ends included), with the number of their span; others are left out."""
+    day = F.col(date).cast("timestamp")
+    found = F.coalesce(*[F.when(day.between(F.lit(a).cast("timestamp"), F.lit(z).cast("timestamp")), F.lit(i)) for i, (a, z) in enumerate(spans)])
+    return df.withColumn(out, found).where(F.col(out).isNotNull())

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from assayframe.functions import chemistry, dates, hashing, nested, normalize, numbers, text
-from assayframe.operators import columns, joins
+from assayframe.operators import columns, joins, vectors
+from assayframe.sources import readers
 
 from .registry import query, r6, s6
 from .tables import FLAGS, WIDE, wide
@@ -28,11 +28,24 @@ def f3_md5(t):
     return t("pages").select("page_id", hashing.url_hash(F.col("url")).alias("hash"))
 
 
-@query()
+def _snake(x: str) -> str:
+    return f"lower(trim(regexp_replace(trim({x}), '[^A-Za-z0-9]+', '_', 'g'), '_'))"
+
+
+def _pad(key: bytes, byte: int) -> str:
+    return bytes(b ^ byte for b in key.ljust(64, b"\0")).hex()
+
+
+@query(f"SELECT p_partkey, sha256(unhex('{_pad(b'a private key', 0x5C)}') || unhex(sha256(unhex('{_pad(b'a private key', 0x36)}') || encode({_snake('p_name')} || {_snake('p_brand')})))) AS id FROM part")
 def f4_sample_id(t):
     return t("part").select("p_partkey", hashing.sample_id("a private key", F.col("p_name"), F.col("p_brand")).alias("id"))
 
 
+@query("""SELECT p_partkey, sha256('{"batch_number": null, "date_tested": "2024-01-05", "producer": "Caf\\u00e9 \\"x\\" \\ud83d\\ude00", "product_name": "' || p_name || '", "total_thc": ' || p_size || '.5}') AS hash FROM part""")
+def f2_sample_hash(t):
+    return t("part").select("p_partkey", hashing.sample_hash(F.col("p_name"), F.lit('Café "x" 😀'), F.lit(None), F.col("p_size") + F.lit(0.5), F.lit("2024-01-05")).alias("hash"))
+
+
 @query("SELECT o_orderkey, concat_ws('-', CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END, o_custkey::VARCHAR, o_orderpriority) AS id FROM orders")
 def f5_concat_id(t):
     return t("orders").select("o_orderkey", hashing.joined_id([F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")), F.col("o_custkey"), F.col("o_orderpriority")]).alias("id"))
@@ -43,34 +56,61 @@ def f7_label_hash(t):
     return t("part").select("p_partkey", hashing.label_hash(F.concat(F.lit("  "), "p_name", F.lit(" "))).alias("hash"))
 
 
-WORDS = {"1-URGENT": " Passed", "2-HIGH": "REJECTED ", "3-MEDIUM": "N/A", "4-NOT SPECIFIED": "On Hold", "5-LOW": "-"}
+def cycled(words, key: str):
+    """The words of a list in turn, by a whole-number column."""
+    return F.element_at(F.array(*[F.lit(w) for w in words]), (F.pmod(F.col(key), F.lit(len(words))) + 1).cast("int"))
+
+
+def _turns(words, key: str) -> str:
+    """The same in SQL."""
+    return "list_extract([" + ", ".join("NULL" if w is None else "'" + w.replace("'", "''") + "'" for w in words) + f"], ({key} % {len(words)} + 1)::INT)"
+
+
+# each word as it may stand in a source, and what it is
+STATUS_SAID = ["pass", " Passed", "PASSING", "p", "Compliant", "yes", "True", "1", "fail", "FAILED ", "failing", "F", "Non-Compliant", "No", "false", "0", "nt", "Not Tested", "N/T", "not applicable", "N/A", "na", "-", "", "Rejected", "complete", None]
+STATUS_IS = ["pass"] * 8 + ["fail"] * 8 + ["nt"] * 8 + ["rejected", "complete", None]
 
 
-@query("SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'pass' WHEN '2-HIGH' THEN 'fail' WHEN '4-NOT SPECIFIED' THEN 'on hold' ELSE 'nt' END AS status FROM orders")
+@query(f"SELECT o_orderkey, {_turns(STATUS_IS, 'o_orderkey')} AS status FROM orders")
 def f9_status(t):
-    return t("orders").select("o_orderkey", normalize.status(normalize.mapped(F.col("o_orderpriority"), WORDS)).alias("status"))
+    return t("orders").select("o_orderkey", normalize.status(cycled(STATUS_SAID, "o_orderkey")).alias("status"))
 
 
-@query("SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'preroll' WHEN 'O' THEN 'concentrate' ELSE 'Seeds' END AS kind FROM orders")
+TYPES_SAID = (
+    "flower,bud,Buds,cannabis flower,dried flower,TRIM,shake,preroll, Pre-Roll,joint,blunt,prerolls,pre-rolls,infused preroll,concentrate,extract,WAX,shatter,rosin,live resin,budder,badder,sauce,diamonds,sugar,crumble,"
+    "vape,cartridge,cart,vaporizer,pod,disposable,aio,edible,gummy,chocolate,beverage,candy,baked goods,capsule,tablet,tincture,oil,drops,sublingual,RSO ,topical,cream,lotion,balm,salve,transdermal,Seeds,usable marijuana"
+).split(",")
+TYPES_ARE = ["flower"] * 7 + ["preroll"] * 7 + ["concentrate"] * 12 + ["vape"] * 7 + ["edible"] * 8 + ["tincture"] * 5 + ["topical"] * 6 + ["Seeds", "usable marijuana"]
+
+
+@query(f"SELECT o_orderkey, {_turns(TYPES_ARE, 'o_orderkey')} AS kind FROM orders")
 def f10_product_type(t):
-    spelled = normalize.mapped(F.col("o_orderstatus"), {"F": " Pre-Roll", "O": "WAX", "P": "Seeds"})
-    return t("orders").select("o_orderkey", normalize.product_type(spelled).alias("kind"))
+    return t("orders").select("o_orderkey", normalize.product_type(cycled(TYPES_SAID, "o_orderkey")).alias("kind"))
+
 
+KEYS_SAID = "THC,d9thc,Delta-9-THC,delta9thc,d8thc,delta-8-thc,THCA-A,THC-A,cbda,CBD-A,Cannabidiol,cannabigerol,Myrcene,b-myrcene,limonene, d-Limonene ,caryophyllene,b-caryophyllene,a-pinene,b-pinene,a-humulene,humulene,Total Yeast".split(",")
+KEYS_ARE = "delta_9_thc,delta_9_thc,delta_9_thc,delta_9_thc,delta_8_thc,delta_8_thc,thca,thca,cbda,cbda,cbd,cbg,beta_myrcene,beta_myrcene,d_limonene,d_limonene,beta_caryophyllene,beta_caryophyllene,alpha_pinene,beta_pinene,alpha_humulene,alpha_humulene,total_yeast".split(",")
+#: Keys with a hyphen in the table aren't found once they have been rewritten.
+KEYS_STRICT = "delta_9_thc,delta_9_thc,delta_9_thc,delta_9_thc,delta_8_thc,delta_8_thc,thca_a,thc_a,cbda,cbd_a,cbd,cbg,beta_myrcene,b_myrcene,d_limonene,d_limonene,beta_caryophyllene,b_caryophyllene,a_pinene,b_pinene,a_humulene,alpha_humulene,total_yeast".split(",")
 
-@query("""SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'thca' WHEN 'O' THEN 'd_limonene' ELSE 'total_yeast' END AS key,
-  CASE o_orderstatus WHEN 'F' THEN 'thca_a' WHEN 'O' THEN 'd_limonene' ELSE 'total_yeast' END AS strict_key FROM orders""")
+
+@query(f"SELECT o_orderkey, {_turns(KEYS_ARE, 'o_orderkey')} AS key, {_turns(KEYS_STRICT, 'o_orderkey')} AS strict_key FROM orders")
 def f11_analyte_key(t):
-    spelled = normalize.mapped(F.col("o_orderstatus"), {"F": "THCA-A", "O": " d-Limonene ", "P": "Total Yeast"})
+    spelled = cycled(KEYS_SAID, "o_orderkey")
     return t("orders").select("o_orderkey", normalize.analyte_key(spelled).alias("key"), normalize.analyte_key(spelled, strict=True).alias("strict_key"))
 
 
-@query("""SELECT o_orderkey, n_errors, (n_errors = 0) AS is_valid, concat_ws('; ', m, a, v) AS errors FROM (SELECT o_orderkey, m, a, v, (m IS NOT NULL)::INT + (a IS NOT NULL)::INT + (v IS NOT NULL)::INT AS n_errors FROM (
-  SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'missing required field: state' END AS m, CASE WHEN o_totalprice > 300000 THEN 'o_totalprice above maximum 300000' END AS a,
-  CASE WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '5-LOW') THEN 'o_orderpriority not an allowed value' END AS v FROM orders))""")
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, array_to_string(list_filter([
+  CASE WHEN l_linestatus = 'F' THEN 'Missing required field: state' END,
+  CASE WHEN l_quantity - 5 < 0 THEN 'total_thc below minimum: ' || (l_quantity - 5) || ' < 0' END, CASE WHEN l_quantity - 5 > 45 THEN 'total_thc above maximum: ' || (l_quantity - 5) || ' > 45' END,
+  CASE WHEN l_quantity > 30 THEN 'cbd above maximum: ' || l_quantity || ' > 30' END,
+  CASE WHEN l_quantity / 4 > 5 THEN 'd_limonene above maximum: ' || (l_quantity / 4) || ' > 5' END,
+  CASE WHEN l_returnflag = 'A' THEN 'overall_status invalid value: A' END], lambda x: x IS NOT NULL), '; ') AS errors,
+  NOT (l_linestatus = 'F' OR l_quantity < 5 OR l_quantity > 50 OR l_quantity > 30 OR l_quantity / 4 > 5 OR l_returnflag = 'A') AS is_valid FROM lineitem""")
 def f12_validate(t):
-    rules = {"state": normalize.Rule(required=True), "o_totalprice": normalize.Rule(least=0, most=300000), "o_orderpriority": normalize.Rule(allowed=("1-URGENT", "2-HIGH", "5-LOW"))}
-    rows = t("orders").withColumn("state", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")))
-    return normalize.validate(rows, rules).select("o_orderkey", F.size("errors").alias("n_errors"), "is_valid", F.array_join("errors", "; ").alias("errors"))
+    quantity = F.col("l_quantity")
+    made = {"total_thc": quantity - 5, "cbd": quantity, "d_limonene": quantity / 4, "overall_status": F.when(F.col("l_returnflag") == "A", "A").when(F.col("l_returnflag") == "N", "pass"), "state": F.when(F.col("l_linestatus") == "F", "").otherwise("nv")}
+    return normalize.validate(t("lineitem").withColumns(made)).select("l_orderkey", "l_linenumber", "l_partkey", F.array_join("errors", "; ").alias("errors"), "is_valid")
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'rush' WHEN o_orderpriority = '5-LOW' THEN 'slow' ELSE 'Other' END AS kind FROM orders")
@@ -88,9 +128,8 @@ def f18_test_parts(t):
 
 @query("""SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'R&D Testing' ELSE trim(p_type) END AS kind, CASE WHEN p_size % 3 > 0 THEN 'CFU/g' END AS units, trim(p_name) AS name FROM part""")
 def f21_bracket_type(t):
-    named = F.when(F.col("p_size") % 3 == 0, F.col("p_name")).otherwise(F.concat("p_name", F.lit(" (CFU/g) R&D Testing "), "p_type"))
-    named = F.when(F.col("p_size") % 3 == 1, F.concat("p_name", F.lit(" (CFU/g) "), "p_type")).otherwise(named)
-    return t("part").select("p_partkey", text.bracket_type(F.regexp_replace(named, r"\) R&D", ")R&D")).alias("kind"), text.bracket_units(named).alias("units"), text.before_bracket(named).alias("name"))
+    named = F.when(F.col("p_size") % 3 == 0, F.col("p_name")).when(F.col("p_size") % 3 == 1, F.concat("p_name", F.lit(" (CFU/g) "), "p_type")).otherwise(F.concat("p_name", F.lit(" (CFU/g) R&D Testing "), "p_type"))
+    return t("part").select("p_partkey", text.bracket_type(named).alias("kind"), text.bracket_units(named).alias("units"), text.before_bracket(named).alias("name"))
 
 
 @query("SELECT p_partkey, trim(p_name) AS strain FROM part")
@@ -99,12 +138,15 @@ def f22_strain(t):
     return t("part").select("p_partkey", text.strain_of_product(F.concat("p_name", ends)).alias("strain"))
 
 
-@query("""WITH w AS (SELECT p_partkey, regexp_extract_all(lower(p_name), '[a-z0-9_]+') AS w FROM part),
-g AS (SELECT p_partkey, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS gram FROM w)
-SELECT gram, count(*) AS n FROM g WHERE NOT list_contains(string_split(gram, ' '), 'the') GROUP BY 1""")
+STOP = ["the", "of", "and", "a", "in", "to", "is"]
+_GRAMS = "list_concat(w, list_concat(list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, greatest(len(w) - 1, 1)), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])))"
+_FREE = f"NOT list_has_any(string_split(gram, ' '), {STOP})"
+
+
+@query(f"""WITH w AS (SELECT p_partkey, regexp_extract_all(lower(p_name), '[\\p{{L}}\\p{{N}}_]+') AS w FROM part), g AS (SELECT p_partkey, unnest({_GRAMS}) AS gram FROM w)
+SELECT gram, count(*) AS n FROM g WHERE {_FREE} GROUP BY 1""")
 def f23_ngrams(t):
-    names = text.words(F.col("p_name"))
-    grams = F.concat(text.ngrams(names, 1, ["the"]), text.ngrams(names, 2, ["the"]))
+    grams = text.ngrams_to(text.words(F.col("p_name")), 3, STOP)
     return t("part").select(F.explode(grams).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
 
 
@@ -132,12 +174,22 @@ def f38_url(t):
     return t("pages").select("page_id", text.url_name(F.col("url")).alias("name"), text.extract(F.col("url"), "^https?://([^/]+)").alias("host"))
 
 
-@query(f"""SELECT l_orderkey, CASE WHEN coalesce("A", "N") IS NOT NULL THEN coalesce("A", 0) + coalesce("N", 0) END AS total_cannabinoids, {s6('coalesce("A", 0) + 0.877 * coalesce("N", 0)')} AS total_thc,
-  "R" AS total_terpenes, {s6('(coalesce("A", 0) + coalesce("N", 0)) / nullif("R", 0)')} AS ratio FROM ({WIDE})""")
+@query(f"""SELECT l_orderkey, CASE WHEN coalesce("A", "N") IS NOT NULL THEN coalesce("A", 0) + coalesce("N", 0) END AS total_cannabinoids, {s6('coalesce("A", 0) + 0.877 * coalesce("N", 0)')} AS total_thc, "R" AS total_terpenes,
+  {s6('(coalesce("A", 0) + 0.877 * coalesce("N", 0)) / nullif("R", 0)')} AS thc_cbd_ratio, {s6('"A" / nullif("N", 0)')} AS beta_pinene_d_limonene_ratio, {s6('"N" / nullif("A", 0)')} AS alpha_humulene_beta_caryophyllene_ratio, {s6('"R" / nullif("N", 0)')} AS camphene_d_limonene_ratio,
+  {s6('"R" / nullif("A", 0)')} AS beta_myrcene_beta_pinene_ratio, {s6('"A" / nullif("N", 0)')} AS beta_caryophyllene_d_limonene_ratio FROM ({WIDE})""")
 def f39_totals(t):
-    named = wide(t).withColumnsRenamed({"A": "delta_9_thc", "N": "thca", "R": "myrcene"})
-    out = chemistry.analyte_stats(named, ["delta_9_thc", "thca"], ["myrcene"])
-    return out.select("l_orderkey", "total_cannabinoids", r6(F.col("total_thc")).alias("total_thc"), "total_terpenes", r6(F.when(F.col("total_cannabinoids").isNull(), F.lit(0.0) / F.col("myrcene")).otherwise(F.col("cannabinoids_to_terpenes_ratio"))).alias("ratio"))
+    a, n, r = F.col("A"), F.col("N"), F.col("R")
+    named = wide(t).withColumns({"delta_9_thc": a, "thca": n, "beta_myrcene": r, "total_cbd": r, "beta_pinene": a, "d_limonene": n, "alpha_humulene": n, "beta_caryophyllene": a, "camphene": r})
+    out = chemistry.analyte_stats(named, ["delta_9_thc", "thca"], ["beta_myrcene", "not_there"])
+    return out.select("l_orderkey", "total_cannabinoids", r6(F.col("total_thc")).alias("total_thc"), "total_terpenes", *[r6(F.col(c)).alias(c) for c in chemistry.RATIOS])
+
+
+@query(f"""SELECT l_orderkey, coalesce("A", 0) + coalesce("N", 0) AS total_cannabinoids, {s6('"A" + 0.877 * "N"')} AS total_thc, {s6('("A" + 0.877 * "N") / nullif("R" + 0.877 * "N", 0)')} AS thc_to_cbd_ratio,
+  coalesce("R", 0) AS total_terpenes, {s6('"A" / nullif("R", 0)')} AS beta_pinene_to_d_limonene_ratio FROM ({WIDE})""")
+def f40_replaced_totals(t):
+    named = wide(t).withColumns({"delta_9_thc": F.col("A"), "thca": F.col("N"), "cbd": F.col("R"), "cbda": F.col("N"), "beta_pinene": F.col("A"), "d_limonene": F.col("R"), "total_thc": F.lit(-1.0)})
+    out = chemistry.results_stats(named, ["delta_9_thc", "thca"], ["d_limonene"])
+    return out.select("l_orderkey", "total_cannabinoids", r6(F.col("total_thc")).alias("total_thc"), r6(F.col("thc_to_cbd_ratio")).alias("thc_to_cbd_ratio"), "total_terpenes", r6(F.col("beta_pinene_to_d_limonene_ratio")).alias("beta_pinene_to_d_limonene_ratio"))
 
 
 @query(f"""SELECT l_orderkey, {s6('"A" + 0.877 * "N"', 2)} AS total_thc, {s6('"R" + 0.877 * "N"', 2)} AS total_cbd, {s6('("A" + 0.877 * "N") / ("R" + 0.877 * "N")', 2)} AS thc_to_cbd_ratio FROM ({WIDE})""")
@@ -146,7 +198,7 @@ def f41_rounded_totals(t):
     return chemistry.rounded_totals(named, None, None).select("l_orderkey", "total_thc", "total_cbd", "thc_to_cbd_ratio")
 
 
-@query(f"""SELECT l_orderkey, CASE WHEN r > 0 THEN CASE WHEN log10(r) < -0.5 THEN 'CBD Dominant' WHEN log10(r) > 0.5 THEN 'THC Dominant' ELSE 'Balanced' END END AS kind FROM (SELECT l_orderkey, "A" / nullif("N" - 25, 0) AS r FROM ({WIDE}))""")
+@query(f"""SELECT l_orderkey, CASE WHEN r > 0 THEN CASE WHEN log10(r) < -0.5 THEN 'CBD Dominant' WHEN log10(r) > 0.5 THEN 'THC Dominant' ELSE 'Balanced THC:CBD' END END AS kind FROM (SELECT l_orderkey, "A" / nullif("N" - 25, 0) AS r FROM ({WIDE}))""")
 def f43_ratio_class(t):
     return wide(t).select("l_orderkey", chemistry.ratio_class(numbers.safe_ratio(F.col("A"), F.col("N") - 25)).alias("kind"))
 
@@ -220,23 +272,29 @@ def f69_statuses(t):
     return nested.statuses(rows).select("o_orderkey", F.array_join(said, ",").alias("statuses"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderstatus = o_orderpriority THEN o_orderstatus ELSE o_orderpriority || ',' || o_orderstatus END AS ids FROM orders")
+@query("""SELECT o_orderkey, nullif(array_to_string(list_sort(list_distinct(list_filter([CASE WHEN o_orderkey % 3 = 0 THEN 'a''1' END, CASE WHEN o_orderkey % 3 = 0 THEN 'b' END, CASE WHEN o_orderkey % 3 = 1 THEN 'lone' END,
+  CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END, CASE WHEN o_orderpriority LIKE '1%' THEN o_orderpriority END], lambda x: x IS NOT NULL))), ','), '') AS ids, CASE WHEN o_orderpriority LIKE '1%' THEN o_orderpriority END AS batch_number FROM orders""")
 def f70_ids(t):
-    open_ = F.col("o_orderstatus") != "P"
-    rows = t("orders").select("o_orderkey", F.when(open_, F.col("o_orderstatus")).alias("metrc_id"), F.when(open_, F.col("o_orderstatus")).alias("metrc_source_id"), F.when(open_, F.col("o_orderpriority")).alias("batch"))
-    return nested.traceability_ids(rows, "metrc", None, ["batch"]).select("o_orderkey", F.array_join("traceability_ids", ",").alias("ids"))
+    open_, turn = F.col("o_orderstatus") != "P", F.pmod(F.col("o_orderkey"), F.lit(3))
+    rows = t("orders").select(
+        "o_orderkey", F.when(turn == 0, "[\"a'1\", 'b']").when(turn == 1, "lone").alias("metrc_ids"), F.when(open_, F.col("o_orderstatus")).alias("metrc_lab_id"), F.when(open_, F.col("o_orderstatus")).otherwise("").alias("source_id"),
+        F.when(F.startswith("o_orderpriority", F.lit("1")), F.col("o_orderpriority")).alias("batch_number"),
+    )
+    return nested.traceability_ids(rows).select("o_orderkey", F.array_join("traceability_ids", ",").alias("ids"), "batch_number")
 
 
-@query("SELECT page_id, url FROM pages")
+@query("SELECT page_id, url, CASE WHEN page_id % 2 = 0 THEN url || '?second' END AS second FROM pages")
 def f71_urls(t):
-    listed = F.concat(F.lit("[{'url': '"), "url", F.lit("'}, {'url': 'x'}]"))
-    return t("pages").select("page_id", nested.nth_url(listed).alias("url"))
+    listed = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("[{'url': '"), "url", F.lit("', 'filename': None}, {'url': '"), "url", F.lit("?second'}]"))).otherwise(F.concat(F.lit("['"), "url", F.lit("']")))
+    return t("pages").select("page_id", nested.nth_url(listed).alias("url"), nested.nth_url(listed, 1).alias("second"))
 
 
-@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 2 ELSE 1 END AS n, 'results' || CASE WHEN s_suppkey % 2 = 0 THEN ',' || replace(lower(s_name), ' ', '-') ELSE '' END AS ids, '#' || substr(md5('results'), 1, 6) AS color FROM supplier""")
+@query("""SELECT s_suppkey, 'coas:COA:#3498db:/coas' || CASE WHEN s_suppkey % 2 = 0 THEN ';' || replace(lower(s_name), ' ', '-') || ':' || s_name || ':#' || substr(md5(lower(trim(s_name))), 1, 6) || ':/licenses/' || replace(lower(s_name), ' ', '-') ELSE '' END
+  || ';nv:nv:#123456:/coas?state=nv' AS tags FROM supplier""")
 def f74_tags(t):
-    made = nested.tags({"labs": F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name"))}, "results")
-    return t("supplier").select("s_suppkey", made.alias("tags")).select("s_suppkey", F.size("tags").alias("n"), F.array_join(F.transform("tags", lambda x: x["tag_id"]), ",").alias("ids"), F.col("tags")[0]["tag_color"].alias("color"))
+    made = nested.tags({"lab": F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")), "producer": F.lit(""), "state": F.lit("nv")}, colors={"state": F.lit("#123456")})
+    said = F.transform("tags", lambda x: F.concat_ws(":", x["tag_id"], x["tag_name"], x["tag_color"], x["tag_link"]))
+    return t("supplier").select("s_suppkey", made.alias("tags")).select("s_suppkey", F.array_join(said, ";").alias("tags"))
 
 
 @query(f"SELECT vec_id, len(embedding) AS dimensions, {s6('sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)))', 4)} AS norm FROM embeddings")
@@ -248,21 +306,15 @@ def f77_vector_norm(t):
 s AS (SELECT q, vec_id, round_even(list_cosine_similarity(a, embedding::DOUBLE[]) * 1e6, 0) / 1e6 AS similarity FROM q, embeddings WHERE q <> vec_id)
 SELECT q, vec_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY similarity DESC, vec_id) AS rank FROM s) WHERE rank <= 5""")
 def f78_cosine_topk(t):
-    """Queries are the vectors whose id is a multiple of 20, against all vectors: the list is cut in blocks of bounded size."""
-    vectors = t("embeddings").select("vec_id", "embedding")
-    asked = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("a"))
-    blocks = asked.groupBy(F.floor(F.col("q") / 20_000).alias("_block")).agg(F.collect_list(F.struct("q", "a")).alias("asked"))
-    rows = vectors.join(F.broadcast(blocks) if asked.count() <= 20_000 else blocks, F.lit(True))
-    near = F.transform("asked", lambda x: F.struct(x["q"].alias("q"), r6(nested.cosine(x["a"], F.col("embedding"))).alias("similarity")))
-    scored = rows.select("vec_id", F.explode(near).alias("_s")).select("_s.q", "vec_id", "_s.similarity").where("q <> vec_id")
-    best = Window.partitionBy("q").orderBy(F.desc("similarity"), "vec_id")
-    return scored.withColumn("rank", F.row_number().over(best)).where("rank <= 5").select("q", "vec_id", F.col("rank").cast("long").alias("rank"))
-
-
-@query("SELECT page_id, len(regexp_extract_all(html, '<a [^>]*href=\"([^\"]*)\"', 1)) AS links, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title FROM pages")
+    """Queries are the vectors whose id is a multiple of 20, against all vectors."""
+    every = t("embeddings").select("vec_id", "embedding")
+    return vectors.nearest(every, every.where("vec_id % 20 = 0"), "vec_id", "embedding", 5).select("q", "vec_id", F.col("rank").cast("long").alias("rank"))
+
+
+@query("SELECT page_id, len(regexp_extract_all(html, '<a [^>]*href=\"([^\"]*)\"', 1)) AS links, nullif(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), '') AS title FROM pages")
 def t_html_links(t):
-    links = F.regexp_extract_all("html", F.lit('<a [^>]*href="([^"]*)"'), F.lit(1))
-    return t("pages").select("page_id", F.size(links).cast("long").alias("links"), text.blank_to_null(text.extract(F.col("html"), "<title>([^<]*)</title>")).alias("title"))
+    found = readers.page_fields(F.col("html"))
+    return t("pages").select("page_id", F.size(found["links"]).cast("long").alias("links"), found["title"].alias("title"))
 
 
 @query("SELECT conv_id, count(*) AS turns, count(*) FILTER (WHERE role = 'user') AS asked, arg_min(role, turn) AS first_role, sum(length(text))::BIGINT AS chars FROM conversations GROUP BY 1")
@@ -270,10 +322,10 @@ def t_post_rollup(t):
     return t("conversations").groupBy("conv_id").agg(F.count("*").alias("turns"), F.count_if(F.col("role") == "user").alias("asked"), F.min_by("role", "turn").alias("first_role"), F.sum(F.length("text")).alias("chars"))
 
 
-@query("""WITH g AS (SELECT DISTINCT lang, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z0-9_]+'))) AS gram FROM documents)
+@query(f"""WITH w AS (SELECT lang, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') AS w FROM documents), g AS (SELECT DISTINCT lang, gram FROM (SELECT lang, unnest({_GRAMS}) AS gram FROM w) WHERE {_FREE})
 SELECT gram, string_agg(lang, ',' ORDER BY lang) AS groups FROM g GROUP BY 1 HAVING count(*) > 1 AND bool_or(lang = 'en')""")
 def j15_shared_ngrams(t):
-    grams = t("documents").select("lang", F.explode(F.array_distinct(text.ngrams(text.words(F.col("text")), 1))).alias("gram"))
+    grams = t("documents").select("lang", F.explode(F.array_distinct(text.ngrams_to(text.words(F.col("text")), 3, STOP))).alias("gram"))
     return joins.shared_ngrams(grams, "lang", "gram", "en").select("gram", F.array_join("groups", ",").alias("groups"))
 
 

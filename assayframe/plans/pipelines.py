@@ -49,7 +49,7 @@ def curate(long: DataFrame, layout: Layout, licenses: DataFrame | None = None, l
     out = columns.numeric(out, index)
     if layout.any_flags or layout.all_flags:
         flags = rows.groupBy(layout.index[0]).agg(*[F.bool_or(c).alias(c) for c in layout.any_flags], *[F.bool_and(c).alias(c) for c in layout.all_flags])
-        out = out.join(flags, layout.index[0], "left")
+        out = out.join(flags.withColumnRenamed(layout.index[0], index[0]), index[0], "left")
     if layout.cannabinoids:
         have = set(out.columns)
         out = out.withColumns({c: F.lit(None).cast("double") for c in {*layout.cannabinoids, *layout.terpenes, "delta_9_thc", "thca", "cbd", "cbda"} - have})
@@ -83,7 +83,7 @@ def publish(ledger: DataFrame, compounds: Sequence[str], terpenes: Sequence[str]
     rows = chemistry.analyte_stats(rows, compounds, terpenes)
     rows = rows.withColumns({
         "diversity": chemistry.shannon([F.col(c) for c in [*compounds, *terpenes]]),
-        "cannabinoid_type": chemistry.ratio_class(F.col("thc_to_cbd_ratio")),
+        "cannabinoid_type": chemistry.ratio_class(F.col("thc_cbd_ratio")),
         "date_tested": dates.parsed(F.coalesce("date_tested", "date_collected")),
         "standard_product_type": normalize.product_type(F.col("product_type"), types),
         "label": text.label_name(F.col("product_name"), F.col("strain_name")),
@@ -96,7 +96,9 @@ def publish(ledger: DataFrame, compounds: Sequence[str], terpenes: Sequence[str]
     rows = rows.withColumns({
         "title": text.title(F.col("product_name"), F.col("strain_name"), [F.col("sample_id")]),
         "link": text.data_link(F.col("sample_id"), "coas"),
-        "tags": nested.tags({"labs": F.col("lab"), "producers": F.col("producer"), "types": F.col("standard_product_type")}, "results"),
+        "id": F.col("sample_id"),
+        "data_type": F.lit("coas"),
+        "tags": nested.tags({"standard_product_type": F.col("standard_product_type"), "standard_strain_name": F.col("standard_strain_name"), "producer": F.col("producer"), "lab": F.col("lab")}),
         "vector": nested.vector([F.col(c) for c in compounds]).cast("array<float>"),
         "created_by": F.lit(created_by),
     })

@@ -33,13 +33,31 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: T.St
     return df.withColumnsRenamed(dict(rename or {}))
 
 
-def read_tree(spark: SparkSession, root: str, schema: T.StructType | str, pattern: str = "*.csv", skip: str | None = None, **options) -> DataFrame:
-    """All files below a folder whose names fit a pattern, but for those that hold ``skip`` (any case)."""
+def read_tree(spark: SparkSession, root: str, schema: T.StructType | str, pattern: str = "*.csv", skip: str | None = None, rename: Mapping[str, str] | None = None, **options) -> DataFrame:
+    """All files below a folder whose names fit a pattern, but for those that hold ``skip`` (any case); options as separator and encoding."""
     reader = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).options(**options)
     df = reader.csv(root)
     if skip:
         df = df.where(~F.contains(F.lower(F.replace(F.col("_metadata.file_name"), F.lit("%20"), F.lit(" "))), F.lit(skip.lower())))
-    return df
+    return df.withColumnsRenamed(dict(rename or {}))
+
+
+def read_config(spark: SparkSession, path: str, key: str, value: str) -> DataFrame:
+    """A JSON object of objects ``{key: {value: [..]}}`` as a table of (key, value), one row for each listed value."""
+    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", f"map<string, struct<{value}: array<string>>>").alias("m"))
+    return whole.select(F.explode("m").alias(key, "_v")).select(key, F.explode(f"_v.{value}").alias(value))
+
+
+def newest_first(files: DataFrame) -> DataFrame:
+    """Files (path, modificationTime) with a place: the newest is 1, ties by path."""
+    return files.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("modificationTime"), "path")))
+
+
+def latest_file_wins(df: DataFrame, key: str) -> DataFrame:
+    """Of rows read from several files the one of the file that was changed last, for each key."""
+    marked = df.select("*", F.col("_metadata.file_modification_time").alias("_at"), F.col("_metadata.file_path").alias("_file"))
+    best = F.max_by(F.struct(*df.columns), F.struct("_at", "_file"))
+    return marked.groupBy(F.col(key).alias("_key")).agg(best.alias("_best")).select("_best.*")
 
 
 def read_ledger(spark: SparkSession, path: str, value_schema: str) -> DataFrame:
@@ -147,10 +165,20 @@ def latest_by_state(files: DataFrame) -> DataFrame:
     return files.groupBy("state").agg(F.max("path").alias("path"))
 
 
-def union_sources(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """Union by name of named sources, with the name in ``source``."""
+def union_sources(sources: Mapping[str, DataFrame | Callable[[], DataFrame]], failed: dict[str, Exception] | None = None) -> DataFrame:
+    """Union by name of named sources, with the name in ``source``; a source is a table or a function that makes one.
+
+    With ``failed`` a source whose function raises an error is left out and noted there.
+    """
     out: DataFrame | None = None
-    for name, df in sources.items():
+    for name, source in sources.items():
+        try:
+            df = source() if callable(source) else source
+        except Exception as problem:
+            if failed is None:
+                raise
+            failed[name] = problem
+            continue
         part = df.withColumn("source", F.lit(name))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:

@@ -56,15 +56,27 @@ def upsert_partitions(new: DataFrame, path: str, keys: Sequence[str], partition:
 
 
 def upsert_documents(new: DataFrame, path: str, ledger: str, key: str = "id", update: bool = False) -> DataFrame:
-    """Append documents whose key isn't in the ledger (all of them with ``update``), and their keys to it; returns them."""
+    """Add documents whose key isn't in the ledger, and their keys to it; returns them.
+
+    With ``update`` stored documents with a key of the new ones are replaced:
+    the table is written anew beside itself first.  Documents are stored before
+    their keys; a run that ended between the two is made good by the next one,
+    as keys of stored documents count too.
+    """
     spark = new.sparkSession
-    done = _existing(spark, ledger)
-    fresh = new
-    if done is not None and not update:
-        fresh = new.join(done.select(F.col(key).alias("_done")).distinct(), F.col(key).eqNullSafe(F.col("_done")), "left_anti")
-    fresh.write.mode("append").parquet(path)
-    fresh.select(key).write.mode("append").parquet(ledger)
-    return fresh
+    done, old = _existing(spark, ledger), _existing(spark, path)
+    without = lambda rows, keys: rows.join(keys.select(F.col(key).alias("_done")).distinct(), F.col(key).eqNullSafe(F.col("_done")), "left_anti")
+    unseen = without(new, done) if done is not None else new
+    if update:
+        if old is None:
+            new.write.mode("append").parquet(path)
+        else:
+            without(old, new).unionByName(new, allowMissingColumns=True).write.mode("overwrite").parquet(f"{path}.next")
+            spark.read.parquet(f"{path}.next").write.mode("overwrite").parquet(path)
+    else:
+        (without(unseen, old) if old is not None else unseen).write.mode("append").parquet(path)
+    unseen.select(key).distinct().write.mode("append").parquet(ledger)
+    return new if update else unseen
 
 
 def content_hash(columns: Sequence[str]) -> Column:
@@ -78,8 +90,9 @@ def changed_only(now: DataFrame, before: DataFrame | None, keys: Sequence[str],
     hashed = now.withColumn("_hash", content_hash(columns))
     if before is None:
         return hashed.drop("_hash")
-    stored = before.select(*keys, content_hash(columns).alias("_stored"))
-    return hashed.join(stored, list(keys), "left").where(~F.col("_hash").eqNullSafe(F.col("_stored"))).select(*now.columns)
+    stored = before.select(*[F.col(k).alias(f"_old_{k}") for k in keys], content_hash(columns).alias("_stored"))
+    same = [F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in keys]
+    return hashed.join(stored, same, "left").where(~F.col("_hash").eqNullSafe(F.col("_stored"))).select(*now.columns)
 
 
 def append_ledger(df: DataFrame, path: str, key: str) -> None:
@@ -99,5 +112,10 @@ def working_dir(spark: SparkSession, name: str) -> str:
     import tempfile
     import uuid
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="assayframe-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="assayframe-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
