@@ -176,7 +176,8 @@ def shared_tokens(docs: DataFrame, full: bool, name: str) -> tuple[DataFrame, Da
     sent = map_batches(docs.select(doc.alias("doc"), "text"), _send(full), _SENT_DDL)
     route = F.when(F.col("token").isNull(), F.xxhash64("doc.doc_id", "owner", "doc.text_key")).when(F.col("n") < 0, F.xxhash64("owner", "token")).otherwise(F.col("token"))
     got = written(map_batches(sent.repartition(route), _count, _SENT_DDL), name)
-    entries = got.where(F.col("token").isNotNull()).select("owner", "token").distinct()
+    # dealt by owner once: neither this nor a grouping by owner deals them again
+    entries = got.where(F.col("token").isNotNull()).select("owner", "token").repartition("owner").dropDuplicates(["owner", "token"])
     return entries, got.where(F.col("token").isNull()).select("doc.doc_id", "doc.text_key", "owner", "n")
 
 
