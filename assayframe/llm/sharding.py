@@ -132,8 +132,8 @@ def assign_shards(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFrame
     """docs with shard and slot.
 
     docs is written with a row id first, so that its rows can't change theirs;
-    numbers are made from narrow rows, and whole rows are shuffled once, by
-    their id, to meet theirs.  Which of several rows equal in doc_id and text
+    numbers are made from narrow rows, and whole rows meet theirs by their id:
+    in a broadcast if they are few, else they are shuffled once.  Which of several rows equal in doc_id and text
     gets which of their slots is arbitrary.
     """
     own = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
@@ -141,4 +141,6 @@ def assign_shards(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFrame
     base = written(docs.select(*own, F.monotonically_increasing_id().alias(row)), "sharding-rows")
     narrow = written(base.select(row, F.col("doc_id").alias("doc_id"), _size().alias("size"), _crc().alias("text_crc32")), "sharding-keys")
     placed = assign(narrow, ["doc_id", "text_crc32", "size"], shards, seed).select(row, "shard", "slot")
+    # a line of three numbers for each row: up to BROADCAST_ROWS of them whole rows needn't be shuffled
+    placed = F.broadcast(placed) if narrow.count() <= BROADCAST_ROWS else placed
     return base.join(placed, row).select(*own, "shard", "slot")
