@@ -40,15 +40,16 @@ _ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?)?$"
 def from_text(col: Column) -> Column:
     """A record struct of a JSON object: unknown keys are dropped, dates that aren't ISO are NULL, missing lists are empty."""
     raw = T.StructType([T.StructField(f.name, T.StringType()) if f.name in DATES else f for f in RECORD])
-    parsed = F.from_json(col, raw)
 
-    def value(f: T.StructField) -> Column:
+    def value(parsed: Column, f: T.StructField) -> Column:
         c = parsed[f.name]
         if f.name in DATES:
             return F.when(c.rlike(_ISO), c).try_cast("timestamp_ntz")
         return F.coalesce(c, F.array().cast(f.dataType)) if f.name in _LISTS else c
 
-    return F.struct(*[value(f).alias(f.name) for f in RECORD])
+    # the text is parsed once for all fields: a variable of a lambda isn't put in place of each use
+    made = F.transform(F.array(F.from_json(col, raw)), lambda parsed: F.struct(*[value(parsed, f).alias(f.name) for f in RECORD]))
+    return F.element_at(made, 1)
 
 
 def to_text(record: Column) -> Column:
