@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, jaccard, langid, licenses, media, mixing, pii, quality, secretscan, sharding
+from . import centroids, decontam, divergence, jaccard, langid, licenses, media, mixing, pieces, pii, quality, secretscan, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,5 +53,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_quality, op3_language_id, op4_license_scan, op5_ngram_jaccard, op6_decontamination, op7_secret_scan, op8_pii, op9_media, op10_sharding)}
-ORACLES: dict[str, str] = {"op1_mixing": mixing.oracle(), "op4_license_scan": licenses.oracle(), "op5_ngram_jaccard": jaccard.oracle()}
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pieces.digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.digest(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.digest(_table(spark, sf_dir, "documents"))
+
+
+_ALL = (op1_mixing, op2_quality, op3_language_id, op4_license_scan, op5_ngram_jaccard, op6_decontamination, op7_secret_scan, op8_pii, op9_media, op10_sharding, op11_pieces, op12_centroids, op13_divergence)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
+ORACLES: dict[str, str] = {"op1_mixing": mixing.oracle(), "op4_license_scan": licenses.oracle(), "op5_ngram_jaccard": jaccard.oracle(), "op12_centroids": centroids.oracle(), "op13_divergence": divergence.oracle()}
