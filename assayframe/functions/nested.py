@@ -13,13 +13,26 @@ RESULT_DDL = "array<struct<analysis: string, key: string, name: string, value: s
 
 
 def as_json(col: Column) -> Column:
-    """JSON text of a list or dict literal: quotes of strings, and the words None, True and False outside of them."""
-    tokens = F.regexp_extract_all(col, F.lit(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"]+|['"]"""), F.lit(0))
+    """JSON text of a list or dict literal: quotes of strings, and the words None, True and False outside of them.
+
+    Escapes within strings mean what they mean in the literal: two hexadecimal
+    digits after x are a character, and a backslash that starts no escape stays.
+    """
+    tokens = F.regexp_extract_all(col, F.lit(r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^'"]++|['"]"""), F.lit(0))
+    alone = r"(?<!\\)((?:\\\\)*+)\\"  # a backslash that is not itself escaped
+
+    def escaped(t: Column) -> Column:
+        out = F.regexp_replace(t, alone + "'", "$1'")
+        for letter, code in (("a", "0007"), ("v", "000b"), ("0", "0000")):
+            out = F.regexp_replace(out, alone + letter, f"$1\\\\u{code}")
+        out = F.regexp_replace(out, alone + "x([0-9A-Fa-f]{2})", r"$1\\u00$2")
+        out = F.regexp_replace(out, alone + r"""([^"\\/bfnrtu])""", r"$1\\\\$2")
+        return F.when(F.contains(t, F.lit("\\")), out).otherwise(t)
 
     def said(t: Column) -> Column:
-        inner = F.replace(F.regexp_replace(t.substr(F.lit(2), F.length(t) - 2), '(?<!\\\\)"', '\\\\"'), F.lit("\\'"), F.lit("'"))
+        inner = escaped(F.regexp_replace(t.substr(F.lit(2), F.length(t) - 2), r'(?<!\\)((?:\\\\)*+)"', r'$1\\"'))
         words = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, r"\bNone\b", "null"), r"\bTrue\b", "true"), r"\bFalse\b", "false")
-        return F.when(F.startswith(t, F.lit("'")) & (F.length(t) > 1), F.concat(F.lit('"'), inner, F.lit('"'))).when(F.startswith(t, F.lit('"')), t).otherwise(words)
+        return F.when(F.startswith(t, F.lit("'")) & (F.length(t) > 1), F.concat(F.lit('"'), inner, F.lit('"'))).when(F.startswith(t, F.lit('"')), escaped(t)).otherwise(words)
 
     return F.array_join(F.transform(tokens, said), "")
 

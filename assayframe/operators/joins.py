@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .dedupe import keep_first
+from .terms import best_terms, with_best_term
 
+#: Terms up to which each is tried on every row; more are looked up by an index.
+FEW_TERMS = 100
 #: Rows up to which a table of terms or lookup values is broadcast.
 SMALL_ROWS = 200_000
 
@@ -61,12 +64,13 @@ def in_top(df: DataFrame, column: str, n: int) -> DataFrame:
 
 
 def first_contained(df: DataFrame, text: str, terms: DataFrame, term: str, order: Sequence[str]) -> DataFrame:
-    """Left join to the first of a small table's terms, in order, that the text holds.
+    """Left join to the first of a table's terms, in order, that the text holds.
 
-    Terms are grouped into one array, carried to every row: the table's size is checked.
+    Up to ``FEW_TERMS`` terms are grouped into one array that is carried to
+    every row; more are looked up by an index (see ``terms``).
     """
-    if terms.limit(SMALL_ROWS + 1).count() > SMALL_ROWS:
-        raise ValueError("too many terms to carry; tokenize and join by words instead")
+    if terms.limit(FEW_TERMS + 1).count() > FEW_TERMS:
+        return with_best_term(df, text, terms, term, [F.col(c) for c in order])
     listed = terms.agg(F.array_sort(F.collect_list(F.struct(*order, F.col(term).alias("_term")))).alias("_terms"))
     found = F.filter("_terms", lambda t: F.contains(F.col(text), t["_term"]))
     joined = df.join(F.broadcast(listed), F.lit(True), "left")
@@ -97,7 +101,13 @@ def shared_ngrams(grams: DataFrame, group: str, gram: str, base: str) -> DataFra
 
 
 def known_terms(df: DataFrame, columns: Sequence[str], terms: Sequence[str], spellings: Mapping[str, str], out: str) -> DataFrame:
-    """Rows one of whose columns holds a known term (any case), with the longest one in all columns, by its usual spelling."""
+    """Rows one of whose columns holds a known term (any case), with the longest one in all columns, by its usual spelling.
+
+    Up to ``FEW_TERMS`` terms are branches of one expression; more are looked
+    up by an index (see ``terms``), and their spellings joined.
+    """
+    if len(terms) > FEW_TERMS:
+        return _known_many(df, columns, terms, spellings, out)
     pattern = "(?i)" + "|".join(f"\\Q{t}\\E" for t in terms)
     held = F.lit(False)
     for c in columns:
@@ -107,3 +117,25 @@ def known_terms(df: DataFrame, columns: Sequence[str], terms: Sequence[str], spe
     usual = F.try_element_at(F.create_map(*[F.lit(x) for k, v in spellings.items() for x in (k.lower(), v)]), found) if spellings else F.lit(None).cast("string")
     same = F.try_element_at(F.create_map(*[F.lit(x) for k, v in zip(low, terms, strict=True) for x in (k, v)]), found)
     return df.where(held).withColumn(out, F.coalesce(usual, same))
+
+
+def _known_many(df: DataFrame, columns: Sequence[str], terms: Sequence[str], spellings: Mapping[str, str], out: str) -> DataFrame:
+    usual = {k.lower(): v for k, v in spellings.items()}
+    rows = [(i, t.lower(), usual.get(t.lower(), t)) for i, t in enumerate(terms)]
+    listed = df.sparkSession.createDataFrame(rows, "_at int, _low string, _said string")
+    order = [-F.length("_low"), F.col("_at")]
+    found = with_best_term(df, F.lower(F.concat_ws(" ", *[F.col(c) for c in columns])), listed, "_low", order, "_found")
+    said = small(listed.groupBy(F.col("_low").alias("_found")).agg(F.min_by("_said", "_at").alias("_said")))
+    found = found.where(F.col("_found").isNotNull()).join(said, "_found").drop("_found")
+    # a term may lie across two columns only: rows count where one column holds a term
+    texts = [F.lower(F.col(c)) for c in columns]
+    every = df.select(F.explode(F.array(*texts)).alias("_text")).distinct()
+    keys = best_terms(every, "_text", listed, "_low", order).select("key", F.lit(True).alias("_held"))
+    for i, c in enumerate(texts):
+        found = found.join(keys.select(F.col("key").alias(f"_key{i}"), F.col("_held").alias(f"_held{i}")), F.sha2(c, 256) == F.col(f"_key{i}"), "left")
+    held = [F.col(f"_held{i}").isNotNull() for i in range(len(texts))]
+    any_held = held[0]
+    for h in held[1:]:
+        any_held = any_held | h
+    kept = [c for c in df.columns if c != out]
+    return found.where(any_held).select(*kept, F.col("_said").alias(out))

@@ -12,47 +12,61 @@ from pyspark.sql.window import Window
 
 #: Queries that go around in one pass.
 BLOCK = 4_000
+#: Vectors that are compared to a block of queries at once.
+LOT = 1_000
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int, digits: int = 6, block: int = BLOCK) -> DataFrame:
     """(q, key, similarity, rank): the k vectors most similar to each query by cosine, ties by key, none with its own key.
 
     Queries go around in blocks of bounded size, one pass over the vectors for
-    each; a batch of vectors returns k rows for each query at most, and a
-    window takes the best of these.  Vectors of length 0 are similar to none.
+    each; a lot of vectors returns k rows for each query at most, and a
+    window takes the best of these.  Vectors that are null, or whose length is
+    0 or not finite, are similar to none; a query is compared to vectors with
+    as many components only; rows without a key are left out.
     """
-    count = max(1, -(-queries.count() // block))
+    out = f"q long, `{key}` long, similarity double"
+    asked = queries.where(F.col(key).isNotNull() & (F.size(vector) > 0))
+    counts = {r[0]: r[1] for r in asked.groupBy(F.size(vector)).count().collect()}  # one line for each number of components
     parts = []
-    for at in range(count):
-        rows = queries.where(F.pmod(F.xxhash64(key), F.lit(count)) == at).select(key, F.col(vector).cast("array<double>")).collect()
-        if not rows:
-            continue
-        asked = np.array([r[0] for r in rows], np.int64)
-        unit = np.array([r[1] for r in rows], np.float64)
-        shared = vectors.sparkSession.sparkContext.broadcast((asked, _unit(unit)))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            names, grid = shared.value
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                ids = batch.column(0).to_numpy(zero_copy_only=False)
-                own = _unit(batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1).astype(np.float64))
-                near = np.round(grid @ own.T, digits)
-                near[(names[:, None] == ids[None, :]) | np.isnan(near)] = -np.inf
-                order = np.lexsort((np.broadcast_to(ids, near.shape), -near), axis=1)[:, :k]
-                value = np.take_along_axis(near, order, axis=1)
-                keep = np.isfinite(value)
-                yield pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(names[:, None], order.shape)[keep]), pa.array(ids[order][keep]), pa.array(value[keep])], ["q", key, "similarity"])
-
-        parts.append(vectors.select(F.col(key).cast("long").alias(key), F.col(vector)).mapInArrow(run, f"q long, `{key}` long, similarity double"))
+    for size, n in sorted(counts.items()):
+        own = vectors.where(F.col(key).isNotNull() & (F.size(vector) == size)).select(F.col(key).cast("long").alias(key), F.col(vector).cast("array<double>").alias(vector))
+        count = -(-n // block)
+        for at in range(count):
+            rows = asked.where((F.size(vector) == size) & (F.pmod(F.xxhash64(key), F.lit(count)) == at)).select(key, F.col(vector).cast("array<double>")).collect()
+            if rows:
+                grid = np.array([[np.nan if x is None else x for x in r[1]] for r in rows], np.float64)
+                shared = vectors.sparkSession.sparkContext.broadcast((np.array([r[0] for r in rows], np.int64), _unit(grid)))
+                parts.append(own.mapInArrow(_best(shared, key, k, digits), out))
     if not parts:
-        return vectors.sparkSession.createDataFrame([], f"q long, `{key}` long, similarity double, rank int")
-    out = parts[0]
+        return vectors.sparkSession.createDataFrame([], f"{out}, rank int")
+    found = parts[0]
     for part in parts[1:]:
-        out = out.unionByName(part)
+        found = found.unionByName(part)
     best = Window.partitionBy("q").orderBy(F.desc("similarity"), key)
-    return out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
+def _best(shared, key: str, k: int, digits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, grid = shared.value
+        for batch in batches:
+            for begin in range(0, batch.num_rows, LOT):
+                part = batch.slice(begin, LOT)
+                ids = part.column(0).to_numpy(zero_copy_only=False)
+                own = _unit(part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1))
+                near = np.round(grid @ own.T, digits)
+                near[(names[:, None] == ids[None, :]) | np.isnan(near)] = -np.inf
+                least = np.partition(near, -k, axis=1)[:, -k] if k < len(ids) else np.full(len(names), -np.inf)
+                q, at = np.nonzero((near >= least[:, None]) & np.isfinite(near))
+                value = near[q, at]
+                order = np.lexsort((ids[at], -value, q))
+                q, at, value = q[order], at[order], value[order]
+                # of equal ones at the end only as many as there is room for
+                keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+                yield pa.RecordBatch.from_arrays([pa.array(names[q[keep]]), pa.array(ids[at[keep]]), pa.array(value[keep])], ["q", key, "similarity"])
+
+    return run
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:

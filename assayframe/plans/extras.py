@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from assayframe.functions import nested, records, text
-from assayframe.operators import columns, dedupe, joins, reshape, statistics
-from assayframe.sources import readers, sinks
+from assayframe.operators import columns, dedupe, joins, order, reshape, statistics, terms
+from assayframe.sources import readers, runs, sinks
 
 from .registry import ORACLES, QUERIES, query, r6, s6
 
@@ -74,7 +73,25 @@ def w10_date_segments(t):
 @query("SELECT name, row_number() OVER (ORDER BY k) AS place FROM (SELECT 'file' || s_suppkey || '.csv' AS name, s_suppkey AS k FROM supplier)")
 def o2_o5_natural_order(t):
     files = t("supplier").select(F.concat(F.lit("file"), "s_suppkey", F.lit(".csv")).alias("name"))
-    return files.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(text.natural_key(F.col("name"))))).withColumn("place", F.col("place").cast("long"))
+    return order.numbered(files, [text.natural_key(F.col("name")), F.col("name")])
+
+
+@query("SELECT event_id, row_number() OVER (ORDER BY ts DESC, event_id) AS newest, row_number() OVER (ORDER BY md5('7:' || event_id), event_id) AS shuffled FROM events")
+def o5_time_and_shuffle(t):
+    """The newest first, and a repeatable shuffle, over the whole table."""
+    newest = order.numbered(t("events").select("event_id", "ts"), [F.desc("ts"), F.col("event_id")], "newest")
+    return order.numbered(newest, [F.md5(F.concat(F.lit("7:"), F.col("event_id").cast("string"))), F.col("event_id")], "shuffled").select("event_id", "newest", "shuffled")
+
+
+@query("SELECT event_id, rank() OVER (ORDER BY value DESC NULLS LAST) AS rank, dense_rank() OVER (ORDER BY value DESC NULLS LAST) AS dense_rank FROM events")
+def w2_whole_ranks(t):
+    return order.ranked(t("events").select("event_id", "value"), [F.desc("value")], ["value"]).select("event_id", "rank", "dense_rank")
+
+
+@query(f"SELECT event_id, {s6('avg(value) OVER (ORDER BY ts, event_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)')} AS moving_average FROM events")
+def w1_whole_moving(t):
+    out = order.moving(t("events").select("event_id", "ts", "value"), "value", [F.col("ts"), F.col("event_id")])
+    return out.select("event_id", r6(F.col("moving_average")).alias("moving_average"))
 
 
 @query("""SELECT o_orderkey, o_orderpriority AS product_name, o_totalprice AS total_thc, CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END AS date_tested, 0 AS images, 2 AS metrc_ids,
@@ -99,6 +116,34 @@ def f24_known_strains(t):
     return joins.known_terms(t("part"), ["p_name", "p_brand"], STRAINS, {"light blue": "blue", "dark": "black"}, "standard_strain_name").select("p_partkey", "standard_strain_name")
 
 
+_SAID = "(SELECT o_orderkey, o_orderpriority || ' for Customer#' || lpad(o_custkey::VARCHAR, 9, '0') || '-' || o_orderstatus AS said FROM orders)"
+
+
+@query(f"""WITH terms AS (SELECT lower(c_name) AS term FROM customer UNION SELECT lower(c_name) || '-o' FROM customer WHERE c_custkey % 2 = 0 UNION SELECT 'for customer#' UNION SELECT '-p'),
+texts AS (SELECT DISTINCT lower(said) AS said FROM {_SAID}), pairs AS (SELECT said, term FROM texts JOIN terms ON substr(said, strpos(said, 'customer#'), 18) = substr(term, 1, 18) OR (len(term) < 18 AND contains(said, term))),
+best AS (SELECT said, arg_min(term, row(-len(term), term)) AS term FROM pairs WHERE contains(said, term) GROUP BY 1)
+SELECT o_orderkey, best.term AS strain FROM {_SAID} o JOIN best ON lower(o.said) = best.said""")
+def f24_many_strains(t):
+    """As many terms as customers have names, and parts of them, in the texts of orders: the longest one."""
+    names = F.lower("c_name").alias("term")
+    listed = t("customer").select(names).union(t("customer").where("c_custkey % 2 = 0").select(F.concat(F.lower("c_name"), F.lit("-o"))))
+    listed = listed.union(listed.sparkSession.createDataFrame([("for customer#",), ("-p",)], "term string"))
+    said = F.concat("o_orderpriority", F.lit(" for Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"), F.lit("-"), "o_orderstatus")
+    out = terms.with_best_term(t("orders").select("o_orderkey", said.alias("said")), F.lower("said"), listed, "term", terms.longest_first("term"), "strain")
+    return out.where(F.col("strain").isNotNull()).select("o_orderkey", "strain")
+
+
+_LISTED = r"SELECT DISTINCT trim(x) AS term FROM (SELECT unnest(regexp_split_to_array(text, '[.,]')) AS x FROM benchmark UNION ALL SELECT unnest(string_split(text, ' ')) FROM benchmark) WHERE trim(x) <> ''"
+
+
+@query(f"""WITH terms AS ({_LISTED}), texts AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL), best AS (SELECT text, arg_min(term, row(-len(term), term)) AS term FROM texts JOIN terms ON contains(text, term) GROUP BY 1)
+SELECT doc_id, best.term AS term FROM documents LEFT JOIN best USING (text)""")
+def j12_terms_in_documents(t):
+    """The longest of the words and clauses of all benchmark items that each whole document holds."""
+    listed = t("benchmark").select(F.explode(F.concat(F.split("text", "[.,]"), F.split("text", " "))).alias("term")).select(F.trim("term").alias("term")).where("term <> ''").distinct()
+    return terms.with_best_term(t("documents").select("doc_id", "text"), "text", listed, "term", terms.longest_first("term")).select("doc_id", "term")
+
+
 @query("SELECT p_partkey, p_brand || ' × ' || p_type AS strains FROM part")
 def f28_joined_strains(t):
     return t("part").select("p_partkey", text.joined_strains(F.array("p_brand", "p_type")).alias("strains"))
@@ -165,7 +210,7 @@ def k3_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = df.select("o_orderkey", F.year("o_orderdate").alias("year"), F.lit("first").alias("v"))
     sinks.upsert_partitions(rows.where("o_orderkey % 2 = 0"), f"{place}/years", ["o_orderkey"], "year", ["v"])
     sinks.upsert_partitions(rows.where("o_orderkey % 3 = 0").withColumn("v", F.lit("second")), f"{place}/years", ["o_orderkey"], "year", ["v"])
-    return spark.read.schema("o_orderkey long, v string, year int").parquet(f"{place}/years")
+    return runs.read_runs(spark, f"{place}/years").select("o_orderkey", "v", "year")
 
 
 def k4_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +221,7 @@ def k4_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     run("id % 2 = 0", "first")
     run("id % 3 = 0", "second")
     run("id % 5 = 0", "third", update=True)
-    return spark.read.schema("id long, v string").parquet(f"{place}/docs")
+    return sinks.read_documents(spark, f"{place}/docs").select("id", "v")
 
 
 def k6_changes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from assayframe.operators.dedupe import keep_first
 
+from . import runs
+
 
 def save_dated(df: DataFrame, folder: str, prefix: str, date: str, latest: bool = True, kind: str = "csv") -> list[str]:
     """Write ``prefix-date`` and ``prefix-latest`` folders; returns their paths."""
@@ -37,46 +39,52 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def upsert_partitions(new: DataFrame, path: str, keys: Sequence[str], partition: str, order: Sequence[str]) -> None:
-    """Add rows to the partitions they belong to; of equal keys the stored row stays.  Only touched partitions are rewritten.
+    """Add rows to the partitions they belong to; of equal keys the stored row stays, of new ones the first by order.
 
-    The new content goes to a side folder first, as a table can't be read
-    and overwritten in one job.
+    Only the partitions that new rows belong to are read, and only rows that
+    are not stored yet are written, as a run of the table (see ``runs``).
     """
-    spark = new.sparkSession
-    old = _existing(spark, path)
-    rows = new.withColumn("_age", F.lit(1))
+    first = keep_first(new, keys, [F.col(c) for c in order])
+    old = runs.read_runs(new.sparkSession, path)
     if old is not None:
         touched = new.select(partition).distinct()
-        kept = old.join(F.broadcast(touched) if touched.count() <= 10_000 else touched, partition, "left_semi")
-        rows = kept.withColumn("_age", F.lit(0)).unionByName(rows, allowMissingColumns=True)
-    merged = keep_first(rows, keys, [F.col("_age"), *[F.col(c) for c in order]]).drop("_age")
-    merged.write.mode("overwrite").parquet(f"{path}.next")
-    side = spark.read.parquet(f"{path}.next")
-    side.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        stored = old.join(F.broadcast(touched) if touched.count() <= 10_000 else touched, partition, "left_semi")
+        first = _unstored(first, stored, keys)
+    runs.add_run(first, path, partition)
+
+
+def _unstored(rows: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose keys are not among the stored ones; a missing key equals a missing key."""
+    known = stored.select(*[F.col(k).alias(f"_done_{k}") for k in keys]).distinct()
+    return rows.join(known, [F.col(k).eqNullSafe(F.col(f"_done_{k}")) for k in keys], "left_anti")
 
 
-def upsert_documents(new: DataFrame, path: str, ledger: str, key: str = "id", update: bool = False) -> DataFrame:
-    """Add documents whose key isn't in the ledger, and their keys to it; returns them.
+def upsert_documents(new: DataFrame, path: str, ledger: str, key: str = "id", update: bool = False, order: Sequence[Column] = ()) -> DataFrame:
+    """Add documents whose key is in neither the table nor the ledger, and their keys to the ledger; returns what was added.
 
-    With ``update`` stored documents with a key of the new ones are replaced:
-    the table is written anew beside itself first.  Documents are stored before
-    their keys; a run that ended between the two is made good by the next one,
-    as keys of stored documents count too.
+    Of several new rows with a key the last by order is taken (without an order,
+    the last by all columns).  With ``update`` all new documents are added, and
+    take the place of stored ones with their key.  A run is complete with its
+    mark (see ``runs``): where one ends before, the table is as it was, and the
+    same call makes it good.  Where it ends between the mark and the ledger,
+    keys of stored documents count as done all the same.
     """
     spark = new.sparkSession
-    done, old = _existing(spark, ledger), _existing(spark, path)
-    without = lambda rows, keys: rows.join(keys.select(F.col(key).alias("_done")).distinct(), F.col(key).eqNullSafe(F.col("_done")), "left_anti")
-    unseen = without(new, done) if done is not None else new
-    if update:
-        if old is None:
-            new.write.mode("append").parquet(path)
-        else:
-            without(old, new).unionByName(new, allowMissingColumns=True).write.mode("overwrite").parquet(f"{path}.next")
-            spark.read.parquet(f"{path}.next").write.mode("overwrite").parquet(path)
-    else:
-        (without(unseen, old) if old is not None else unseen).write.mode("append").parquet(path)
-    unseen.select(key).distinct().write.mode("append").parquet(ledger)
-    return new if update else unseen
+    turned = F.struct(*order) if order else F.struct(*new.columns)
+    last = new.groupBy(F.col(key).alias("_key")).agg(F.max_by(F.struct(*new.columns), turned).alias("_last")).select("_last.*")
+    done, old = _existing(spark, ledger), runs.read_runs(spark, path, [key])
+    unseen = last
+    for known in (x for x in (done, old) if x is not None):
+        unseen = _unstored(unseen, known, [key])
+    added = runs.add_run(last if update else unseen, path)
+    fresh = added.select(key).distinct()
+    (fresh if done is None else _unstored(fresh, done, [key])).write.mode("append").parquet(ledger)
+    return added
+
+
+def read_documents(spark: SparkSession, path: str, key: str = "id") -> DataFrame | None:
+    """The stored documents, the last one of each key."""
+    return runs.read_runs(spark, path, [key])
 
 
 def content_hash(columns: Sequence[str]) -> Column:
@@ -119,3 +127,10 @@ def working_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="assayframe-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df written in the working folder and read back: what several steps read is made once."""
+    path = working_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
