@@ -4,10 +4,10 @@ Texts and benchmark items are normalized character by character: lower case,
 each white space a space.  A document holds a passage of an item if one of the
 item's windows of ``WINDOW`` characters, wherever it starts, stands in it with
 at most e = floor(RATE * WINDOW) edits; so each verbatim part of ``WINDOW``
-characters or more is found.  Items shorter than a window are one window:
-from ``EXACT_BELOW`` characters on with as many edits for their length, below
-without any.  Items shorter than a q-gram are found where they are a document's
-whole text (but for white space around it).
+characters or more is found.  Items shorter than a window are one window with
+floor(RATE * length) edits, as far as the lemma's bound stays positive: 1 from
+16 characters on, none below 13.  Items shorter than a q-gram are found where
+they stand as they are, with no letter or digit next to them.
 
 By the q-gram lemma, a place with at most e edits shares L - q + 1 - q * e
 q-grams with a window of L characters, all on diagonals (place in the text
@@ -18,6 +18,10 @@ less place in the item) that are at most e apart.
 3. In what is left, hits are sorted by item, diagonal band and place in the
    item; bands are 2e wide and overlap by half, so that each place lies in one
    as a whole.  For every window, the hits of a band are counted.
+   Windows of an item that are equal are looked for once, so that runs of one
+   character or of a short period have few places; of long runs of one
+   character in a text only both ends are looked at, as every place in between
+   is like them; hits are spelled out in stretches of about ``HITS``.
 4. Windows that meet their bound are verified: edit distance to the text,
    its start and end free, over the band's diagonals and e more on either side.
    The alignment remembers where it starts.
@@ -35,8 +39,11 @@ by ``clean``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cached_property
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,17 +54,19 @@ from .shared import SLICE_BYTES, map_batches, text_slices
 Q = 8
 WINDOW = 48
 RATE = 0.08
-#: Items shorter than this must be found without edits.
-EXACT_BELOW = 32
 BLOCK_GRAMS = 1 << 19
+#: Characters of a long run that are looked at on either side: more than any window with its edits.
+RUN = 128
 #: Bytes by which pieces of a long text overlap: more than any window with its edits, in UTF-8.
 OVERLAP = 1024
 _BITS = 22
 _BASE, _SPREAD = 0x100000001B3, np.uint64(0x9E3779B97F4A7C15)
 _NOTHING = np.uint32(0xFFFFFFFF)
-#: Windows that are aligned at once.
-_LOT = 4096
+#: Windows that are aligned at once, and pairs of places that are looked at together.
+_LOT, HITS = 4096, 1 << 18
 _UNIT = 1 << 16
+#: A multiple of all widths of bands.
+_WIDTHS = math.lcm(*range(1, int(RATE * WINDOW) + 1))
 
 _tables: dict[str, np.ndarray] = {}
 
@@ -93,8 +102,9 @@ def qgrams(points: np.ndarray) -> np.ndarray:
 
 
 def edits_of(length):
-    """Edits that a window of an item of some length may have."""
-    return np.where(np.asarray(length) < EXACT_BELOW, 0, np.floor(RATE * np.minimum(length, WINDOW))).astype(np.int64)
+    """Edits that a window of an item of some length may have: fewer where no q-gram would have to be shared."""
+    size = np.minimum(np.asarray(length), WINDOW)
+    return np.minimum(np.floor(RATE * size), np.maximum(0, (size - Q) // Q)).astype(np.int64)
 
 
 class Index:
@@ -106,17 +116,38 @@ class Index:
         self.text = np.concatenate([x for _, x in items])
         self.start = np.cumsum(np.r_[0, size[:-1]])
         self.length = np.minimum(size, WINDOW)
-        self.last = self.start + size - self.length  # where an item's last window starts
         self.edits = edits_of(size)
         self.bound = np.maximum(1, self.length - Q + 1 - Q * self.edits)
-        place = np.concatenate([np.arange(a, a + n - Q + 1) for a, n in zip(self.start, size, strict=True)])
-        gram = qgrams(self.text)[place]
+        grams = qgrams(self.text)
+        #: starts of the windows that differ, and how many there are of each
+        self.window, self.weight = self._windows(grams, size)
+        self.last = self.start + size - self.length  # where an item's last window starts
+        used = np.zeros(len(self.text) + 1, np.int64)
+        own = np.searchsorted(self.start, self.window, side="right") - 1
+        np.add.at(used, self.window, 1)
+        np.add.at(used, self.window + self.length[own] - Q + 1, -1)
+        place = np.flatnonzero(np.cumsum(used) > 0)
+        gram = grams[place]
         order = np.argsort(gram, kind="stable")
         self.place = place[order].astype(np.int32)
         self.gram, self.first = np.unique(gram[order], return_index=True)
         #: what a stretch of ``reach`` places must have at least
         self.least, self.reach = int(self.bound.min()), int((self.length + self.edits).max())
 
+    def _windows(self, grams: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first of all equal windows of each item, and their numbers: windows are equal if their q-grams are."""
+        power = np.multiply.accumulate(np.r_[np.uint64(1), np.full(len(grams), _BASE, np.uint64)])
+        total = np.r_[np.uint64(0), np.cumsum(grams * power[:-1])]
+        inverse = np.multiply.accumulate(np.r_[np.uint64(1), np.full(len(grams), pow(_BASE, -1, 1 << 64), np.uint64)])
+        first, weight = [], []
+        for a, n, length in zip(self.start.tolist(), size.tolist(), self.length.tolist(), strict=True):
+            at = np.arange(a, a + n - length + 1)
+            _, one, many = np.unique((total[at + length - Q + 1] - total[at]) * inverse[at], return_index=True, return_counts=True)
+            order = np.argsort(one)
+            first.append(at[one[order]])
+            weight.append(many[order])
+        return np.concatenate(first), np.concatenate(weight)
+
     def known(self, gram: np.ndarray) -> np.ndarray:
         """Whether q-grams may be among those of the items (a filter of one hash)."""
         if not hasattr(self, "filter"):
@@ -128,7 +159,36 @@ class Index:
         return {k: v for k, v in self.__dict__.items() if k != "filter"}
 
 
-def indexes(items: list[tuple[int, str]]) -> tuple[list[Index], dict[str, list[int]]]:
+class Tiny:
+    """Items shorter than a q-gram, found by an automaton."""
+
+    def __init__(self, items: dict[str, list[int]]):
+        self.items = items
+
+    def __getstate__(self) -> dict:
+        return {"items": self.items}
+
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        out = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for text in self.items:
+            out.add_word(text)
+        out.make_automaton()
+        return out
+
+    def found(self, points: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(document, item, start, end) where an item stands by itself."""
+        text = points.tobytes().decode("utf-32-le", "replace")
+        for end, length in self.automaton.iter(text):
+            start, end = end - length + 1, end + 1
+            doc = int(np.searchsorted(offsets, start, side="right")) - 1
+            a, z = int(offsets[doc]), int(offsets[doc + 1])
+            if end <= z and not (start > a and text[start - 1].isalnum()) and not (end < z and text[end].isalnum()):
+                for item in self.items[text[start:end]]:
+                    yield doc, item, start - a, end - a
+
+
+def indexes(items: list[tuple[int, str]]) -> tuple[list[Index], Tiny]:
     """Indexes by length class (short windows with low bounds don't weaken the filter for full ones), and the shortest items by text."""
     classes: dict[int, list[tuple[int, np.ndarray]]] = {}
     tiny: dict[str, list[int]] = {}
@@ -136,35 +196,50 @@ def indexes(items: list[tuple[int, str]]) -> tuple[list[Index], dict[str, list[i
         points = normalized(text.encode("utf-8", "replace"))
         if len(points) >= Q:
             classes.setdefault(min(len(points), WINDOW) // 16, []).append((item, points))
-        elif bare := _said(points):
+        elif bare := points.tobytes().decode("utf-32-le", "replace").strip(" "):
             tiny.setdefault(bare, []).append(item)
-    return [Index(x) for x in classes.values()], tiny
-
-
-def _said(points: np.ndarray) -> str:
-    return points.tobytes().decode("utf-32-le", "replace").strip(" ")
+    return [Index(x) for x in classes.values()], Tiny(tiny)
 
 
-def hits(gram: np.ndarray, p: Index) -> tuple[np.ndarray, np.ndarray]:
-    """(place in the text, place in the index) of shared q-grams in stretches that have enough of them."""
+def hits(gram: np.ndarray, p: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in the text, first of its q-gram's places in the index, number of those) of shared q-grams in stretches that have enough of them."""
     maybe = p.known(gram)
     total = np.zeros(len(maybe) + 1, np.int64)
     np.cumsum(maybe, out=total[1:])
     none = np.zeros(0, np.int64)
     if total[-1] < p.least:
-        return none, none
+        return none, none, none
     ahead = np.minimum(np.arange(len(maybe)) + p.reach, len(maybe))
     dense = np.flatnonzero(total[ahead] - total[:-1] >= p.least)
     if not len(dense):
-        return none, none
+        return none, none, none
     mark = np.bincount(dense, minlength=len(maybe) + 1) - np.bincount(np.minimum(dense + p.reach, len(maybe)), minlength=len(maybe) + 1)
     spots = np.flatnonzero(maybe & (np.cumsum(mark[:-1]) > 0))
     at = np.minimum(np.searchsorted(p.gram, gram[spots]), len(p.gram) - 1)
     true = p.gram[at] == gram[spots]
     spots, at = spots[true], at[true]
-    many = np.r_[p.first[1:], len(p.place)][at] - p.first[at]
-    flat = np.repeat(p.first[at] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
-    return np.repeat(spots, many), p.place[flat].astype(np.int64)
+    return spots, p.first[at], np.r_[p.first[1:], len(p.place)][at] - p.first[at]
+
+
+def stretches(spots: np.ndarray, many: np.ndarray, reach: int) -> Iterator[slice]:
+    """Parts of the spots with about ``HITS`` places each; a part begins ``reach`` before the last one's end, so that no window is cut."""
+    total, start = np.cumsum(many), 0
+    while start < len(spots):
+        end = int(np.searchsorted(total, total[start] - many[start] + HITS, side="right"))
+        if end >= len(spots):
+            yield slice(start, len(spots))
+            return
+        # the next part must begin further on than this one
+        end = max(end, int(np.searchsorted(spots, spots[start] + 2 * reach)))
+        yield slice(start, end)
+        start = int(np.searchsorted(spots, spots[end - 1] - reach)) if end < len(spots) else end
+
+
+def _weights(n: int) -> np.ndarray:
+    """Odd factors that tell rows of n numbers apart by their sum."""
+    if "weights" not in _tables or len(_tables["weights"]) < n:
+        _tables["weights"] = np.random.default_rng(1).integers(0, 1 << 63, max(n, 128), np.uint64) * np.uint64(2) + np.uint64(1)
+    return _tables["weights"][:n]
 
 
 def aligned(text: np.ndarray, pattern: np.ndarray, e: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -190,8 +265,17 @@ def aligned(text: np.ndarray, pattern: np.ndarray, e: int) -> tuple[np.ndarray,
 
 def windows(points: np.ndarray, offsets: np.ndarray, p: Index) -> np.ndarray:
     """Rows (document, item's number, window's start in the index, start, end, edits) of all windows found in several texts."""
+    out = [np.zeros((0, 6), np.int64)]
+    spots, first, many = hits(qgrams(points), p)
+    for part in stretches(spots, many, 2 * p.reach):
+        n = many[part]
+        flat = np.repeat(first[part] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        out.append(_windows(points, offsets, p, np.repeat(spots[part], n), p.place[flat].astype(np.int64)))
+    return np.concatenate(out)
+
+
+def _windows(points: np.ndarray, offsets: np.ndarray, p: Index, at: np.ndarray, place: np.ndarray) -> np.ndarray:
     empty = np.zeros((0, 6), np.int64)
-    at, place = hits(qgrams(points), p)
     doc = np.searchsorted(offsets, at, side="right") - 1
     whole = at + Q <= offsets[doc + 1] if len(at) else np.zeros(0, bool)  # no q-gram of two documents
     at, place, doc = at[whole], place[whole], doc[whole]
@@ -217,11 +301,11 @@ def windows(points: np.ndarray, offsets: np.ndarray, p: Index) -> np.ndarray:
     # both grow within a band: each start is taken from the first hits that allow it
     before = np.r_[-1, np.where(rank[1:] == rank[:-1], np.maximum.accumulate(rank * span + high)[:-1] - rank[1:] * span, -1)][: len(rank)]
     low = np.maximum(low, before + 1)
-    many = np.maximum(0, high - low + 1)
-    asked = np.repeat(rank * span + low - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
-    if not len(asked):
+    low, high = np.searchsorted(p.window, low), np.searchsorted(p.window, high, side="right")
+    many = np.maximum(0, high - low)
+    if not many.any():
         return empty
-    rank, start = asked // span, asked % span
+    rank, start = np.repeat(rank, many), p.window[np.repeat(low - np.cumsum(many) + many, many) + np.arange(int(many.sum()))]
     doc, item, band = group[rank] // bands // len(p.item), group[rank] // bands % len(p.item), group[rank] % bands - 1
     out = []
     for length, e in {*zip(p.length[item].tolist(), p.edits[item].tolist(), strict=True)}:
@@ -233,24 +317,29 @@ def windows(points: np.ndarray, offsets: np.ndarray, p: Index) -> np.ndarray:
             spot = base[:, None] + np.arange(length + width - 1)
             inside = (spot >= offsets[doc[lot]][:, None]) & (spot < offsets[doc[lot] + 1][:, None])
             text = np.where(inside, points[np.clip(spot, 0, len(points) - 1)], _NOTHING)
-            edits, a, z = aligned(text, p.text[start[lot][:, None] + np.arange(length)], e)
+            # repeated texts have equal stretches for equal windows: each pair is aligned once
+            _, one, same = np.unique((text.astype(np.uint64) * _weights(text.shape[1])).sum(axis=1) + start[lot].astype(np.uint64) * _SPREAD, return_index=True, return_inverse=True)
+            edits, a, z = (x[same] for x in aligned(text[one], p.text[start[lot][one][:, None] + np.arange(length)], e))
             ok = edits <= e
             a, z = (np.clip(base + x, offsets[doc[lot]], offsets[doc[lot] + 1]) - offsets[doc[lot]] for x in (a, z))
             out.append(np.stack([doc[lot], item[lot], start[lot], a, z, edits], axis=1)[ok])
     return np.concatenate(out)
 
 
-def merged(found: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
-    """(item, start, end, fewest edits, windows): overlapping places of one item's windows in one text become one passage."""
+def merged(found: list[tuple[int, int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """(item, start, end, fewest edits, windows): overlapping places of one item's windows in one text become one passage.
+
+    found are (item, start, end, edits, window, how many windows are equal to it).
+    """
     out: list[list] = []
-    for item, start, end, edits, window in sorted(found):
+    for item, start, end, edits, window, weight in sorted(found):
         if out and out[-1][0] == item and start <= out[-1][2]:
             out[-1][2] = max(out[-1][2], end)
             out[-1][3] = min(out[-1][3], edits)
-            out[-1][4].add(window)
+            out[-1][4][window] = weight
         else:
-            out.append([item, start, end, edits, {window}])
-    return [(*x[:4], len(x[4])) for x in out]
+            out.append([item, start, end, edits, {window: weight}])
+    return [(*x[:4], sum(x[4].values())) for x in out]
 
 
 def _pieces(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
@@ -273,21 +362,44 @@ def _pieces(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, int
             at = after
 
 
-def passages(column: pa.Array, known: list[Index], tiny: dict[str, list[int]]) -> list[list[tuple[int, int, int, int, int]]]:
+def shortened(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """Texts without the inner part of long runs of one character, their offsets, and where each character that is left stood.
+
+    What is left on either side is longer than any window with its edits, so a
+    window that lies across the gap stands at each place of the run.
+    """
+    edge = np.ones(len(points) + 1, bool)
+    edge[1:-1] = points[1:] != points[:-1]
+    edge[offsets] = True
+    edges = np.flatnonzero(edge)
+    long = np.flatnonzero(np.diff(edges) > 2 * RUN)
+    if not len(long):
+        return points, offsets, None
+    left = np.ones(len(points), bool)
+    for i in long.tolist():
+        out = int(edges[i + 1] - edges[i]) - 2 * RUN
+        # what is left keeps its place in the bands, whatever their width
+        left[edges[i] + RUN : edges[i] + RUN + out - out % _WIDTHS] = False
+    origin = np.flatnonzero(left)
+    return points[origin], np.searchsorted(origin, offsets), origin
+
+
+def passages(column: pa.Array, known: list[Index], tiny: Tiny) -> list[list[tuple[int, int, int, int, int]]]:
     """The merged passages of each text of a column."""
     found: list[list] = [[] for _ in range(len(column))]
-    for first, offsets, points, before in _pieces(column):
+    for first, own_offsets, own_points, before in _pieces(column):
+        points, offsets, origin = shortened(own_points, own_offsets)
         for p in known:
-            for doc, item, window, a, z, edits in windows(points, offsets, p).tolist():
-                found[first + doc].append((int(p.item[item]), before + a, before + z, edits, window))
-        if tiny:
-            said = np.zeros(len(points) + 1, np.int64)
-            np.cumsum(points != 32, out=said[1:])
-            letters = said[offsets[1:]] - said[offsets[:-1]]
-            for i in np.flatnonzero((letters > 0) & (letters < Q)).tolist():
-                text = points[offsets[i] : offsets[i + 1]]
-                lead = int(np.flatnonzero(text != 32)[0])
-                found[first + i] += [(item, lead, lead + len(_said(text)), 0, 0) for item in tiny.get(_said(text), ())]
+            rows = windows(points, offsets, p)
+            if origin is not None and len(rows):
+                doc, at = rows[:, 0], offsets[rows[:, 0]]
+                rows[:, 3], rows[:, 4] = origin[np.minimum(at + rows[:, 3], len(origin) - 1)] - own_offsets[doc], origin[at + np.maximum(rows[:, 4], 1) - 1] + 1 - own_offsets[doc]
+            weight = p.weight[np.searchsorted(p.window, rows[:, 2])].tolist()
+            for (doc, item, window, a, z, edits), n in zip(rows.tolist(), weight, strict=True):
+                found[first + doc].append((int(p.item[item]), before + a, before + z, edits, window, n))
+        if tiny.items:
+            for doc, item, a, z in tiny.found(own_points, own_offsets):
+                found[first + doc].append((item, before + a, before + z, 0, 0, 1))
     return [merged(x) for x in found]
 
 

@@ -211,7 +211,7 @@ def holds(item, text):
     """Brute force: any window of the item, anywhere in the text, with the edits it may have."""
     item, text = plain(item), plain(text)
     if len(item) < decontam.Q:
-        return bool(item.strip()) and item.strip() == text.strip()
+        return bool(item.strip()) and bool(re.search(r"(?<![^\W_])" + re.escape(item.strip()) + r"(?![^\W_])", text))
     size, e = min(len(item), decontam.WINDOW), int(decontam.edits_of(len(item)))
     if e == 0:
         return item in text
@@ -222,7 +222,7 @@ def test_windows_match_brute_force(spark):
     """All windows at all places: edits of all kinds and numbers, parts of all lengths, scripts, short items."""
     rng = random.Random(8)
     item = lambda n, letters="abcde ": "".join(rng.choices(letters, k=n))
-    items = [(0, item(60)), (1, item(90, "αβγδ ")), (2, item(40)), (3, item(33)), (4, item(20)), (5, item(9)), (6, "Short "), (7, item(49, "жзийк "))]
+    items = [(0, item(60)), (1, item(90, "αβγδ ")), (2, item(40)), (3, item(33)), (4, item(20)), (5, item(9)), (6, "Short "), (7, item(49, "жзийк ")), (8, item(16)), (9, item(27)), (10, " " * 70), (11, "ab" * 40 + " end."), (12, "1+1=2")]
     rows = []
     for k, text in items:
         for n in range(40):
@@ -233,7 +233,7 @@ def test_windows_match_brute_force(spark):
                 part = part[:at] + rng.choice(["", "x", "xy"]) + part[at + rng.choice([0, 1]) :]
             rows.append((len(rows), item(rng.choice([0, 3, 25])) + (part.upper() if n % 2 else part) + item(rng.choice([0, 2, 30]))))
         rows.append((len(rows), text))
-    rows += [(len(rows), None), (len(rows) + 1, "\tSHORT\n"), (len(rows) + 2, "short words"), (len(rows) + 3, "")]
+    rows += [(len(rows), None), (len(rows) + 1, "\tSHORT\n"), (len(rows) + 2, "shorts words"), (len(rows) + 3, ""), (len(rows) + 4, "q: 1+1=2 yes"), (len(rows) + 5, "11+1=2"), (len(rows) + 6, "-" * 60 + " " * 300 + "-"), (len(rows) + 7, "x" + "ba" * 200)]
     want = {(d, k) for d, text in rows for k, i in items if text and holds(i, text)}
     got = found_pairs(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert got == want and 60 < len(want) < len(rows) / 2
@@ -255,6 +255,47 @@ def test_alignment_against_full_matrix():
         assert edits == min(row[m, d] for d in range(width))
 
 
+def test_repeated_characters_are_bounded():
+    """Runs in an item and in a text: as many hits as the text is long, and found as a whole."""
+    import time
+    import tracemalloc
+
+    import pyarrow as pa
+
+    known = decontam.indexes([(1, "start " + " " * 1500 + "end"), (2, "ab" * 700)])
+    texts = [" " * 100_000, "x" + "ab" * 50_000, "start " + " " * 3000 + "end", "- " * 40_000]
+    began = time.time()
+    tracemalloc.start()
+    got = decontam.passages(pa.array(texts), *known)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [[x[0] for x in rows] for rows in got] == [[1], [2], [1], []]
+    assert got[0][0][1:3] == (0, 100_000) and got[1][0][1] <= 1 and got[1][0][2] == 100_001
+    assert most < 500e6 and time.time() - began < 30
+
+
+def test_runs_give_what_their_places_give(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(21)
+    known = decontam.indexes([(1, "row " + "-" * 60 + " total: 17 euro " + " " * 90), (2, "=" * 20 + "end of it " + "=" * 20), (3, "a b c d e " * 6)])
+    part = lambda: rng.choice(["-", " ", "=", "a b c d e "]) * rng.choice([1, 30, 700]) + rng.choice(["row ", " total: 17 euro ", "end of it ", "x", ""])
+    texts = pa.array(["".join(part() for _ in range(rng.randint(1, 8))) for _ in range(60)] + [None, "", "-" * 5000])
+    short = decontam.passages(texts, *known)
+    monkeypatch.setattr(decontam, "RUN", 1 << 20)
+    assert decontam.passages(texts, *known) == short and sum(map(len, short)) > 40
+
+
+def test_short_items_are_found_anywhere():
+    import pyarrow as pa
+
+    rng = random.Random(13)
+    items = [(i, "".join(rng.choices("abcdefghij 0123456789", k=n)).strip() or "x") for i, n in enumerate([3, 5, 7, 8, 12, 16, 20, 27, 31] * 4)]
+    texts = [f"before it, {text}; after" for _, text in items]
+    got = decontam.passages(pa.array(texts), *decontam.indexes(items))
+    assert all(i in {x[0] for x in got[i]} for i, _ in items)
+
+
 def test_where_passages_start(spark, benchmark):
     table, items = benchmark
     item, text = max(items.items(), key=lambda x: len(x[1]))
