@@ -51,7 +51,7 @@ BLOCK_TERMS, SEAT_GROUPS = 1 << 15, 8
 #: Words of a language up to which the arithmetic in two steps fits 64 bits.
 MOST = 90_000_000_000_000
 #: Distinct terms that a task counts, and rows of heaps that it holds, before it passes them on.
-HELD = 1 << 18
+HELD = 1 << 19
 #: Rounds whose meetings are written together.
 ROUNDS = 8
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
@@ -66,11 +66,10 @@ def counted(docs: DataFrame) -> DataFrame:
 
         def told() -> Iterator[pa.RecordBatch]:
             for (lang, source), own in words.items():
-                terms = [None, *own]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(terms)), pa.array([source] * len(terms)), pa.array([x and x.decode() for x in terms], pa.string()), pa.array([0, *own.values()]), pa.array([0, *(held[lang, source][x] for x in own)])],
-                    ["lang", "source", "term", "n", "docs"],
-                )
+                n, docs_of = len(own) + 1, held[lang, source]
+                terms = pa.array([None, *own], pa.binary()).cast(pa.string())
+                columns = [pa.repeat(lang, n), pa.repeat(source, n), terms, pa.array([0, *own.values()]), pa.array([0, *map(docs_of.__getitem__, own)])]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
             words.clear()
             held.clear()
 
@@ -78,13 +77,13 @@ def counted(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for lang, source, text in zip(*(batch.column(i) for i in range(3)), strict=True):
                 # lower() of bytes changes A-Z alone
-                own = Counter(_TERM.findall(text.as_buffer().to_pybytes().lower()))
+                own = _TERM.findall(text.as_buffer().to_pybytes().lower())
                 group = lang.as_py(), source.as_py()
                 before = words.setdefault(group, Counter())
                 size -= len(before)
                 before.update(own)
                 size += len(before)
-                held.setdefault(group, Counter()).update(own.keys())
+                held.setdefault(group, Counter()).update(set(own))
                 if size > HELD:
                     yield from told()
                     size = 0
@@ -137,20 +136,25 @@ def host(a: int, b: int) -> int:
 def met(a: list, b: list, same: bool) -> list[tuple]:
     """(lang, source, item, value, terms) of both directions of all pairs; a and b are lists of (lang, source, total, packed vector).
 
-    value is summed over the terms that either side's sources have in this block, terms is their number.
+    value is summed over the terms that one of the two sources has in this block, terms is their number.
     """
     vectors = [(x[1], x[2], *_unpacked(x[3])) for x in (a if same else a + b)]
     ids = np.unique(np.concatenate([x[2] for x in vectors]))
-    p = np.empty((len(vectors), len(ids)), np.int64)
-    for row, (_, total, own, n) in zip(p, vectors, strict=True):
-        row[:] = shares(np.zeros(1, np.int64), total) if total else 0
-        row[np.searchsorted(ids, own)] = shares(n, total) if total else 0
+    p, has = np.zeros((len(vectors), len(ids)), np.int64), np.zeros((len(vectors), len(ids)), bool)
+    for row, own_has, (_, total, own, n) in zip(p, has, vectors, strict=True):
+        if total:
+            at = np.searchsorted(ids, own)
+            row[:] = shares(np.zeros(1, np.int64), total)
+            row[at], own_has[at] = shares(n, total), True
     out = []
     for i in range(len(a)):
         for j in range(i + 1, len(a)) if same else range(len(a), len(vectors)):
-            square = (p[i] - p[j]) ** 2
-            for x, y in ((i, j), (j, i)):
-                out.append((a[0][0], vectors[x][0], vectors[y][0], int((square // np.maximum(1, p[y])).sum()), len(ids)))
+            either = np.flatnonzero(has[i] | has[j])
+            x, y = p[i][either], p[j][either]
+            square = ((x - y) ** 2).astype(np.uint64)
+            for first, second, q in ((i, j, y), (j, i, x)):
+                value = int((square // q.astype(np.uint64)).sum()) if len(either) else 0
+                out.append((a[0][0], vectors[first][0], vectors[second][0], value, len(either)))
     return out
 
 
