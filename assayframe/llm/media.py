@@ -2,17 +2,15 @@
 
 Payload bytes are kept losslessly in a RIFF container, as 8-bit mu-law or A-law
 codes, or as the 4-bit codes of IMA ADPCM blocks (64 payload bytes and a header
-each).  Which of them is up to the payload: CRC-32 modulo 16 is below 8 for
-mu-law, below 15 for A-law, 15 for ADPCM (whose PCM is twice as long).  Media are written as a table and read back.
-Decoding expands the codes by a 256-entry table; the ADPCM blocks of many rows
-are decoded together, one step of numpy per sample position across all blocks.
-Decoded audio is resampled to ``PCM_RATE`` by means of neighbours (down) or by
-linear interpolation (up), and written as 16-bit PCM; features are those of the
-stored PCM.
-
-Tables are compressed by zstd, as PCM of 16 bits is twice its codes.  The rate
-is a parameter; half the telephone rate keeps media and PCM within 1.5 times
-the Parquet size of the texts, twice that rate would not.
+each).  Which of them is up to the payload: its CRC-32 modulo 3.  All carry 64
+kbit/s: mu-law and A-law have ``RATE`` samples a second, ADPCM twice as many.
+Media are written as a table and read back.  Decoding expands the codes by a
+256-entry table; the ADPCM blocks of many rows are decoded together, one step of
+numpy per sample position across all blocks.  Decoded audio is resampled to
+``PCM_RATE`` by means of neighbours (down) or by linear interpolation (up), and
+written as 16-bit PCM; features are those of the stored PCM.
+
+Tables are compressed by zstd, as PCM of 16 bits is twice its codes.
 
 Defined cases: null is an empty payload; empty payloads are padded to one
 unit of 64 bytes; long texts are handled row by row; equal payloads give equal
@@ -38,7 +36,7 @@ from .shared import SLICE_BYTES, map_batches, written
 
 UNIT = 64
 RATE = 8000
-PCM_RATE = 4000
+PCM_RATE = 8000
 #: Bytes of an ADPCM block: a header of 4 and the codes.
 BLOCK = UNIT + 4
 #: How media and PCM are written.
@@ -125,12 +123,11 @@ def decode_ima(data: bytes, block: int) -> np.ndarray:
 
 def encode(payload: bytes, kind: str | None = None) -> bytes:
     """The WAV file that keeps a padded payload; the codec is the payload's own unless it is given."""
-    crc = zlib.crc32(payload) % 16
-    kind = kind or ("mulaw" if crc < 8 else "alaw" if crc < 15 else "ima")
+    kind = kind or ("mulaw", "alaw", "ima")[zlib.crc32(payload) % 3]
     if kind == "ima":
         blocks = np.zeros((len(payload) // UNIT, BLOCK), np.uint8)
         blocks[:, 4:] = np.frombuffer(payload, np.uint8).reshape(-1, UNIT)
-        return wav(kind, blocks.tobytes(), block=BLOCK)
+        return wav(kind, blocks.tobytes(), 2 * RATE, BLOCK)
     return wav(kind, payload)
 
 

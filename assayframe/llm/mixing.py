@@ -14,7 +14,7 @@ raised so that the expected sum is still met, but the marginals are not.
 Targets are shares of tokens, as a table or by flattening: a value's share of
 all tokens to a power below 1.  Cells are as many as there are combinations;
 they are a table throughout, broadcast to the documents only after their
-number has been checked.  Targets of several dimensions may contradict each
+number has been checked, or with only the most frequent ones beyond a bound.  Targets of several dimensions may contradict each
 other (a language of one source only): ``marginals`` tells what each value's
 goal was and what it got, and ``rake`` warns, or raises an error if asked to,
 where a marginal is off by more than ``TOLERANCE``.
@@ -22,12 +22,13 @@ where a marginal is off by more than ``TOLERANCE``.
 A document's topic is the one whose marks it holds most often, the first of
 equal ones, if there is a mark for every ``TOPIC_TOKENS`` tokens; else prose.
 
-Sampling compares a hash of doc_id with the unrounded probability, so it is
-the same for every run and partitioning.
+Sampling compares a hash of doc_id and text with the unrounded probability, so
+it is the same for every run and partitioning.
 
 Defined cases: null source, language or topic counts as the empty string;
 null or empty text has 0 tokens, and documents of cells without tokens get
-the probability 0; rows that repeat a doc_id share their fate within a cell;
+the probability 0; rows that repeat a doc_id and its text share their fate within a cell, and so
+do equal texts without a doc_id;
 targets of values that don't occur are left out and the rest scaled up;
 values without a target have weight 0; an empty table stays empty; ``sample``
 keeps all columns of the input as they are, ``calibrated`` replaces those with
@@ -44,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import private, written
+from .shared import looked_up, private, written
 
 DIMENSIONS = ("source", "lang", "topic")
 #: Marks of each topic, as they stand in the text.
@@ -99,10 +100,11 @@ def tokens(text: Column) -> Column:
 
 
 def featured(docs: DataFrame, out: str, topics: Sequence[tuple[str, Sequence[str]]] = TOPICS) -> DataFrame:
-    """docs with a struct column of source, lang, topic and tokens."""
+    """docs with a struct column of source, lang, topic, tokens and a hash of the text, of which the draw is made."""
     text = F.coalesce(F.col("text"), F.lit(""))
     plain = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    made = F.transform(F.array(tokens(text)), lambda n: F.struct(plain("source").alias("source"), plain("lang").alias("lang"), topic(text, n, topics).alias("topic"), n.alias("tokens")))[0]
+    draw = F.md5(text.cast("binary")).alias("draw")
+    made = F.transform(F.array(tokens(text)), lambda n: F.struct(plain("source").alias("source"), plain("lang").alias("lang"), topic(text, n, topics).alias("topic"), n.alias("tokens"), draw))[0]
     return docs.withColumn(out, made)
 
 
@@ -193,10 +195,8 @@ def _decided(base: DataFrame, at: str, targets: Mapping[str, Target], keep_share
     rates = written(probabilities(rake(cells, targets, strict=strict), keep_share, at_most).select(*keys, F.col("probability").alias(probability)), "rates")
     (cell,) = private(base, "cell")
     rates = rates.select(F.struct(*keys).alias(cell), probability)
-    if rates.count() <= BROADCAST_CELLS:
-        rates = F.broadcast(rates)
-    joined = base.withColumn(cell, F.struct(*[F.col(f"{at}.{k}").alias(k) for k in keys])).join(rates, cell, "left").drop(cell).withColumn(probability, F.coalesce(probability, F.lit(0.0)))
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    joined = looked_up(base.withColumn(cell, F.struct(*[F.col(f"{at}.{k}").alias(k) for k in keys])), cell, rates).drop(cell).withColumn(probability, F.coalesce(probability, F.lit(0.0)))
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col(f"{at}.draw"))
     chance = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
     return joined.withColumn(sampled, chance < F.col(probability))
 
@@ -238,8 +238,8 @@ def oracle(targets: Mapping[str, Target] = TARGETS, topics: Sequence[tuple[str,
     kinds = " ".join(f"WHEN {most} = n_{name} THEN {quoted(name)}" for name, _ in topics)
     parts = [
         f"""raw AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, coalesce(text, '') AS t FROM documents)""",
-        f"""counted AS (SELECT doc_id, source, lang, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))::BIGINT AS tokens, {counts} FROM raw)""",
-        f"""docs AS (SELECT doc_id, source, lang, CASE WHEN {most} * {TOPIC_TOKENS} < greatest(tokens, 1) THEN '{OTHER_TOPIC}' {kinds} END AS topic, tokens FROM counted)""",
+        f"""counted AS (SELECT doc_id, source, lang, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))::BIGINT AS tokens, t, {counts} FROM raw)""",
+        f"""docs AS (SELECT doc_id, source, lang, CASE WHEN {most} * {TOPIC_TOKENS} < greatest(tokens, 1) THEN '{OTHER_TOPIC}' {kinds} END AS topic, tokens, t FROM counted)""",
         "cells AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM docs GROUP BY ALL)",
     ]
     for name in DIMENSIONS:
@@ -255,5 +255,5 @@ def oracle(targets: Mapping[str, Target] = TARGETS, topics: Sequence[tuple[str,
             step += 1
     parts.append(f"rates AS (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN (w / tokens) / (SELECT max(w / tokens) FROM w{step} WHERE tokens > 0) ELSE 0 END AS p FROM w{step})")
     return "WITH " + ",\n".join(parts) + f"""
-SELECT doc_id, source, lang, topic, tokens, round(p, 5) AS probability, ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::UBIGINT / 4294967296.0 < p AS sampled
+SELECT doc_id, source, lang, topic, tokens, round(p, 5) AS probability, ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(t)), 1, 8))::UBIGINT / 4294967296.0 < p AS sampled
 FROM docs JOIN rates USING (source, lang, topic)"""

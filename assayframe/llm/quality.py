@@ -46,6 +46,8 @@ BAD, NONE, GOOD = 0, 1, 2
 #: Start and prior of the chances of bad, no and good votes on bad and on good documents; the prior's share of all votes.
 START = ((0.4, 0.1, 0.5), (0.001, 0.14, 0.859))
 PRIOR = 0.01
+#: Share of good documents to begin with, and of the prior.
+SHARE = 0.8
 
 _LETTER_UP, _LETTER_LOW, _DIGIT, _STOP, _BAR, _BANG, _MARK = range(7)
 
@@ -128,14 +130,14 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tup
     cast = (vote[:, :, None] == np.arange(3)).astype(float)
     prior = np.array(START)
     chances = np.tile(prior[:, None, :], (1, len(LABELLERS), 1))
-    share, good = 0.8, np.zeros(len(patterns))
+    share, good = SHARE, np.zeros(len(patterns))
     for _ in range(rounds):
         log = np.einsum("plv,clv->pc", cast, np.log(chances))
         good = 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1] - np.log(share / (1 - share)), -500, 500)))
         for c, belongs in ((0, 1 - good), (1, good)):
             seen = np.einsum("plv,p->lv", cast, belongs * counts) + PRIOR * counts.sum() * prior[c]
             chances[c] = seen / seen.sum(axis=1, keepdims=True)
-        share = float(np.clip((good * counts).sum() / max(1, counts.sum()), 0.01, 0.99))
+        share = float(((good * counts).sum() + PRIOR * counts.sum() * SHARE) / (max(1, counts.sum()) * (1 + PRIOR)))
     return good, chances, share
 
 

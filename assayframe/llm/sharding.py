@@ -5,13 +5,15 @@ Rows get global numbers 0..N-1 in a fixed order, a Feistel permutation of
 by the shard count are the shard and the slot.  Counts of shards differ by
 one row at most (the ``rows`` law), and slots have no gaps.
 
-The order is by a hash bucket of the row's key columns, then by those
-columns.  It depends on the rows alone, not on partitions: a lost executor's
+For ``digest`` the order is by a hash bucket of the row's key columns, then by
+those columns.  It depends on the rows alone, not on partitions: a lost executor's
 work gives the same numbers again.  Narrow rows of the keys are written once
 and numbered within their bucket.  Buckets are counted first (map-side sums),
 and their counts are put in order in two steps, so that the single task of the
 last one has a line for each ``BUCKET_ROWS * BUCKETS`` rows.
 
+``assign_shards`` numbers whole rows as they are written, so they stay in place.
+
 Rows that are equal in all key columns would share a bucket.  Where one key
 has more than ``BUCKET_ROWS`` rows, they are dealt into several buckets.
 
@@ -45,6 +47,8 @@ BUCKETS = 1000
 #: WALK**2 rows always end in time; above, a step stays outside with a chance
 #: under 1/sqrt(N), and a walk that doesn't end raises an error.
 WALK = 64
+#: Bits of monotonically_increasing_id that are a row's place in its partition.
+_PLACE_BITS = 33
 
 
 def feistel_sides(n: int) -> tuple[int, int]:
@@ -77,10 +81,19 @@ def permute(x: Column, n: int, seed: int) -> Column:
     return F.when(out < n, out).otherwise(F.raise_error(F.lit("cycle walk did not end")).cast("long"))
 
 
+def _before(counts: DataFrame, key: str, out: str) -> DataFrame:
+    """(key, rows before it) of a table (key, n), in the order of whole-number keys, summed up in two steps."""
+    grouped = counts.withColumn("_group", F.floor(F.col(key) / BUCKETS))
+    sums = grouped.groupBy("_group").agg(F.sum("n").alias("_s"))
+    sums = sums.select("_group", (F.sum("_s").over(Window.orderBy("_group")) - F.col("_s")).alias("_s"))
+    own = F.sum("n").over(Window.partitionBy("_group").orderBy(key)) - F.col("n")
+    return grouped.withColumn(out, own).join(sums, "_group").select(key, (F.col(out) + F.col("_s")).alias(out))
+
+
 def global_numbers(rows: DataFrame, keys: list[str], number: str) -> tuple[DataFrame, int]:
     """Number written rows 0..N-1 by (hash bucket of keys, keys); returns the numbered rows and N."""
     n = rows.count()
-    salt, bucket, inside, before, group = private(rows, "salt", "bucket", "inside", "before", "group")
+    salt, bucket, inside, before = private(rows, "salt", "bucket", "inside", "before")
     buckets = max(1, -(-n // BUCKET_ROWS))
     placed = rows.withColumn(bucket, F.pmod(F.xxhash64(*keys), F.lit(buckets)))
     full = placed.groupBy(bucket).agg(F.count("*").alias("n")).where(F.col("n") > 2 * BUCKET_ROWS).select(bucket)
@@ -94,11 +107,7 @@ def global_numbers(rows: DataFrame, keys: list[str], number: str) -> tuple[DataF
         dealt = dealt.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.coalesce(F.col(salt), F.lit(1))))
         moved = F.when(F.col(salt) == 0, F.col(bucket)).otherwise(F.pmod(F.xxhash64(*keys, F.col(salt)), F.lit(buckets)))
         placed = written(dealt.withColumn(bucket, moved).drop(salt), "sharding-buckets")
-    counts = placed.groupBy(bucket).agg(F.count("*").alias("n")).withColumn(group, F.floor(F.col(bucket) / BUCKETS))
-    sums = counts.groupBy(group).agg(F.sum("n").alias("s"))
-    sums = sums.select(group, (F.sum("s").over(Window.orderBy(group)) - F.col("s")).alias("s"))
-    own = F.sum("n").over(Window.partitionBy(group).orderBy(bucket)) - F.col("n")
-    offsets = counts.withColumn(before, own).join(sums, group).select(bucket, (F.col(before) + F.col("s")).alias(before))
+    offsets = _before(placed.groupBy(bucket).agg(F.count("*").alias("n")), bucket, before)
     numbered = placed.withColumn(inside, F.row_number().over(Window.partitionBy(bucket).orderBy(*keys)))
     offsets = F.broadcast(offsets) if buckets <= BROADCAST_ROWS else offsets
     return numbered.join(offsets, bucket).withColumn(number, F.col(before) + F.col(inside) - 1).drop(bucket, inside, before), n
@@ -129,18 +138,23 @@ def digest(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFrame:
 
 
 def assign_shards(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFrame:
-    """docs with shard and slot.
+    """docs with shard and slot, without a shuffle of its rows at any size.
 
-    docs is written with a row id first, so that its rows can't change theirs;
-    numbers are made from narrow rows, and whole rows meet theirs by their id:
-    in a broadcast if they are few, else they are shuffled once.  Which of several rows equal in doc_id and text
-    gets which of their slots is arbitrary.
+    docs is written with the place of each row, its partition and its place in
+    it.  A row's global number is what lies in the partitions before plus its
+    place; these counts have a line for each written partition and are all that
+    is joined.  The written table fixes the numbers: a lost executor's work
+    gives the same ones again.
     """
     own = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
-    (row,) = private(docs, "row")
+    row, part, before, mixed = private(docs, "row", "part", "before", "mixed")
     base = written(docs.select(*own, F.monotonically_increasing_id().alias(row)), "sharding-rows")
-    narrow = written(base.select(row, F.col("doc_id").alias("doc_id"), _size().alias("size"), _crc().alias("text_crc32")), "sharding-keys")
-    placed = assign(narrow, ["doc_id", "text_crc32", "size"], shards, seed).select(row, "shard", "slot")
-    # a line of three numbers for each row: up to BROADCAST_ROWS of them whole rows needn't be shuffled
-    placed = F.broadcast(placed) if narrow.count() <= BROADCAST_ROWS else placed
-    return base.join(placed, row).select(*own, "shard", "slot")
+    placed = base.withColumn(part, F.shiftright(row, _PLACE_BITS))
+    counts = written(placed.groupBy(part).agg(F.count("*").alias("n")), "sharding-counts")
+    n = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
+    offsets = _before(counts, part, before)
+    offsets = F.broadcast(offsets) if counts.count() <= BROADCAST_ROWS else offsets
+    number = F.col(before) + F.col(row).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    shuffled = placed.join(offsets, part).withColumn(mixed, permute(number, max(1, n), seed))
+    shard = F.pmod(F.col(mixed), F.lit(shards))
+    return shuffled.select(*own, shard.cast("int").alias("shard"), F.floor((F.col(mixed) - shard) / F.lit(shards)).cast("long").alias("slot"))

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 import weakref
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,7 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: cuts lineage, survives lost executors."""
     path = f"{_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
+    _log.append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     _paths[id(out)] = path
     weakref.finalize(out, _paths.pop, id(out), None)
@@ -57,6 +59,21 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
 
 
 _paths: dict[int, str] = {}
+#: All tables that were written, in order.
+_log: list[str] = []
+
+
+@contextmanager
+def tidied(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Delete the tables that are written inside, but for those that are put into the list."""
+    begin, keep = len(_log), []
+    yield keep
+    left = {path for df in keep for path in [_paths.get(id(df))] if path}
+    for path in _log[begin:]:
+        if path not in left:
+            _delete(spark, path)
+    _log[begin:] = [x for x in _log[begin:] if x in left]
+
 
 
 def unwritten(table: DataFrame) -> None:

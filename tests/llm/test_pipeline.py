@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import zlib
 from collections import Counter
@@ -85,12 +86,18 @@ def test_run_matches_plain_stages(spark, tmp_path):
         cells[key] += len(r[1].split())
     weight = raked(cells)
     rate = min(1 / max(weight[k] / n for k, n in cells.items()), corpus_pipeline.KEEP_SHARE * sum(cells.values()) / sum(weight.values()))
-    chance = lambda doc: int(hashlib.md5(f"0:{'' if doc is None else doc}".encode()).hexdigest()[:8], 16) / 2**32
-    sampled = [r for key, r in zip(place, clean, strict=True) if chance(r[0]) < min(1.0, rate * weight[key] / cells[key])]
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    chance = lambda doc, text: int(md5(f"0:{'' if doc is None else doc}:{md5(text or '')}")[:8], 16) / 2**32
+    sampled = [r for key, r in zip(place, clean, strict=True) if chance(r[0], r[1]) < min(1.0, rate * weight[key] / cells[key])]
     assert 0 < len(sampled) < len(clean)
     assert Counter(tuple(r)[:5] for r in got) == Counter(sampled)
     law_of_rows([(r.shard, r.slot) for r in got], corpus_pipeline.SHARDS)
     assert decontam.Q == 8
+    # of all that the stages have written only what the result reads is left
+    left = {f.split("/assayframe-")[1].split("/")[1] for f in out.inputFiles()}
+    place = shared._folder(spark).removeprefix("file://")
+    assert len(left) == 2 and {x for x in os.listdir(place) if x.startswith(("pipeline-", "sharding-", "features-", "rates-"))} >= left
+    assert not [x for x in os.listdir(place) if x.startswith("pipeline-")]
 
 
 def test_stages_take_odd_tables(spark, tmp_path):

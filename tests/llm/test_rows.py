@@ -110,6 +110,20 @@ def test_mixing_odd_tables(spark, empty):
     assert [r.sampled for r in mixing.calibrated(df).collect()] == [False, False]
 
 
+def test_rows_without_an_id_are_drawn_by_their_text(spark):
+    docs = spark.createDataFrame([(None, f"row {i} of many", "en", "hot" if i % 2 else f"s{i % 7}") for i in range(400)], "doc_id long, text string, lang string, source string")
+    kept = mixing.sample(docs, at_most=0.5).count()
+    assert 120 < kept < 280
+
+
+def test_cells_beyond_the_broadcast_bound(spark, docs, monkeypatch):
+    from assayframe.llm import shared
+
+    want = Counter(map(str, mixing.digest(docs).collect()))
+    monkeypatch.setattr(shared, "BROADCAST_ROWS", 3)
+    assert Counter(map(str, mixing.digest(docs).collect())) == want
+
+
 # -- language ID ----------------------------------------------------------------------------------------------------
 
 
@@ -415,17 +429,17 @@ def plain_ima(block):
 
 
 def plain_media(payload):
-    """(codec, WAV file, samples at 4000 Hz) of a padded payload, byte by byte."""
-    crc = zlib.crc32(payload) % 16
-    kind = "mulaw" if crc < 8 else "alaw" if crc < 15 else "ima"
+    """(codec, WAV file, samples at 8000 Hz) of a padded payload, byte by byte."""
+    kind = ("mulaw", "alaw", "ima")[zlib.crc32(payload) % 3]
     data, fmt = payload, struct.pack("<HHIIHHH", {"mulaw": 7, "alaw": 6}.get(kind, 17), 1, 8000, 8000, 1, 8, 0)
     if kind == "ima":
         data = b"".join(bytes(4) + payload[i : i + 64] for i in range(0, len(payload), 64))
-        fmt = struct.pack("<HHIIHHH", 17, 1, 8000, 4000, 68, 4, 0)
+        fmt = struct.pack("<HHIIHHH", 17, 1, 16000, 8000, 68, 4, 0)
     body = b"WAVEfmt " + struct.pack("<I", 18) + fmt + b"fact" + struct.pack("<II", 4, len(data)) + b"data" + struct.pack("<I", len(data)) + data
     samples = [x for i in range(0, len(data), 68) for x in plain_ima(data[i : i + 68])] if kind == "ima" else [{"mulaw": plain_mulaw, "alaw": plain_alaw}[kind](c) for c in payload]
-    half = [sum(samples[i : i + 2]) // len(samples[i : i + 2]) for i in range(0, len(samples), 2)]
-    return kind, b"RIFF" + struct.pack("<I", len(body)) + body, half
+    if kind == "ima":
+        samples = [sum(samples[i : i + 2]) // len(samples[i : i + 2]) for i in range(0, len(samples), 2)]
+    return kind, b"RIFF" + struct.pack("<I", len(body)) + body, samples
 
 
 def test_media_matches_a_plain_codec(docs, corpus, empty):
@@ -438,7 +452,7 @@ def test_media_matches_a_plain_codec(docs, corpus, empty):
         assert (r.media_bytes, r.media_sha256) == (len(wav), hashlib.sha256(wav).hexdigest())
         turns = sum((a < 0) != (b < 0) for a, b in zip(pcm[1:], pcm, strict=False))
         crc = zlib.crc32(struct.pack(f"<{len(pcm)}h", *pcm))
-        assert r.feature == f"codec={kind};rate=4000;samples={len(pcm)};peak={max(map(abs, pcm))};power={sum(x * x for x in pcm) // len(pcm)};turns={turns};crc={crc:08x}"
+        assert r.feature == f"codec={kind};rate=8000;samples={len(pcm)};peak={max(map(abs, pcm))};power={sum(x * x for x in pcm) // len(pcm)};turns={turns};crc={crc:08x}"
         assert seen.setdefault(text, r.feature) == r.feature
         kinds[kind] += 1
     assert len(kinds) == 3 and media.digest(empty).count() == 0
@@ -506,6 +520,18 @@ def test_shards_with_buckets_and_clashes(spark, docs, monkeypatch):
     assert Counter(r.text for r in rows) == Counter(r.text for r in docs.collect())
 
 
+def test_shards_are_assigned_without_a_shuffle(spark, docs, monkeypatch):
+    """Whatever the number of rows: the plan has no exchange but the broadcast of the partitions' counts."""
+    monkeypatch.setattr(sharding, "BUCKETS", 2)
+    named = docs.select("doc_id", "text").union(docs.select("doc_id", "text")).repartition(9)
+    out = sharding.assign_shards(named, 7)
+    law_of_rows([(r.shard, r.slot) for r in out.collect()], 7)
+    tree = out._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.count("Join") == 2 and "RepartitionByExpression" not in tree
+    above = out._jdf.queryExecution().sparkPlan().toString().split("BroadcastHashJoin")[0]
+    assert "Exchange" not in above
+
+
 def test_shards_keep_own_columns(spark):
     rows = [(i, f"text {i}", -i, "size", i / 2, "F") for i in range(50)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _crc long, _size string, _first double, Slot string")
