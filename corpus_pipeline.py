@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from assayframe.llm import decontam, jaccard, langid, mixing, sharding
-from assayframe.llm.shared import written
+from assayframe.llm.shared import tidied, unwritten, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -60,7 +60,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in a row.  What a stage has written is deleted when its own result is, and that when the next one's is."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        with tidied(spark) as keep:
+            out = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            keep.append(out)
+        unwritten(docs)
+        docs = out
+    last = STAGES[-1][1](spark, docs, sf_dir)  # it has written its rows, and reads them only
+    unwritten(docs)
+    return last
