@@ -108,9 +108,8 @@ def shares(n: np.ndarray, total: int) -> np.ndarray:
     return 1 + x // total * (SCALE // 10_000) + x % total * (SCALE // 10_000) // total
 
 
-def _packed(ids: list, counts: list) -> bytes:
+def _packed(ids: np.ndarray, counts: np.ndarray) -> bytes:
     """A vector of a block: its terms' numbers as differences, and their counts."""
-    ids, counts = np.array(ids, np.int64), np.array(counts, np.int64)
     order = np.argsort(ids)
     return zlib.compress(np.concatenate([np.diff(ids[order], prepend=0), counts[order]]).tobytes(), 1)
 
@@ -246,11 +245,13 @@ def audit(docs: DataFrame, least: int = LEAST, top: int = TOP, block_terms: int
     places = groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(vectors, ["lang", "source", "block"], "left")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
         for batch in batches:
-            made = [_packed([y["id"] for y in x.as_py() or ()], [y["n"] for y in x.as_py() or ()]) for x in batch.column(5)]
+            pairs = zip(*(batch.column(i) for i in (5, 6)), strict=True)
+            made = [_packed(*(none if x.values is None else x.values.to_numpy() for x in pair)) for pair in pairs]
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(made, pa.binary())], [*batch.schema.names[:5], "vector"])
 
-    packed = map_batches(places.select("lang", "block", "seat", "source", "total", "v"), pack, "lang string, block int, seat int, source string, total long, vector binary")
+    packed = map_batches(places.select("lang", "block", "seat", "source", "total", "v.id", "v.n"), pack, "lang string, block int, seat int, source string, total long, vector binary")
     sums = tournament(written(packed, "vectors"), max(1, seats))
     pair = sums.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"), F.sum("terms").alias("met"))
     zero = lambda total: F.when(F.col(total) > 0, share(F.lit(0), F.col(total))).otherwise(F.lit(1))
