@@ -380,9 +380,10 @@ class Model:
     def text(self, ids: Iterable[int] | None) -> str:
         """The text that ids decode to; the white space put in front is taken away."""
         ids = list(ids or ())
-        visible = next((x for x in ids if 0 <= x < len(self.texts) and self.texts[x] is not None), None)
         out = self.spelled(ids).decode()
-        return out[1:] if visible is not None and (self.texts[visible] or b"").startswith(b" ") else out
+        # control pieces are silent, bytes are not
+        first = next((x for x in ids if self.texts[x] is not None or x in self._bytes), None)
+        return out[1:] if first is not None and (self.texts[first] or b"").startswith(b" ") else out
 
 
 def _readable(loose: bytes) -> bytes:
