@@ -245,14 +245,12 @@ class Model:
         """Whether no merge across the border of two tokens comes first, going back through their own merges."""
         names, pieces, made = self.names, self.pieces, self.made
         whole = [names[before], names[after]]
-        if before not in made or after not in made:
-            return self.merged("".join(whole)) == whole
         gone_before = gone_after = len(pieces)  # when the two parts at the border are merged into longer ones
         while True:
             across = pieces.get(names[before] + names[after])
+            if before not in made or after not in made or (across and across[0] not in made):
+                return self.merged("".join(whole)) == whole
             if across is not None:
-                if across[0] not in made:
-                    return self.merged("".join(whole)) == whole
                 when = made[across[0]][0]
                 # of equal ones the leftmost is first: that within the first token, then that across
                 if when < gone_before and when <= gone_after:
