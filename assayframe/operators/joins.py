@@ -40,7 +40,7 @@ def lookup(df: DataFrame, table: DataFrame, key: str, columns: Sequence[str], or
 
 
 def enrich_from_shards(df: DataFrame, shards: Sequence[DataFrame], key: str, columns: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Left join to the union of shard tables, the first row of a key kept."""
+    """Left join to the union of shard tables, the first row of a key kept (``shards`` has the way for many and large ones)."""
     table = shards[0]
     for s in shards[1:]:
         table = table.unionByName(s, allowMissingColumns=True)

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayframe.functions import nested, records, text
-from assayframe.operators import columns, dedupe, joins, order, reshape, statistics, terms
-from assayframe.sources import readers, runs, sinks
+from assayframe.operators import columns, dedupe, joins, order, reshape, shards, statistics, terms
+from assayframe.sources import collectors, readers, runs, sinks
 
 from .registry import ORACLES, QUERIES, query, r6, s6
 
@@ -232,12 +232,72 @@ def k6_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.changed_only(count(rows), count(rows.where("o_orderpriority <> '1-URGENT' or o_orderstatus is null")), ["o_orderpriority", "o_orderstatus"])
 
 
-QUERIES |= {f.__name__: f for f in (s2_delimited, s4_tree, s8_ledger, k3_partitions, k4_documents, k6_changes)}
+def _yearly_shards(spark: SparkSession, sf_dir: str) -> tuple[shards.Bucketed, shards.Bucketed, list[str]]:
+    """Parts, and line items cut into a shard for each year: the early ones name the amount otherwise and have no price."""
+    items, parts = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("lineitem", "part"))
+    items = items.select("l_partkey", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", F.year("l_shipdate").alias("year"))
+    cut = []
+    for year in range(1992, 1999):
+        own = items.where(F.col("year") == year).drop("year").withColumnsRenamed({"l_partkey": "p_partkey"})
+        early = own.drop("l_extendedprice").withColumnRenamed("l_quantity", "amount")
+        cut.append(shards.Shard(early, {"amount": "quantity"}) if year < 1995 else shards.Shard(own, {"l_quantity": "quantity", "l_extendedprice": "price"}))
+    left = shards.bucketed(parts.select("p_partkey", "p_brand"), "p_partkey", 8)
+    order = {"l_orderkey": "long", "l_linenumber": "int"}
+    return left, shards.stacked(cut, "p_partkey", {"quantity": "double", "price": "double"}, order, 8), [*order, "quantity"]
+
+
+def j4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first amount and price of each part over yearly shards; what early shards lack later ones fill."""
+    left, stacked, order = _yearly_shards(spark, sf_dir)
+    return shards.enriched(left, stacked, ["quantity", "price"], order, spark)
+
+
+def j5_matched_by_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with the first row of each shard that has them."""
+    left, stacked, order = _yearly_shards(spark, sf_dir)
+    return shards.matched(left, stacked, ["quantity", "price"], order, spark).withColumnRenamed("_shard", "shard")
+
+
+def _titles(html: str) -> list[dict]:
+    title = html.split("<title>", 1)[1].split("</title>", 1)[0]
+    return [{"value": title, "n": len(title)}]
+
+
+def _links(html: str) -> list[dict]:
+    return [{"value": part.split('"', 1)[0]} for part in html.split('<a href="')[1:]]
+
+
+def _strict(html: str) -> list[dict]:
+    if "</p>" not in html.rpartition("<article>")[2]:
+        raise ValueError("an open paragraph")
+    return [{"value": "", "n": 1}] if "<br>" in html else [{"value": "whole", "n": 1}]
+
+
+def x1_collectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three collectors over all pages, one of which fails on some: records and failures of each."""
+    own = [collectors.Collector("titles", "value string, n int", _titles, required=["value"]), collectors.Collector("links", "value string", _links), collectors.Collector("strict", "value string, n int", _strict, required=["value"])]
+    pages, place = _places(spark, sf_dir, "pages")
+    raw = runs.add_run(collectors.collected_from(pages, own, "page_id", "html"), f"{place}/outcomes")
+    got = collectors.all_records(raw, own).groupBy("source", "item").agg(F.count("*").alias("records"), F.max("value").alias("value"))
+    failed = collectors.failures(raw).select("source", "item", F.lit(0).cast("long").alias("records"), F.col("error").alias("value"))
+    return got.unionByName(failed)
+
+
+QUERIES |= {f.__name__: f for f in (s2_delimited, s4_tree, s8_ledger, k3_partitions, k4_documents, k6_changes, j4_shards, j5_matched_by_shard, x1_collectors)}
 ORACLES |= {
     "s2_delimited": "SELECT p_partkey, p_name AS product_name, p_size FROM part",
     "s4_tree": "SELECT o_orderkey, o_orderpriority AS priority FROM orders WHERE o_orderstatus IN ('F', 'O')",
     "s8_ledger": "SELECT s_suppkey::VARCHAR AS key, s_name FROM supplier",
     "k3_partitions": "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'first' ELSE 'second' END AS v, year(o_orderdate)::INT AS year FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0",
     "k4_documents": "SELECT c_custkey AS id, CASE WHEN c_custkey % 5 = 0 THEN 'third' WHEN c_custkey % 2 = 0 THEN 'first' ELSE 'second' END AS v FROM customer WHERE c_custkey % 5 = 0 OR c_custkey % 2 = 0 OR c_custkey % 3 = 0",
+    "j4_shards": """SELECT p_partkey, p_brand, arg_min(l_quantity, row(year(l_shipdate), l_orderkey, l_linenumber, l_quantity)) AS quantity,
+        arg_min(l_extendedprice, row(year(l_shipdate), l_orderkey, l_linenumber, l_quantity)) FILTER (WHERE year(l_shipdate) >= 1995) AS price FROM part LEFT JOIN lineitem ON l_partkey = p_partkey AND year(l_shipdate) BETWEEN 1992 AND 1998 GROUP BY ALL""",
+    "j5_matched_by_shard": """SELECT p_partkey, p_brand, (year(l_shipdate) - 1992)::INT AS shard, arg_min(l_quantity, row(l_orderkey, l_linenumber, l_quantity)) AS quantity,
+        CASE WHEN year(l_shipdate) >= 1995 THEN arg_min(l_extendedprice, row(l_orderkey, l_linenumber, l_quantity)) END AS price FROM part JOIN lineitem ON l_partkey = p_partkey WHERE year(l_shipdate) BETWEEN 1992 AND 1998 GROUP BY p_partkey, p_brand, year(l_shipdate)""",
+    "x1_collectors": """WITH p AS (SELECT page_id::VARCHAR AS item, html, list_transform(string_split(html, '<a href="')[2:], lambda x: string_split(x, '"')[1]) AS links, string_split(string_split(html, '<title>')[2], '</title>')[1] AS title,
+        contains(string_split(html, '<article>')[-1], '</p>') AS closed FROM pages)
+        SELECT 'titles' AS source, item, (title <> '')::BIGINT AS records, CASE WHEN title = '' THEN 'missing: value' ELSE title END AS value FROM p
+        UNION ALL SELECT 'links', item, len(links), list_max(links) FROM p WHERE len(links) > 0
+        UNION ALL SELECT 'strict', item, (closed AND NOT contains(html, '<br>'))::BIGINT, CASE WHEN NOT closed THEN 'ValueError: an open paragraph' WHEN contains(html, '<br>') THEN 'missing: value' ELSE 'whole' END FROM p""",
     "k6_changes": "SELECT o_orderpriority, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS o_orderstatus, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus <> 'P' GROUP BY ALL",
 }
