@@ -18,12 +18,22 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: T.St
     """Delimited text with a header, projected to the schema's columns and renamed.
 
     ``skip_bad`` drops lines that don't fit; ``missing_ok`` gives an empty
-    table where there is no such path.
+    table where there is no such path.  Files of little-endian UTF-16 with
+    lines that end with CR LF are split too (no line's end inside a value, and
+    header names are not compared); other UTF-16 files are one task each.
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    wide = encoding.upper().startswith("UTF-16")
-    reader = spark.read.schema(schema).option("header", True).option("sep", sep).option("encoding", encoding).option("enforceSchema", False)
-    reader = reader.option("mode", "DROPMALFORMED" if skip_bad else "PERMISSIVE").option("multiLine", wide)
+    reader = spark.read.schema(schema).option("header", True).option("sep", sep).option("mode", "DROPMALFORMED" if skip_bad else "PERMISSIVE")
+    if encoding.upper().startswith("UTF-16"):
+        order, ends = wide_format(spark, paths if isinstance(paths, str) else next(iter(paths)), encoding)
+        if order == "UTF-16LE" and ends == "\r\n":
+            # as bytes, this line's end can't begin in the middle of a character: U+0A00 is none
+            # the byte order mark stands before the first header, which is not compared then
+            reader = reader.option("encoding", order).option("lineSep", ends)
+        else:
+            reader = reader.option("encoding", encoding).option("enforceSchema", False).option("multiLine", True)
+    else:
+        reader = reader.option("encoding", encoding).option("enforceSchema", False)
     try:
         df = reader.csv(list(paths) if not isinstance(paths, str) else paths)
     except Exception as problem:
@@ -33,6 +43,25 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: T.St
     return df.withColumnsRenamed(dict(rename or {}))
 
 
+def wide_format(spark: SparkSession, path: str, encoding: str = "UTF-16", looked_at: int = 1 << 16) -> tuple[str, str]:
+    """(UTF-16LE or UTF-16BE, the end of the first line) of the first file below a path, by its byte order mark; big without one."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    named = encoding.upper() if encoding.upper() in ("UTF-16LE", "UTF-16BE") else None
+    for found in files.globStatus(place) or []:
+        own = [found] if found.isFile() else sorted((x for x in files.listStatus(found.getPath()) if x.isFile() and x.getLen() and x.getPath().getName()[0] not in "_."), key=lambda x: x.getPath().getName())
+        for file in own[:1]:
+            stream = files.open(file.getPath())
+            try:
+                head = bytes(stream.readNBytes(looked_at))
+            finally:
+                stream.close()
+            order = named or ("UTF-16LE" if head[:2] == b"\xff\xfe" else "UTF-16BE")
+            first = head[: len(head) // 2 * 2].decode(order, "replace").partition("\n")[0]
+            return order, "\r\n" if first.endswith("\r") else "\n"
+    return named or "UTF-16BE", "\n"
+
+
 def read_tree(spark: SparkSession, root: str, schema: T.StructType | str, pattern: str = "*.csv", skip: str | None = None, rename: Mapping[str, str] | None = None, **options) -> DataFrame:
     """All files below a folder whose names fit a pattern, but for those that hold ``skip`` (any case); options as separator and encoding."""
     reader = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).options(**options)
@@ -82,28 +111,49 @@ def read_api_table(spark: SparkSession, path: str, columns: Sequence[str]) -> Da
 def read_report(spark: SparkSession, path: str, sections: Mapping[str, str], date: str = r"^(\d{1,2}/\d{1,2}/\d{4})\s+(.*)$", analyte: str = r"^(.+?)\s+([<>]?[0-9.]+|ND|Pass|Fail)\s*(\S*)$", skip: Sequence[str] = ()) -> DataFrame:
     """Samples of report-layout text: a date line starts one, section headers lead analyte lines.
 
-    ``sections`` gives the analysis of each header text.  Lines are numbered
-    within their file (a file is one unit), counts of date lines before them
-    number the samples, and each analyte takes the last header before it.
+    ``sections`` gives the analysis of each header text.  Files are split, and
+    lines are put in order within their split.  A split is read with what the
+    splits of its file before it leave behind: how many samples have begun, and
+    the last header of the sample that is open.  These are one line for each
+    split, so a large file is many tasks.
     """
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    lines = files.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("at", "line")).withColumn("line", F.trim("line")).where("line <> ''")
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"))
+    lines = raw.select("file", "split", "at", F.trim(F.regexp_replace("value", r"\r$", "")).alias("line")).where("line <> ''")
     for text in skip:
         lines = lines.where(~F.contains("line", F.lit(text)))
-    before = Window.partitionBy("file").orderBy("at")
     header = F.coalesce(*[F.when(F.lower("line") == name.lower(), F.lit(kind)) for name, kind in sections.items()])
     lines = lines.withColumns({"starts": F.col("line").rlike(date), "header": header})
-    lines = lines.withColumns({"sample": F.sum(F.col("starts").cast("int")).over(before), "analysis": F.last("header", ignorenulls=True).over(before.rowsBetween(Window.unboundedPreceding, 0))}).where("sample > 0")
+    before = carried(lines)
+    order = Window.partitionBy("file", "split").orderBy("at")
+    # what a line's state is within its split: a date line ends the header that was open
+    state = F.when(F.col("starts"), F.lit("")).otherwise(F.col("header"))
+    own = lines.withColumns({"begun": F.sum(F.col("starts").cast("int")).over(order), "open": F.last(state, ignorenulls=True).over(order)})
+    own = own.join(F.broadcast(before), ["file", "split"], "left")
+    own = own.withColumns({"sample": F.col("begun") + F.coalesce("begun_before", F.lit(0)), "analysis": F.nullif(F.coalesce("open", "open_before"), F.lit(""))}).where("sample > 0")
     head = F.when(F.col("starts"), F.struct(F.regexp_extract("line", date, 1).alias("date"), F.regexp_extract("line", date, 2).alias("product_name")))
     value = F.struct("analysis", F.trim(F.regexp_extract("line", analyte, 1)).alias("name"), F.regexp_extract("line", analyte, 2).alias("value"), F.regexp_extract("line", analyte, 3).alias("units"))
-    result = F.when(~F.col("starts") & F.col("header").isNull() & F.col("analysis").isNotNull() & F.col("line").rlike(analyte), F.struct("at", value.alias("result")))
+    place = [F.col("split"), F.col("at")]
+    result = F.when(~F.col("starts") & F.col("header").isNull() & F.col("analysis").isNotNull() & F.col("line").rlike(analyte), F.struct(*place, value.alias("result")))
     # a product name that is too long goes on in the lines before the first header
-    wrapped = F.when(~F.col("starts") & F.col("header").isNull() & F.col("analysis").isNull(), F.struct("at", "line"))
-    grouped = lines.groupBy("file", "sample").agg(F.max(head).alias("head"), F.array_sort(F.collect_list(result)).alias("r"), F.array_sort(F.collect_list(wrapped)).alias("w"))
+    wrapped = F.when(~F.col("starts") & F.col("header").isNull() & F.col("analysis").isNull(), F.struct(*place, "line"))
+    grouped = own.groupBy("file", "sample").agg(F.max(head).alias("head"), F.array_sort(F.collect_list(result)).alias("r"), F.array_sort(F.collect_list(wrapped)).alias("w"))
     name = F.array_join(F.concat(F.array("head.product_name"), F.transform("w", lambda x: x["line"])), " ")
     return grouped.select("file", "sample", F.col("head.date").alias("date"), F.trim(name).alias("product_name"), F.transform("r", lambda x: x["result"]).alias("results"))
 
 
+def carried(lines: DataFrame) -> DataFrame:
+    """(file, split, begun_before, open_before): what the splits of a file before each one leave behind, from lines (file, split, at, starts, header).
+
+    Each split leaves the number of its date lines and the last of its states:
+    a header, or '' after a date line.  The order of splits is within a file, of
+    one line for each of them.
+    """
+    state = F.when(F.col("starts"), F.lit("")).otherwise(F.col("header"))
+    left = lines.groupBy("file", "split").agg(F.sum(F.col("starts").cast("int")).alias("begun"), F.max_by(state, F.when(state.isNotNull(), F.col("at"))).alias("open"))
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    return left.select("file", "split", F.sum("begun").over(earlier).alias("begun_before"), F.last("open", ignorenulls=True).over(earlier).alias("open_before"))
+
+
 def page_fields(html: Column) -> dict[str, Column]:
     """Title, links and visible text of a page."""
     bare = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1>", " "), "<[^>]+>", " ")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from assayframe.sources import readers, sinks
@@ -98,3 +99,45 @@ def test_incremental(spark, tmp_path):
     each = incremental.publish_unseen(f"{place}/docs", f"{place}/done", "k")
     incremental.run_available(incremental.new_files(spark, str(source), schema), f"{place}/c2", each=each)
     assert spark.read.parquet(f"{place}/docs").count() == 3
+
+
+@pytest.mark.parametrize(("order", "end", "tasks"), [("utf-16-le", "\r\n", 6), ("utf-16-be", "\r\n", 1), ("utf-16-le", "\n", 1)])
+def test_wide_files_are_split(spark, tmp_path, order, end, tasks):
+    """One file of UTF-16 with characters whose bytes look like a line's end: the rows of a plain reading, by many tasks where that is safe."""
+    rows = [(i, f"näme {i} ਅĀ മ", i / 4) for i in range(4000)]
+    path = tmp_path / "x.tsv"
+    path.write_bytes((f"\ufeffid\tname\tvalue{end}" + "".join(f"{a}\t{b}\t{c}{end}" for a, b, c in rows)).encode(order))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = readers.read_delimited(spark, str(path), "id long, name string, value double", {"name": "label"}, sep="\t", encoding="UTF-16")
+        assert df.rdd.getNumPartitions() >= tasks
+        assert sorted(map(tuple, df.collect())) == rows and df.columns == ["id", "label", "value"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_reports_are_split(spark, tmp_path):
+    """Samples, headers and wrapped names that lie across the splits of a file: as of one reading."""
+    text, want = ["a line before all"], []
+    for i in range(120):
+        text += [f"{i % 12 + 1}/{i % 28 + 1}/2024 Product {i}"] + (["with a long name"] if i % 5 == 0 else [])
+        want.append([f"Product {i}" + (" with a long name" if i % 5 == 0 else ""), []])
+        for name, kind in (("Cannabinoids", "potency"), ("Terpenes", "terpenes"))[: i % 3]:
+            text.append(name)
+            for k in range(i % 7):
+                text.append(f"analyte {k}  {k}.5 mg/g")
+                want[-1][1].append((kind, f"analyte {k}", f"{k}.5", "mg/g"))
+            text.append("page 1 of 9")
+    for name in ("a.txt", "b.txt"):
+        (tmp_path / name).write_text("\n".join(text))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("300", "1g"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            df = readers.read_report(spark, str(tmp_path), {"cannabinoids": "potency", "terpenes": "terpenes"}, skip=["page"])
+            got = sorted((r.file[-5:], r["sample"], r.product_name, tuple(map(tuple, r.results))) for r in df.collect())
+            assert got == [(f, i + 1, name, tuple(results)) for f in ("a.txt", "b.txt") for i, (name, results) in enumerate(want)]
+        assert "SinglePartition" not in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
