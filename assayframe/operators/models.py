@@ -1,4 +1,4 @@
-"""Tests and regressions from grouped sums; p-values are left to the caller."""
+"""Tests and regressions from grouped sums; p-values by ``functions.distributions``."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from assayframe.functions.distributions import p_of_range
 from assayframe.functions.numbers import first_digit
 
 
@@ -69,6 +70,13 @@ def pairwise_differences(df: DataFrame, group: str, value: str, levels: Sequence
     return pairs.select("a", "b", (F.col("mb") - F.col("ma")).alias("difference"), error.alias("error"), F.try_divide(F.abs(F.col("mb") - F.col("ma")), error).alias("q"))
 
 
+def tukey(df: DataFrame, group: str, value: str, levels: Sequence) -> DataFrame:
+    """``pairwise_differences`` with the honest p-value of each pair among all of the levels that occur."""
+    cells = df.where(F.col(group).isin(*levels) & F.col(value).isNotNull()).groupBy(group).count().agg(F.count("*").alias("_k"), (F.sum("count") - F.count("*")).alias("_freedom"))
+    pairs = pairwise_differences(df, group, value, levels).join(F.broadcast(cells))  # one row
+    return pairs.withColumn("p", p_of_range(F.col("q"), F.col("_k"), F.col("_freedom"))).drop("_k", "_freedom")
+
+
 def categorical_regression(df: DataFrame, formula: str):
     """Least squares with categorical effects by a formula such as ``value ~ month + lab``; the fitted pipeline."""
     from pyspark.ml import Pipeline

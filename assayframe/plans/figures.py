@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayframe.functions import chemistry, dates
+from assayframe.functions import chemistry, dates, distributions
 from assayframe.functions.numbers import round_even
 from assayframe.operators import models, statistics
 
-from .registry import Tables, query, r6, s6
+from .registry import QUERIES, Tables, query, r6, s6
 
 
 def samples(t: Tables) -> DataFrame:
@@ -236,6 +236,33 @@ def m2_benford_chi2(t):
     return models.chi_square(models.benford(t("lineitem"), "l_extendedprice", ["l_returnflag"]), ["l_returnflag"]).withColumn("chi_square", round_even(F.col("chi_square"), 3))
 
 
+@query(f"""WITH d AS (SELECT l_orderkey, substr(floor(l_extendedprice)::BIGINT::VARCHAR, 1, 1)::INT AS digit, count(*) AS n FROM lineitem WHERE l_extendedprice >= 1 GROUP BY ALL),
+e AS (SELECT *, sum(n) OVER (PARTITION BY l_orderkey) * log10(1 + 1.0::DOUBLE / digit) AS expected FROM d), c AS (SELECT l_orderkey, sum((n - expected) * (n - expected) / expected) / 2 AS h FROM e GROUP BY 1)
+SELECT l_orderkey, {s6('exp(-h) * (1 + h + h * h / 2 + h * h * h / 6)')} AS p FROM c""")
+def m2_p_values(t):
+    """The chance of each order's digits by Benford's law, with 8 degrees of freedom."""
+    out = models.chi_square(models.benford(t("lineitem"), "l_extendedprice", ["l_orderkey"]), ["l_orderkey"])
+    return out.select("l_orderkey", r6(distributions.p_of_chi_square(F.col("chi_square"), F.lit(8.0))).alias("p"))
+
+
+@query(f"""WITH c AS (SELECT l_returnflag AS g, count(*) AS n, avg(l_quantity) AS m, var_samp(l_quantity) AS v FROM lineitem GROUP BY 1),
+f AS (SELECT (sum(n * m * m) - sum(n * m) * sum(n * m) / sum(n)) / (count(*) - 1) / (sum((n - 1) * v) / (sum(n) - count(*))) AS f, sum(n) - count(*) AS d FROM c)
+SELECT {s6('f', 4)} AS f, {s6('pow(1 + 2 * f / d, -d::DOUBLE / 2)')} AS p FROM f""")
+def m5_anova_p(t):
+    """The chance of the variance between three groups: a closed form, as they leave two degrees of freedom."""
+    out = models.anova(t("lineitem"), "l_returnflag", "l_quantity")
+    return out.select(round_even(F.col("f"), 4).alias("f"), r6(distributions.p_of_f(F.col("f"), F.col("between_freedom"), F.col("within_freedom"))).alias("p"))
+
+
+def m5_tukey(spark, sf_dir):
+    """Tukey's honest p-values of the pairs of return flags; SQL has no studentized range."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return models.tukey(rows, "l_returnflag", "l_quantity", ["A", "N", "R"]).select("a", "b", r6(F.col("difference")).alias("difference"), r6(F.col("p")).alias("p"))
+
+
+QUERIES["m5_tukey"] = m5_tukey
+
+
 @query(f"""WITH m AS (SELECT l_returnflag, date_trunc('month', l_shipdate) AS p, avg(l_quantity) AS a FROM lineitem GROUP BY ALL), x AS (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY p) - 1 AS k FROM m)
 SELECT l_returnflag, {s6('regr_slope(a, k)')} AS slope, {s6('regr_intercept(a, k)')} AS intercept, count(*) AS periods FROM x GROUP BY 1""")
 def m3_trend(t):
