@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayframe.functions import nested, records, text
-from assayframe.operators import columns, dedupe, joins, order, reshape, shards, statistics, terms
+from assayframe.operators import columns, dedupe, joins, order, reshape, shards, states, statistics, terms
 from assayframe.sources import collectors, readers, runs, sinks
 
 from .registry import ORACLES, QUERIES, query, r6, s6
@@ -258,6 +258,22 @@ def j5_matched_by_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.matched(left, stacked, ["quantity", "price"], order, spark).withColumnRenamed("_shard", "shard")
 
 
+def a21_merged_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of line items from states of days, stored by three runs, of which the last makes some days again."""
+    items, place = _places(spark, sf_dir, "lineitem")
+    items = items.withColumn("date", F.to_date("l_shipdate"))
+    days = [r["date"] for r in items.select("date").distinct().collect()]  # one line for each day
+    args = ("date", ["l_returnflag"], "l_quantity", "l_partkey")
+    wrong = items.withColumn("l_quantity", F.lit(1.0))
+    for source, own in ((wrong, [d for d in days if d.year < 1996]), (items, [d for d in days if d.year >= 1996]), (items, [d for d in days if d.year < 1996])):
+        states.update(source, f"{place}/states", own, *args)
+    got = states.merged(states.stored(spark, f"{place}/states"), ["l_returnflag"])
+    exact = items.groupBy(F.trunc("date", "month").alias("period"), "l_returnflag").agg(F.count_distinct("l_partkey").alias("parts"), F.percentile_approx("l_quantity", 0.5, 100_000).alias("median"))
+    out = got.join(exact, ["period", "l_returnflag"])
+    near = (F.abs(F.col("distinct") - F.col("parts")) <= 0.06 * F.col("parts") + 1) & (F.abs(F.get("quantiles", 1) - F.col("median")) <= 4)
+    return out.select(F.date_format("period", "yyyy-MM").alias("month"), "l_returnflag", "n", r6(F.col("mean")).alias("mean"), r6(F.col("std")).alias("std"), "least", "greatest", near.alias("near"))
+
+
 def _titles(html: str) -> list[dict]:
     title = html.split("<title>", 1)[1].split("</title>", 1)[0]
     return [{"value": title, "n": len(title)}]
@@ -283,7 +299,7 @@ def x1_collectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.unionByName(failed)
 
 
-QUERIES |= {f.__name__: f for f in (s2_delimited, s4_tree, s8_ledger, k3_partitions, k4_documents, k6_changes, j4_shards, j5_matched_by_shard, x1_collectors)}
+QUERIES |= {f.__name__: f for f in (s2_delimited, s4_tree, s8_ledger, k3_partitions, k4_documents, k6_changes, j4_shards, j5_matched_by_shard, x1_collectors, a21_merged_states)}
 ORACLES |= {
     "s2_delimited": "SELECT p_partkey, p_name AS product_name, p_size FROM part",
     "s4_tree": "SELECT o_orderkey, o_orderpriority AS priority FROM orders WHERE o_orderstatus IN ('F', 'O')",
@@ -294,6 +310,7 @@ ORACLES |= {
         arg_min(l_extendedprice, row(year(l_shipdate), l_orderkey, l_linenumber, l_quantity)) FILTER (WHERE year(l_shipdate) >= 1995) AS price FROM part LEFT JOIN lineitem ON l_partkey = p_partkey AND year(l_shipdate) BETWEEN 1992 AND 1998 GROUP BY ALL""",
     "j5_matched_by_shard": """SELECT p_partkey, p_brand, (year(l_shipdate) - 1992)::INT AS shard, arg_min(l_quantity, row(l_orderkey, l_linenumber, l_quantity)) AS quantity,
         CASE WHEN year(l_shipdate) >= 1995 THEN arg_min(l_extendedprice, row(l_orderkey, l_linenumber, l_quantity)) END AS price FROM part JOIN lineitem ON l_partkey = p_partkey WHERE year(l_shipdate) BETWEEN 1992 AND 1998 GROUP BY p_partkey, p_brand, year(l_shipdate)""",
+    "a21_merged_states": f"SELECT strftime(l_shipdate, '%Y-%m') AS month, l_returnflag, count(*) AS n, {s6('avg(l_quantity)')} AS mean, {s6('stddev_samp(l_quantity)')} AS std, min(l_quantity) AS least, max(l_quantity) AS greatest, TRUE AS near FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY ALL",
     "x1_collectors": """WITH p AS (SELECT page_id::VARCHAR AS item, html, list_transform(string_split(html, '<a href="')[2:], lambda x: string_split(x, '"')[1]) AS links, string_split(string_split(html, '<title>')[2], '</title>')[1] AS title,
         contains(string_split(html, '<article>')[-1], '</p>') AS closed FROM pages)
         SELECT 'titles' AS source, item, (title <> '')::BIGINT AS records, CASE WHEN title = '' THEN 'missing: value' ELSE title END AS value FROM p

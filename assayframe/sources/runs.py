@@ -69,6 +69,27 @@ def read_runs(spark: SparkSession, path: str, keys: Sequence[str] | None = None)
     return out.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(last).select("_last.*")
 
 
+def read_parts(spark: SparkSession, path: str, part: str, note: str) -> DataFrame | None:
+    """The rows of all runs that count, of each value of ``part`` those of the last run whose note names it.
+
+    A run takes the place of the values that it names as a whole, also where it
+    has no rows for them.  Notes are one line for each run and value.
+    """
+    own = marked(spark, path)
+    if not own:
+        return None
+    named: dict[str, Run] = {}
+    for run in own:
+        for value in spark.read.schema("value string").text(f"{path}/_notes/{note}-{run.name}").collect():
+            named[value["value"]] = run
+    out = None
+    for run in own:
+        live = [value for value, last in named.items() if last == run]
+        rows = spark.read.parquet(_folder(path, run)).where(F.col(part).cast("string").isin(*live) if live else F.lit(False))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
 def store(df: DataFrame, path: str, partition: str | None = None) -> str:
     """Write rows to a folder that doesn't count yet; returns its name."""
     name = uuid.uuid4().hex
@@ -89,11 +110,13 @@ def next_number(spark: SparkSession, path: str) -> int:
     return max((int(m[1]) for m in map(_MARK.match, _names(spark, f"{path}/_marks")) if m), default=0) + 1
 
 
-def add_run(df: DataFrame, path: str, partition: str | None = None, kind: str = "run") -> DataFrame:
-    """Add rows as a run; returns them as they were written."""
+def add_run(df: DataFrame, path: str, partition: str | None = None, kind: str = "run", note: tuple[str, Sequence[str]] | None = None) -> DataFrame:
+    """Add rows as a run, with a note of some lines; returns them as they were written."""
     spark = df.sparkSession
     number = next_number(spark, path)
     name = store(df, path, partition)
+    if note is not None:
+        spark.createDataFrame([(x,) for x in note[1]], "value string").coalesce(1).write.text(f"{path}/_notes/{note[0]}-{name}")
     mark(spark, path, name, number, kind)
     return spark.read.schema(df.schema).parquet(f"{path}/run={name}")
 
