@@ -186,3 +186,15 @@ def weight_grams(col: Column) -> Column:
 def money(col: Column) -> Column:
     """Number of a price or percentage text."""
     return F.regexp_replace(col, r"[^0-9.\-]", "").try_cast("double")
+
+
+def discount(price: Column, discounted: Column) -> Column:
+    """What two price texts differ by, NULL if either is none."""
+    return money(price) - money(discounted)
+
+
+def indica_shares(kind: Column, shares: Mapping[str, float]) -> dict[str, Column]:
+    """Shares of two lineages by the name of a kind (any case), NULL where it isn't known; they add up to 1."""
+    low = F.lower(F.trim(kind))
+    share = F.coalesce(*[F.when(low == k.lower(), F.lit(float(v))) for k, v in shares.items()])
+    return {"indica": share, "sativa": 1 - share}

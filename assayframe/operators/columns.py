@@ -86,8 +86,8 @@ def update_by_key(df: DataFrame, changes: DataFrame, key: str, columns: Sequence
 
 
 def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int = 0) -> DataFrame:
-    """n rows, the same for the same rows and seed: the smallest hashes of the keys."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(n)
+    """n rows, the same for the same rows and seed: the smallest hashes of seed and keys."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), *[quoted(k).cast("string") for k in keys])), *keys).limit(n)
 
 
 def published(df: DataFrame, drop: Sequence[str] = ()) -> DataFrame:

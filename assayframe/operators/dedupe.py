@@ -44,9 +44,16 @@ def successive(df: DataFrame, first: Sequence[str], second: Sequence[str], order
 
 
 def duplicate_files(files: DataFrame, keep_oldest: bool = True) -> DataFrame:
-    """Files (path, modificationTime, content) that repeat another's content in their folder, but for the kept one."""
+    """Files (path, modificationTime, length, content) that repeat another's content in their folder, but for the kept one.
+
+    Sizes are grouped first, from the listing alone: only files that share
+    theirs with another of the folder are read and hashed.
+    """
     age = F.col("modificationTime").asc() if keep_oldest else F.col("modificationTime").desc()
-    hashed = files.select("path", "modificationTime", F.regexp_replace("path", "/[^/]*$", "").alias("folder"), F.sha2("content", 256).alias("hash"))
+    folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
+    listed = files.select("path", "length", folder)
+    alike = listed.join(listed.groupBy("folder", "length").count().where("count > 1"), ["folder", "length"]).select("path")
+    hashed = files.join(alike, "path", "left_semi").select("path", "modificationTime", folder, F.sha2("content", 256).alias("hash"))
     order = Window.partitionBy("folder", "hash").orderBy(age, "path")
     return hashed.withColumn("_n", F.row_number().over(order)).where("_n > 1").drop("_n")
 

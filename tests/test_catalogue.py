@@ -7,7 +7,7 @@ import math
 import duckdb
 import pytest
 
-from assayframe.plans import dumps, extras, fields, figures, flows, registry, tables  # noqa: F401
+from assayframe.plans import dumps, extras, fields, figures, flows, registry, rest, tables  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
