@@ -56,7 +56,7 @@ def merged(states: DataFrame, groups: Sequence[str], period: str = "month", quan
     n, total, squares = F.col("values").cast("double"), F.col("total").cast("double"), F.col("squares").cast("double")
     spread = F.when(n > 0, F.kll_sketch_get_quantile_double("spread", F.array(*[F.lit(float(q)) for q in quantiles])))
     return joined.select(
-        "period", *groups, "n", F.try_divide(total, n).alias("mean"), F.sqrt(F.greatest(F.lit(0.0), F.try_divide(squares - total * total / n, n - 1))).alias("std"), "least", "greatest",
+        "period", *groups, "n", F.try_divide(total, n).alias("mean"), F.when(n > 1, F.sqrt(F.greatest(F.lit(0.0), F.try_divide(squares - total * total / n, n - 1)))).alias("std"), "least", "greatest",
         F.hll_sketch_estimate("keys").alias("distinct"), spread.alias("quantiles"),
     )
 

@@ -178,9 +178,9 @@ def d5_latest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def d6_duplicate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A file for each supplier with its nation: all but the oldest of each content, by content."""
+    """A file for each supplier with the tens of its nation: all but the oldest of each content, by content."""
     df, place = _places(spark, sf_dir, "supplier")
-    rows = df.select("s_suppkey", F.concat(F.lit("nation "), F.col("s_nationkey").cast("string")).alias("value"))
+    rows = df.select("s_suppkey", F.concat(F.lit("nations "), F.floor(F.col("s_nationkey") / 10).cast("string")).alias("value"))
     rows.repartitionByRange(max(2, rows.count() // 5), "s_suppkey").select("value").write.option("maxRecordsPerFile", 1).text(f"{place}/x")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{place}/x")
     return dedupe.duplicate_files(files).groupBy("hash").agg(F.count("*").alias("repeats"))
@@ -194,5 +194,5 @@ ORACLES |= {
     "s11_report": "SELECT 'Order ' || l_orderkey AS product_name, count(*) AS n, count(*) FILTER (WHERE l_returnflag = 'A') AS potency, sum(trunc(l_quantity))::BIGINT AS total FROM lineitem GROUP BY l_orderkey",
     "k1_k2_saved": "SELECT place, s_suppkey, s_name FROM supplier, (VALUES ('labs-2024-05-01'), ('labs-latest'), ('all.parquet'), ('all.csv'), ('all.json')) v(place)",
     "d5_latest_file": "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'new' ELSE 'old' END AS v FROM customer",
-    "d6_duplicate_files": "SELECT sha256('nation ' || s_nationkey || chr(10)) AS hash, count(*) - 1 AS repeats FROM supplier GROUP BY s_nationkey HAVING count(*) > 1",
+    "d6_duplicate_files": "SELECT sha256('nations ' || s_nationkey // 10 || chr(10)) AS hash, count(*) - 1 AS repeats FROM supplier GROUP BY s_nationkey // 10 HAVING count(*) > 1",
 }
