@@ -147,9 +147,9 @@ def fit(table: DataFrame, key: str, vector: str, compressed: str, clusters: int
     """
     order = F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"), 256)
     start = table.select(order.alias("h"), F.col(vector).alias("v")).orderBy(F.col("h").asc_nulls_last(), "v").limit(clusters).collect()
-    found = Clusters(np.array([r["v"] for r in start], np.int64).reshape(len(start), -1), [], [])
     if not start:
-        return found
+        return Clusters(np.zeros((0, 0), np.int64), [], [])
+    found = Clusters(np.array([r["v"] for r in start], np.int64), [], [])
     for _ in range(rounds):
         found = Clusters(_sums(table, found.centroids, vector, compressed).centroids, [], [])
     last = _sums(table, found.centroids, vector, compressed)
