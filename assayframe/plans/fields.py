@@ -311,6 +311,17 @@ def f78_cosine_topk(t):
     return vectors.nearest(every, every.where("vec_id % 20 = 0"), "vec_id", "embedding", 5).select("q", "vec_id", F.col("rank").cast("long").alias("rank"))
 
 
+@query("SELECT count(*) FILTER (WHERE vec_id % 20 = 0) AS queries, TRUE AS enough FROM embeddings")
+def f78_nearest_by_cells(t):
+    """The index of coarse cells over all vectors, its recall held against the exact search."""
+    every = t("embeddings")
+    asked = every.where("vec_id % 20 = 0")
+    exact = vectors.nearest(every, asked, "vec_id", "embedding", 5)
+    found = vectors.nearest_by_cells(every, asked, "vec_id", "embedding", 5, cells=16, probes=12)
+    share = vectors.recall(found, exact, "vec_id").select((F.col("recall") >= 0.9).alias("enough"))
+    return asked.agg(F.count("*").alias("queries")).join(F.broadcast(share))  # one row each
+
+
 @query("SELECT page_id, len(regexp_extract_all(html, '<a [^>]*href=\"([^\"]*)\"', 1)) AS links, nullif(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), '') AS title FROM pages")
 def t_html_links(t):
     found = readers.page_fields(F.col("html"))

@@ -164,3 +164,19 @@ def test_literals(spark, value):
 def test_hexadecimal_escapes(spark):
     df = spark.createDataFrame([(r"['\x41\x42', '\\x41', '\xe9']",)], "t string")
     assert df.select(F.from_json(nested.as_json(F.col("t")), "array<string>")).first()[0] == ["AB", "\\x41", "é"]
+
+
+def test_nearest_by_cells(spark, monkeypatch):
+    """Every vector in a cell, hot cells in slices, recall against the exact search; all cells asked give the exact result."""
+    rng = random.Random(14)
+    middle = [[rng.gauss(0, 1) for _ in range(12)] for _ in range(15)]
+    data = [(i, [x + rng.gauss(0, 0.4) for x in middle[0 if i % 3 == 0 else i % 15]]) for i in range(1500)]
+    df = spark.createDataFrame([*data, (5000, None), (5001, [0.0] * 12), (5002, [1.0]), (None, middle[0])], "id long, v array<double>")
+    asked = df.where("id % 20 = 0")
+    exact = vectors.nearest(df.where("size(v) = 12"), asked, "id", "v", 5)
+    monkeypatch.setattr(vectors, "SLICE", 100)
+    some = vectors.nearest_by_cells(df, asked, "id", "v", 5, cells=20, probes=5, sample=500)
+    assert vectors.recall(some, exact, "id").first().recall >= 0.9
+    every = vectors.nearest_by_cells(df, asked, "id", "v", 5, cells=20, probes=20, sample=500)
+    assert sorted(map(tuple, every.collect())) == sorted(map(tuple, exact.collect()))
+    assert vectors.nearest_by_cells(df.where("false"), asked, "id", "v", 5).count() == 0
