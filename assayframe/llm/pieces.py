@@ -1,8 +1,9 @@
 """SentencePiece BPE encoding and decoding by a table of prefixes and their last tokens.
 
 A prefix of a text has one encoding, and that has one last token.  The table
-of last tokens is filled from left to right: an automaton finds all pieces that
-end at a place, and the one is taken that is compatible with the last token of
+of last tokens is filled from left to right: an automaton, a trie of the pieces
+that is walked from all places at once, finds all that end at a place, and the
+one is taken that is compatible with the last token of
 the prefix before it, which means that the merges turn the two tokens' joined
 text into just these two.  An encoding is right if all its neighbours are
 compatible, so no text is ever merged as a whole: the ids are read from the
