@@ -69,3 +69,12 @@ def test_no_states(spark, tmp_path):
     assert states.stored(spark, f"{tmp_path}/none") is None
     empty = spark.createDataFrame([(None, "a", 1.0, "x")], DDL)
     assert states.day_states(empty, *ARGS).count() == 0
+
+
+def test_no_digest_for_each_part(spark):
+    """The exact median of a month is one digest, not one for each of its parts."""
+    from assayframe.plans import extras
+
+    plan = extras.a21_merged_states(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    digests = [line for line in plan.splitlines() if "Aggregate" in line and "percentile_approx" in line]
+    assert digests and not any("l_partkey" in line for line in digests)
