@@ -42,3 +42,10 @@ def test_in_spark(spark):
 def test_deep_nesting():
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
     assert [x["text"] for x in html.elements_of(deep, Rule("b"))] == []
+
+
+def test_only_whole_references_are_references():
+    page = "<a href='/x?a=1&copy=2&amp;b=3'>cut &amp;&amp; &amp</a><a>&lt;i&gt; &#65;&#x42; &notit; &nosuch; R&D &amp;lt; &</a>"
+    got = html.elements_of(page, Rule("a"))
+    assert [x["text"] for x in got] == ["cut && &amp", "<i> AB &notit; &nosuch; R&D &lt; &"]
+    assert got[0]["attributes"] == {"href": "/x?a=1&copy=2&b=3"}
