@@ -64,6 +64,41 @@ def test_many_terms(spark):
             assert got[i] == (min(held, key=key)[1] if held else None)
 
 
+@pytest.mark.parametrize(("few", "slice_"), [(20_000, 100_000), (0, 100_000), (0, 3)])
+def test_terms_by_each_way(spark, monkeypatch, few, slice_):
+    """In all tasks, by an index, and by an index whose common words and grams are dealt into slices: one result."""
+    monkeypatch.setattr(terms, "FEW", few)
+    monkeypatch.setattr(terms, "SLICE", slice_)
+    monkeypatch.setattr(terms, "STRETCH", 16)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abé") for _ in range(rng.choice([1, 2, 3, 5, 12])))
+    texts = [None, "", *[" ".join(["for", *(word() for _ in range(rng.randint(0, 6)))]) for _ in range(150)]]
+    listed = [None, " ", "for ", " a", *sorted({w[rng.randint(0, 2) :] for w in (word() for _ in range(60))} | {f"{word()} {word()}" for _ in range(60)})]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    table = spark.createDataFrame([(x,) for x in listed], "term string")
+    got = {r.id: r.term for r in terms.with_best_term(df, "text", table, "term", terms.longest_first("term")).collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        held = [x for x in listed if x and x.strip() and text and x in text]
+        assert got[i] == (min(held, key=lambda x: (-len(x), x.encode())) if held else None)
+
+
+def test_few_terms_need_no_shuffle(spark):
+    df = spark.createDataFrame([(1, "a b")], "id int, text string")
+    plan = terms.with_best_term(df, "text", spark.createDataFrame([("b",)], "term string"), "term", terms.longest_first("term"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_a_word_of_all_texts_is_no_single_task(spark, monkeypatch):
+    """A word that all texts hold meets its terms in slices."""
+    monkeypatch.setattr(terms, "SLICE", 50)
+    said = spark.range(2000).select(F.col("id").alias("key"), F.lit("for").alias("word"))
+    met = terms._met(said, spark.createDataFrame([("for", 1), ("no", 2)], "word string, rank int"), "word", said.groupBy("word").agg(F.count("*").alias("n")), "key")
+    assert met.count() == met.select("key").distinct().count() == 2000
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert "_slice" in plan.split("Join Inner")[1].splitlines()[0]
+
+
 def test_known_terms_by_index(spark, monkeypatch):
     """The index gives what the branches give."""
     rng = random.Random(5)
