@@ -428,6 +428,17 @@ def plain_ima(block):
     return out
 
 
+def test_media_of_one_part_at_once(docs, monkeypatch):
+    """Each part's media are gone before the next part's are written, and no row is in two parts or in none."""
+    steps = []
+    written, unwritten = media.written, media.unwritten
+    monkeypatch.setattr(media, "written", lambda df, name, **how: steps.append((name, (out := written(df, name, **how)).count())) or out)
+    monkeypatch.setattr(media, "unwritten", lambda table: steps.append(("gone", 0)) or unwritten(table))
+    out = media.digest(docs)
+    assert [x for x, _ in steps] == ["media", "pcm", "gone"] * media.TURNS
+    assert sum(n for x, n in steps if x == "media") == sum(n for x, n in steps if x == "pcm") == docs.count() == out.count()
+
+
 def plain_media(payload):
     """(codec, WAV file, samples at 8000 Hz) of a padded payload, byte by byte."""
     kind = ("mulaw", "alaw", "ima")[zlib.crc32(payload) % 3]
