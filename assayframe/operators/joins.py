@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from assayframe.functions.text import ngrams
+from assayframe.sources.sinks import kept
+
 from .dedupe import keep_first
 from .terms import best_terms, with_best_term
 
@@ -15,6 +18,8 @@ from .terms import best_terms, with_best_term
 FEW_TERMS = 100
 #: Rows up to which a table of terms or lookup values is broadcast.
 SMALL_ROWS = 200_000
+#: Shared words (one for each group) up to which they go to all tasks.
+SHARED_WORDS = 1_000_000
 
 
 def small(df: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
@@ -100,6 +105,28 @@ def shared_ngrams(grams: DataFrame, group: str, gram: str, base: str) -> DataFra
     return grams.select(group, gram).distinct().groupBy(gram).agg(F.array_sort(F.collect_set(group)).alias("groups")).where((F.size("groups") > 1) & F.array_contains("groups", base))
 
 
+def shared_ngrams_to(df: DataFrame, group: str, tokens: Column, most: int, base: str, stop: Sequence[str] = ()) -> DataFrame:
+    """n-grams of 1 to ``most`` words that a base group shares with others, as of ``shared_ngrams``.
+
+    What two groups share has only parts that both share, so words come first,
+    and longer n-grams are looked up by their words before they are dealt out
+    (up to ``SHARED_WORDS`` shared words, which go to all tasks; without that
+    beyond).
+    """
+    rows = df.where(F.col(group).isNotNull()).select(F.col(group).alias("_group"), tokens.alias("_words"))
+    listed = lambda sizes: F.explode(F.array_distinct(F.concat(*[ngrams(F.col("_words"), n, stop) for n in sizes]))).alias("_gram")
+    out = kept(shared_ngrams(rows.select("_group", listed([1])), "_group", "_gram", base), "shared-words")
+    if most > 1:
+        words = out.select(F.explode("groups").alias("_group"), F.col("_gram").alias("_word"))
+        longer = rows.select("_group", listed(range(2, most + 1)))
+        if words.count() <= SHARED_WORDS:
+            own = F.split("_gram", " ")
+            for i in range(most):
+                longer = longer.withColumn("_word", F.coalesce(F.get(own, i), F.get(own, 0))).join(F.broadcast(words), ["_group", "_word"], "left_semi").drop("_word")
+        out = out.unionByName(shared_ngrams(longer, "_group", "_gram", base))
+    return out.withColumnRenamed("_gram", "gram")
+
+
 def known_terms(df: DataFrame, columns: Sequence[str], terms: Sequence[str], spellings: Mapping[str, str], out: str) -> DataFrame:
     """Rows one of whose columns holds a known term (any case), with the longest one in all columns, by its usual spelling.
 

@@ -336,8 +336,7 @@ def t_post_rollup(t):
 @query(f"""WITH w AS (SELECT lang, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') AS w FROM documents), g AS (SELECT DISTINCT lang, gram FROM (SELECT lang, unnest({_GRAMS}) AS gram FROM w) WHERE {_FREE})
 SELECT gram, string_agg(lang, ',' ORDER BY lang) AS groups FROM g GROUP BY 1 HAVING count(*) > 1 AND bool_or(lang = 'en')""")
 def j15_shared_ngrams(t):
-    grams = t("documents").select("lang", F.explode(F.array_distinct(text.ngrams_to(text.words(F.col("text")), 3, STOP))).alias("gram"))
-    return joins.shared_ngrams(grams, "lang", "gram", "en").select("gram", F.array_join("groups", ",").alias("groups"))
+    return joins.shared_ngrams_to(t("documents"), "lang", text.words(F.col("text")), 3, "en", STOP).select("gram", F.array_join("groups", ",").alias("groups"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderstatus <> '' THEN o_orderstatus END AS status, o_totalprice FROM orders")

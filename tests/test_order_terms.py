@@ -99,6 +99,27 @@ def test_a_word_of_all_texts_is_no_single_task(spark, monkeypatch):
     assert "_slice" in plan.split("Join Inner")[1].splitlines()[0]
 
 
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_shared_ngrams_by_their_words(spark, monkeypatch, most):
+    """Looked up by their words or not: the n-grams that a plain count gives; few others are dealt out."""
+    from assayframe.functions import text
+
+    monkeypatch.setattr(joins, "SHARED_WORDS", most)
+    rng = random.Random(6)
+    data = [(rng.choice(["en", "de", "fr", None]), " ".join(rng.choice("abcdefgh") + rng.choice("xyz") for _ in range(rng.randint(0, 9)))) for _ in range(60)]
+    df = spark.createDataFrame([*data, ("en", "only one"), ("de", None)], "lang string, text string")
+    want: dict = {}
+    for lang, said in data:
+        words = said.split()
+        for n in (1, 2, 3):
+            for i in range(len(words) - n + 1):
+                if "ax" not in words[i : i + n] and lang:
+                    want.setdefault(" ".join(words[i : i + n]), set()).add(lang)
+    got = joins.shared_ngrams_to(df, "lang", text.words(F.col("text")), 3, "en", ["ax"])
+    assert sorted((r.gram, list(r.groups)) for r in got.collect()) == sorted((g, sorted(x)) for g, x in want.items() if len(x) > 1 and "en" in x)
+    assert ("LeftSemi" in got._jdf.queryExecution().optimizedPlan().toString()) == (most > 0)
+
+
 def test_known_terms_by_index(spark, monkeypatch):
     """The index gives what the branches give."""
     rng = random.Random(5)
