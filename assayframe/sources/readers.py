@@ -13,6 +13,9 @@ from pyspark.sql.window import Window
 from assayframe.functions.text import snake_name
 from assayframe.operators.dedupe import latest_values
 
+#: Lines of a report that are put in order at once; a power of two.
+STRETCH = 1 << 16
+
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str, rename: Mapping[str, str] | None = None, sep: str = ",", encoding: str = "UTF-8", skip_bad: bool = False, missing_ok: bool = False) -> DataFrame:
     """Delimited text with a header, projected to the schema's columns and renamed.
@@ -112,13 +115,16 @@ def read_report(spark: SparkSession, path: str, sections: Mapping[str, str], dat
     """Samples of report-layout text: a date line starts one, section headers lead analyte lines.
 
     ``sections`` gives the analysis of each header text.  Files are split, and
-    lines are put in order within their split.  A split is read with what the
-    splits of its file before it leave behind: how many samples have begun, and
-    the last header of the sample that is open.  These are one line for each
-    split, so a large file is many tasks.
+    lines are put in order within a stretch of ``STRETCH`` of a split at most.  A
+    stretch is read with what those of its file before it leave behind: how many
+    samples have begun, and the last header of the sample that is open.  These
+    are one line for each stretch, so a large file is many tasks, and none sorts
+    a whole split.
     """
-    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"))
-    lines = raw.select("file", "split", "at", F.trim(F.regexp_replace("value", r"\r$", "")).alias("line")).where("line <> ''")
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin"), F.monotonically_increasing_id().alias("at"))
+    # a split's rows are numbered in order; numbers with the same upper bits are one stretch of it
+    stretch = F.struct("begin", F.floor(F.col("at") / STRETCH).alias("stretch")).alias("split")
+    lines = raw.select("file", stretch, "at", F.trim(F.regexp_replace("value", r"\r$", "")).alias("line")).where("line <> ''")
     for text in skip:
         lines = lines.where(~F.contains("line", F.lit(text)))
     header = F.coalesce(*[F.when(F.lower("line") == name.lower(), F.lit(kind)) for name, kind in sections.items()])

@@ -141,3 +141,14 @@ def test_reports_are_split(spark, tmp_path):
         assert "SinglePartition" not in df._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_report_in_short_stretches(spark, tmp_path, monkeypatch):
+    """Samples and headers go on from one stretch of lines to the next."""
+    said = [line for i in range(40) for line in (f"1/2/2024 Order {i}", "goes on", "Cannabinoids", *(f"a{j} {i}.{j} mg" for j in range(i % 5)), "page 1", "Terpenes", f"b {i} %")]
+    (tmp_path / "r.txt").write_text("\n".join(said))
+    read = lambda: sorted((r.sample, r.product_name, [tuple(x) for x in r.results]) for r in readers.read_report(spark, str(tmp_path / "r.txt"), {"cannabinoids": "potency", "terpenes": "terpenes"}, skip=["page"]).collect())
+    want = [(i + 1, f"Order {i} goes on", [*(("potency", f"a{j}", f"{i}.{j}", "mg") for j in range(i % 5)), ("terpenes", "b", str(i), "%")]) for i in range(40)]
+    for lines in (1, 2, 4, 1 << 16):
+        monkeypatch.setattr(readers, "STRETCH", lines)
+        assert read() == want
