@@ -3,8 +3,10 @@
 ``nearest`` compares every query to every vector.  ``nearest_by_cells`` fits cell
 centres on a bounded sample, assigns every vector to the cell of its nearest
 centre, and compares a query to the vectors of the few cells nearest to it.
-Cells with many vectors are dealt into slices, so no task holds more than
-``SLICE`` of them.  What it misses is measured by ``recall`` against ``nearest``.
+Vectors and queries of a cell are dealt into slices, each of which meets each
+of the other kind, so a task holds about ``SLICE`` of either at once; their
+similarities are computed in lots, of which only the k best of a query stay.
+What it misses is measured by ``recall`` against ``nearest``.
 """
 
 from __future__ import annotations
@@ -19,18 +21,20 @@ from pyspark.sql.window import Window
 
 #: Queries that go around in one pass.
 BLOCK = 4_000
-#: Vectors that are compared to a block of queries at once.
+#: Vectors that are compared at once, to as many queries at most.
 LOT = 1_000
-#: Vectors that cell centres are fitted on; vectors of one cell that a task holds.
+#: Vectors that cell centres are fitted on; vectors of one cell, and queries, that a task holds.
 SAMPLE, SLICE = 20_000, 20_000
+#: Numbers that the vectors of a slice have: of long vectors there are fewer in a slice.
+HELD = SLICE * 64
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int, digits: int = 6, block: int = BLOCK) -> DataFrame:
     """(q, key, similarity, rank): the k vectors most similar to each query by cosine, ties by key, none with its own key.
 
     Queries go around in blocks of bounded size, one pass over the vectors for
-    each; a lot of vectors returns k rows for each query at most, and a
-    window takes the best of these.  Vectors that are null, or whose length is
+    each; a task returns k rows for each query at most, and a window takes
+    the best of these.  Vectors that are null, or whose length is
     0 or not finite, are similar to none; a query is compared to vectors with
     as many components only; rows without a key are left out.
     """
@@ -59,12 +63,14 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: in
 def _best(shared, key: str, k: int, digits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, grid = shared.value
+        held = _NONE
         for batch in batches:
             for begin in range(0, batch.num_rows, LOT):
                 part = batch.slice(begin, LOT)
                 ids = part.column(0).to_numpy(zero_copy_only=False)
                 own = _unit(part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _top(names, grid, ids, own, k, digits)], ["q", key, "similarity"])
+                held = _best_of([held, _searched(names, grid, ids, own, k, digits)], k)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["q", key, "similarity"])
 
     return run
 
@@ -125,21 +131,20 @@ def nearest_by_cells(vectors: DataFrame, queries: DataFrame, key: str, vector: s
     if not len(middle):
         return vectors.sparkSession.createDataFrame([], f"{out}, rank int")
     own, asked = _in_cells(vectors, key, vector, middle, 1), _in_cells(queries, key, vector, middle, probes)
-    slices = own.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(SLICE)).cast("int").alias("n"))  # as many rows as cells
-    own = own.join(F.broadcast(slices), "cell").withColumn("slice", F.pmod(F.xxhash64("key"), F.col("n").cast("long"))).drop("n")
-    asked = asked.join(F.broadcast(slices), "cell").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") - 1))).drop("n")
+    rows = min(SLICE, max(1, HELD // middle.shape[1]))
+    slices = lambda df, name: df.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(rows)).cast("long").alias(name))
+    sizes = F.broadcast(slices(own, "n").join(slices(asked, "m"), "cell"))  # as many rows as cells
+    own = own.join(sizes, "cell").withColumns({"slice": F.pmod(F.xxhash64("key"), "n"), "block": F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1))}).drop("n", "m")
+    asked = asked.join(sizes, "cell").withColumns({"slice": F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)), "block": F.pmod(F.xxhash64("key"), "m")}).drop("n", "m")
 
     def meet(rows: pa.Table, of: pa.Table) -> pa.Table:
-        parts = []
+        found = _NONE
         if rows.num_rows and of.num_rows:
-            ids, grid = rows["key"].to_numpy(), _unit(_rows(rows["vector"]))
-            names, every = of["key"].to_numpy(), _unit(_rows(of["vector"]))
-            for begin in range(0, len(names), LOT):
-                parts.append(_top(names[begin : begin + LOT], every[begin : begin + LOT], ids, grid, k, digits))
-        q, at, value = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        return pa.table([pa.array(q), pa.array(at), pa.array(value)], ["q", key, "similarity"])
-
-    found = own.groupBy("cell", "slice").cogroup(asked.groupBy("cell", "slice")).applyInArrow(meet, out)
+            ids, own = rows["key"].to_numpy(), _unit(_rows(rows["vector"]))
+            found = _searched(of["key"].to_numpy(), _unit(_rows(of["vector"])), ids, own, k, digits)
+        return pa.table([pa.array(x) for x in found], ["q", key, "similarity"])
+
+    found = own.groupBy("cell", "slice", "block").cogroup(asked.groupBy("cell", "slice", "block")).applyInArrow(meet, out)
     best = Window.partitionBy("q").orderBy(F.desc("similarity"), key)
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
@@ -155,6 +160,30 @@ def _rows(column: pa.ChunkedArray) -> np.ndarray:
     return whole.flatten().to_numpy(zero_copy_only=False).reshape(len(whole), -1)
 
 
+#: No (query, key, similarity).
+_NONE = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+
+
+def _searched(names: np.ndarray, grid: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int, digits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``_top`` of any number of queries and vectors, by lots of either."""
+    parts = []
+    for i in range(0, len(names), LOT):
+        held = _NONE
+        for j in range(0, len(ids), LOT):
+            held = _best_of([held, _top(names[i : i + LOT], grid[i : i + LOT], ids[j : j + LOT], own[j : j + LOT], k, digits)], k)
+        parts.append(held)
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else _NONE
+
+
+def _best_of(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of each query of several (query, key, similarity), ties by key."""
+    q, at, value = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((at, -value, q))
+    q, at, value = q[order], at[order], value[order]
+    keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[keep], at[keep], value[keep]
+
+
 def _top(names: np.ndarray, grid: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int, digits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, key, similarity) of the k best of some vectors for each query, ties by key."""
     near = np.round(grid @ own.T, digits)

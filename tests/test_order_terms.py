@@ -236,3 +236,30 @@ def test_nearest_by_cells(spark, monkeypatch):
     every = vectors.nearest_by_cells(df, asked, "id", "v", 5, cells=20, probes=20, sample=500)
     assert sorted(map(tuple, every.collect())) == sorted(map(tuple, exact.collect()))
     assert vectors.nearest_by_cells(df.where("false"), asked, "id", "v", 5).count() == 0
+
+
+def test_nearest_by_cells_holds_bounded_lots(spark, monkeypatch):
+    """However many queries and vectors a cell has, a task compares few of either at once, and the result is the exact one."""
+    rng = random.Random(15)
+    data = [(i, [float(i % 7 == 0) + rng.gauss(0, 1) for _ in range(4)]) for i in range(1200)]
+    data += [(2000 + i, data[i][1]) for i in range(300)]  # equal vectors: ties by key
+    df = spark.createDataFrame(data, "id long, v array<double>")
+    monkeypatch.setattr(vectors, "SLICE", 150)
+    monkeypatch.setattr(vectors, "LOT", 40)
+    top, unit, places = vectors._top, vectors._unit, spark.sparkContext.accumulator(0)
+
+    def few(names, grid, ids, own, k, digits):
+        assert len(names) <= 40 and len(ids) <= 40
+        return top(names, grid, ids, own, k, digits)
+
+    def held(rows):
+        assert len(rows) <= 250
+        places.add(1)
+        return unit(rows)
+
+    monkeypatch.setattr(vectors, "_top", few)
+    asked = df.where("id % 2 = 0")
+    exact = sorted(map(tuple, vectors.nearest(df, asked, "id", "v", 3).collect()))
+    monkeypatch.setattr(vectors, "_unit", held)
+    found = vectors.nearest_by_cells(df, asked, "id", "v", 3, cells=2, probes=2, sample=100)
+    assert sorted(map(tuple, found.collect())) == exact and len(exact) == 3 * asked.count() and places.value
