@@ -20,6 +20,8 @@ FEW_TERMS = 100
 SMALL_ROWS = 200_000
 #: Shared words (one for each group) up to which they go to all tasks.
 SHARED_WORDS = 1_000_000
+#: Rows of a join of large tables up to which Spark deals them out by itself; rows that a task takes of more.
+FEW_ROWS, TASK_ROWS = 1_000_000, 250_000
 
 
 def small(df: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
@@ -38,6 +40,21 @@ def many_to_one(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
     return left.join(right, list(keys), "left")
 
 
+def in_tasks(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join of tables that may both be large, in tasks of about ``TASK_ROWS`` rows of the larger one.
+
+    There are more tasks for more rows (one count of each table), so what a
+    task sorts, and what aggregates after the join hold in it, stays as it is.
+    A key with more rows than that is one task's work, with its rows on disk
+    where they don't fit.
+    """
+    rows = max(left.count(), right.count())
+    if rows <= FEW_ROWS:
+        return left.join(right, key)
+    parts = -(-rows // TASK_ROWS)
+    return left.repartition(parts, key).join(right.repartition(parts, key).hint("merge"), key)
+
+
 def lookup(df: DataFrame, table: DataFrame, key: str, columns: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Left join to the first row of each key of a table; equal names on the left are replaced."""
     first = keep_first(table, [key], order).select(key, *columns)

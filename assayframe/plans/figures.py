@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from assayframe.functions import chemistry, dates, distributions
 from assayframe.functions.numbers import round_even
-from assayframe.operators import models, statistics
+from assayframe.operators import joins, models, statistics
 
 from .registry import QUERIES, Tables, query, r6, s6
 
@@ -15,7 +15,7 @@ from .registry import QUERIES, Tables, query, r6, s6
 def samples(t: Tables) -> DataFrame:
     """Test rows with lab, type, producer and date: the base of the statistics."""
     lines = t("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("lab"), F.when(F.col("l_linenumber") != 7, F.col("l_returnflag")).alias("kind"), F.col("l_shipdate").alias("date"))
-    return lines.join(t("orders").select("o_orderkey", F.col("o_custkey").alias("producer")), "o_orderkey").withColumn("year", F.year("date"))
+    return joins.in_tasks(lines, t("orders").select("o_orderkey", F.col("o_custkey").alias("producer")), "o_orderkey").withColumn("year", F.year("date"))
 
 
 SAMPLES = "SELECT l_suppkey AS lab, CASE WHEN l_linenumber <> 7 THEN l_returnflag END AS kind, l_shipdate AS date, o_custkey AS producer, year(l_shipdate)::INT AS year FROM lineitem JOIN orders ON l_orderkey = o_orderkey"

@@ -263,3 +263,26 @@ def test_nearest_by_cells_holds_bounded_lots(spark, monkeypatch):
     monkeypatch.setattr(vectors, "_unit", held)
     found = vectors.nearest_by_cells(df, asked, "id", "v", 3, cells=2, probes=2, sample=100)
     assert sorted(map(tuple, found.collect())) == exact and len(exact) == 3 * asked.count() and places.value
+
+
+def test_large_joins_in_tasks(spark, monkeypatch):
+    """Rows as of a plain join, with missing and repeated keys on either side; a task holds few of them."""
+    some, other = [(None if i % 50 == 0 else i % 600, i) for i in range(3000)], [(None, -1), *[(i % 500, i) for i in range(520)]]
+    left, right = spark.createDataFrame(some, "k long, a long"), spark.createDataFrame(other, "k long, b long")
+    plain = sorted(map(tuple, joins.in_tasks(left, right, "k").collect()))
+    monkeypatch.setattr(joins, "FEW_ROWS", 100)
+    monkeypatch.setattr(joins, "TASK_ROWS", 100)
+    dealt = joins.in_tasks(left, right, "k")
+    assert sorted(map(tuple, dealt.collect())) == plain == sorted((k, a, b) for k, a in some for j, b in other if k is not None and k == j)
+    assert dealt.rdd.getNumPartitions() == 30
+
+
+def test_samples_in_tasks(spark, monkeypatch):
+    """The base of the statistics is joined in tasks of bounded rows, whatever it has."""
+    from assayframe.plans import figures
+
+    monkeypatch.setattr(joins, "FEW_ROWS", 1000, raising=False)
+    monkeypatch.setattr(joins, "TASK_ROWS", 300, raising=False)
+    rows = figures.samples(lambda name: spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet"))
+    held = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) > 3000 and max(held) <= 600
