@@ -45,6 +45,7 @@ def in_tasks(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
     There are more tasks for more rows (one count of each table), so what a
     task sorts, and what aggregates after the join hold in it, stays as it is.
+    Tasks that scan the tables hold at most their split's rows to deal them out.
     A key with more rows than that is one task's work, with its rows on disk
     where they don't fit.
     """

@@ -286,3 +286,16 @@ def test_samples_in_tasks(spark, monkeypatch):
     rows = figures.samples(lambda name: spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet"))
     held = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(held) > 3000 and max(held) <= 600
+
+
+def test_entity_growth_in_tasks(spark, monkeypatch):
+    """Distinct values are counted over tasks of bounded rows, with the same result."""
+    from assayframe.plans import registry
+
+    growth = lambda: registry.QUERIES["entity_growth"](spark, "/root/testdata/sf0.001")
+    plain = sorted(map(str, growth().collect()))
+    monkeypatch.setattr(joins, "FEW_ROWS", 1000, raising=False)
+    monkeypatch.setattr(joins, "TASK_ROWS", 300, raising=False)
+    dealt = growth()
+    assert dealt._jdf.queryExecution().toString().count("REPARTITION_BY_NUM") >= 2
+    assert sorted(map(str, dealt.collect())) == plain
